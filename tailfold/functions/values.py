@@ -13,8 +13,7 @@ TRAILING_VERSION = r"\.[0-9]+$"
 GENE_TOKEN = r"(?<![A-Za-z0-9])(ENSG[0-9]+)(?:\.[0-9]+)?"
 WHOLE_GENE_WITH_VERSION = r"^(ENSG[0-9]+)\.[0-9]+$"
 INTEGER = r"^\s*[+-]?[0-9]+\s*$"
-DECIMAL = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-NON_FINITE = r"(?i)^\s*[+-]?(inf|infinity|nan)\s*$"
+JAVA_ONLY_NUMBER = "[dDfFxX]"
 
 
 def strip(c: Column) -> Column:
@@ -67,9 +66,14 @@ def to_long(c: Column) -> Column:
 
 
 def to_double(c: Column) -> Column:
-    """Finite double, or NULL.  The pattern keeps out forms only Java accepts."""
-    number = F.when(c.rlike(DECIMAL), F.trim(c).try_cast("double"))
-    return F.when(F.abs(number) < F.lit(float("inf")), number)
+    """Finite double, or NULL.
+
+    Suffixed and hexadecimal literals, which only Java accepts, are kept out; the
+    pattern is looked at only for text that does cast.
+    """
+    number = c.try_cast("double")
+    finite = F.abs(number) < F.lit(float("inf"))
+    return F.when(finite & ~c.rlike(JAVA_ONLY_NUMBER), number)
 
 
 def is_missing_phenotype(c: Column) -> Column:
@@ -78,11 +82,11 @@ def is_missing_phenotype(c: Column) -> Column:
 
 def phenotype(c: Column) -> Column:
     """Phenotype value; missing tokens and bad numbers are both NULL."""
-    return F.when(~is_missing_phenotype(c), to_double(c))
+    return to_double(c)
 
 
 def is_bad_phenotype(c: Column) -> Column:
-    return ~is_missing_phenotype(c) & to_double(c).isNull()
+    return to_double(c).isNull() & ~is_missing_phenotype(c)
 
 
 def tss_problem(start: Column, end: Column) -> Column:

@@ -13,60 +13,51 @@ from tailfold.operators.ranges import range_join
 from tailfold.operators.vat import ALLELE
 
 
-def genotype_calls(records: DataFrame) -> DataFrame:
-    """Add parsed calls to VCF records ``(chrom, pos, ref, alt, info, format, samples)``."""
-    texts = G.genotype_texts(F.col("samples"), G.genotype_index(F.col("format")))
-    return (
-        records.withColumn("alts", F.split("alt", ","))
-        .withColumn("calls", G.calls(texts))
-        .drop("samples", "format", "alt")
-    )
-
-
-def record_counters(called: DataFrame, by: list[str]) -> DataFrame:
-    """Genotype call states and ALT totals over VCF records."""
-    states = G.state_counts(F.col("calls"))
-    counted = called.select(*by, F.size("alts").alias("alts"),
-                            *[c.alias(n) for n, c in states.items()])
-    return counted.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("extracted_records"),
-        F.sum("alts").alias("alt_alleles"),
-        F.sum("complete").alias("complete_genotype_calls"),
-        F.sum("partial").alias("partial_genotype_calls"),
-        F.sum("fully_missing").alias("fully_missing_genotype_calls"),
-        F.sum(F.col("partial") + F.col("fully_missing")).alias("missing_genotypes"),
-    )
-
+def alt_alleles(records: DataFrame) -> DataFrame:
+    """One row per ALT of VCF records ``(ref, alt, info, format, samples, ...)``.
 
-def alt_alleles(called: DataFrame) -> DataFrame:
-    """One row per ALT: INFO count, genotype count and carrier sample positions.
-
-    ``ac`` is the INFO value when given, else the genotype count, else NULL when no
-    genotype was called at all.
+    Holds the INFO count, the genotype count and the carrier sample positions; ``ac``
+    is the INFO value when given, else the genotype count, else NULL when no
+    genotype was called at all.  Call-state totals of the record ride along, so the
+    long sample array is parsed once and dropped here.
     """
-    states = G.state_counts(F.col("calls"))
-    per_record = called.withColumns({
-        "complete": (F.size("calls") > 0) & (states["partial"] + states["fully_missing"] == 0),
+    texts = G.genotype_texts(F.col("samples"), G.genotype_index(F.col("format")))
+    called = records.withColumn("alts", F.split("alt", ",")).withColumn("calls", G.calls(texts))
+    per_record = called.drop("samples", "format", "alt").withColumns({
+        **{f"{name}_calls": c for name, c in G.state_counts(F.col("calls")).items()},
         "any_called": F.exists("calls", lambda c: c["called"] > 0),
         "alt_calls": G.with_alt(F.col("calls")),
+        "sample_total": F.size("calls"),
     }).drop("calls")
-    exploded = per_record.select("*", F.posexplode("alts").alias("_i", "alt")).withColumn(
-        "_i", F.col("_i") + 1)
+    exploded = per_record.select("*", F.posexplode("alts").alias("alt_index", "alt")).withColumn(
+        "alt_index", F.col("alt_index") + 1)
     counted = exploded.withColumns({
-        "info_ac": G.info_ac(F.col("info"), F.col("_i")),
-        "genotype_ac": G.alt_allele_count(F.col("alt_calls"), F.col("_i")),
-        "carrier_positions": G.alt_carriers(F.col("alt_calls"), F.col("_i")),
+        "complete": (F.col("sample_total") > 0)
+        & (F.col("complete_calls") == F.col("sample_total")),
+        "info_ac": G.info_ac(F.col("info"), F.col("alt_index")),
+        "genotype_ac": G.alt_allele_count(F.col("alt_calls"), F.col("alt_index")),
+        "carrier_positions": G.alt_carriers(F.col("alt_calls"), F.col("alt_index")),
     })
     counted = counted.withColumn(
         "ac", F.coalesce("info_ac", F.when(F.col("any_called"), F.col("genotype_ac"))))
-    return counted.drop("_i", "alts", "alt_calls", "info")
+    return counted.drop("alts", "alt_calls", "info", "sample_total")
 
 
 def allele_counters(alleles: DataFrame, by: list[str]) -> DataFrame:
-    """Where each ALT took its allele count from, and INFO/genotype agreement."""
+    """Call states, and where each ALT took its allele count from."""
     given = F.col("info_ac").isNotNull()
     compared = given & F.col("complete")
+    per_record = {
+        "complete_genotype_calls": F.col("complete_calls"),
+        "partial_genotype_calls": F.col("partial_calls"),
+        "fully_missing_genotype_calls": F.col("fully_missing_calls"),
+        "missing_genotypes": F.col("partial_calls") + F.col("fully_missing_calls"),
+    }
+    first = F.col("alt_index") == 1
     return alleles.groupBy(*by).agg(
+        F.count_if(first).alias("extracted_records"),
+        F.count(F.lit(1)).alias("alt_alleles"),
+        *[F.coalesce(F.sum(F.when(first, c)), F.lit(0)).alias(n) for n, c in per_record.items()],
         F.count_if(given).alias("info_ac_alt_alleles"),
         F.count_if(~given & F.col("any_called")).alias("genotype_ac_fallback_alt_alleles"),
         F.count_if(~given & ~F.col("any_called")).alias("unavailable_ac_alt_alleles"),
