@@ -61,7 +61,7 @@ def split_records(body: DataFrame) -> DataFrame:
              if n not in ("id", "qual", "filter")]
     return fields.select(
         "ord", F.size("f").alias("n_fields"), *cells,
-        F.slice("f", FIXED + 1, 2**31 - 1).alias("samples"),
+        F.slice("f", F.lit(FIXED + 1), F.greatest(F.size("f") - FIXED, F.lit(0))).alias("samples"),
     ).withColumn("pos", V.to_long(F.col("pos_text")))
 
 
