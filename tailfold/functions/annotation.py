@@ -12,7 +12,7 @@ HC_RANK, LC_RANK = 0, 1
 
 
 def _severity_array() -> Column:
-    return F.array(*[F.lit(t) for t in vocab.CONSEQUENCE_SEVERITY])
+    return F.expr("array('" + "', '".join(vocab.CONSEQUENCE_SEVERITY) + "')")
 
 
 def consequence_terms(c: Column) -> Column:
@@ -22,22 +22,27 @@ def consequence_terms(c: Column) -> Column:
     )
 
 
+def term_ranks(terms: Column) -> Column:
+    """1 = most severe term of the vocabulary, 0 = not in it, per term."""
+    listed = F.lit(",".join(vocab.CONSEQUENCE_SEVERITY))
+    return F.transform(terms, lambda t: F.find_in_set(t, listed))
+
+
 def unknown_terms(terms: Column) -> Column:
     return F.array_except(terms, _severity_array())
 
 
-def severity_rank(terms: Column) -> Column:
-    """0 = most severe recognised term of the list; NULL when none is known."""
-    ranks = F.transform(terms, lambda t: F.array_position(_severity_array(), t) - 1)
-    return F.array_min(F.filter(ranks, lambda r: r >= 0)).cast("int")
+def severity_rank(ranks: Column) -> Column:
+    """0 = most severe recognised term, from ``term_ranks``; NULL when none is known."""
+    return F.array_min(F.filter(ranks, lambda r: r > 0)) - 1
 
 
 def consequence_of_rank(rank: Column) -> Column:
     return F.get(_severity_array(), rank)
 
 
-def loftee_rank(c: Column) -> Column:
-    word = F.upper(strip(c))
+def loftee_rank(word: Column) -> Column:
+    """Rank of a stripped, upper-cased LoF label."""
     return F.when(word == "HC", HC_RANK).when(word == "LC", LC_RANK)
 
 
@@ -45,32 +50,32 @@ def loftee_of_rank(rank: Column) -> Column:
     return F.when(rank == HC_RANK, "HC").when(rank == LC_RANK, "LC")
 
 
-def is_missing_loftee(c: Column) -> Column:
-    return one_of(F.lower(strip(c)), vocab.MISSING_GENE)
+def is_missing_label(word: Column) -> Column:
+    return one_of(F.lower(word), vocab.MISSING_GENE)
 
 
 def is_missing_gene(c: Column) -> Column:
     return one_of(F.lower(c), vocab.MISSING_GENE)
 
 
-def frequency(c: Column) -> Column:
+def frequency(c: Column, number: Column | None = None) -> Column:
     """struct(status, raw_af, maf, converted) of an allele-frequency text.
 
     Above one half the minor frequency is ``1 - AF`` in decimal arithmetic, so
-    0.99 gives exactly 0.01 and an inclusive cut-off keeps it.
+    0.99 gives exactly 0.01 and an inclusive cut-off keeps it.  ``number`` takes
+    the already parsed value, to parse each text once.
     """
-    raw = to_double(c)
+    raw = to_double(c) if number is None else number
+    inside = raw.between(0.0, 1.0)
     exact_complement = (F.lit(1) - F.trim(c).try_cast("decimal(29,28)")).cast("double")
     status = (
-        F.when(one_of(F.lower(strip(c)), vocab.MISSING_FREQUENCY), "missing")
-        .when(raw.isNull(), "non_numeric")
-        .when((raw < 0) | (raw > 1), "out_of_range")
-        .otherwise("valid")
+        F.when(inside, "valid").when(raw.isNotNull(), "out_of_range")
+        .when(one_of(F.lower(strip(c)), vocab.MISSING_FREQUENCY), "missing")
+        .otherwise("non_numeric")
     )
-    valid = status == "valid"
     return F.struct(
         status.alias("status"),
-        F.when(valid, raw).alias("raw_af"),
-        F.when(valid, F.when(raw <= 0.5, raw).otherwise(exact_complement)).alias("maf"),
-        (valid & (raw > 0.5)).alias("converted"),
+        F.when(inside, raw).alias("raw_af"),
+        F.when(inside, F.when(raw <= 0.5, raw).otherwise(exact_complement)).alias("maf"),
+        F.coalesce(inside & (raw > 0.5), F.lit(False)).alias("converted"),
     )

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tailfold import vocab
 
 # fixed values: identifier and number patterns (Java regular expressions)
-WHITESPACE_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 TRAILING_VERSION = r"\.[0-9]+$"
 GENE_TOKEN = r"(?<![A-Za-z0-9])(ENSG[0-9]+)(?:\.[0-9]+)?"
 WHOLE_GENE_WITH_VERSION = r"^(ENSG[0-9]+)\.[0-9]+$"
@@ -16,9 +15,13 @@ INTEGER = r"^\s*[+-]?[0-9]+\s*$"
 JAVA_ONLY_NUMBER = "[dDfFxX]"
 
 
+# every character Unicode counts as white space
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
 def strip(c: Column) -> Column:
-    """Trim Unicode white space; ``trim`` would only remove spaces."""
-    return F.regexp_replace(c, WHITESPACE_EDGES, "")
+    """Trim Unicode white space; plain ``trim`` would only remove spaces."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def one_of(c: Column, words) -> Column:

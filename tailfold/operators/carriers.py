@@ -29,7 +29,8 @@ def alt_alleles(records: DataFrame) -> DataFrame:
         "alt_calls": G.with_alt(F.col("calls")),
         "sample_total": F.size("calls"),
     }).drop("calls")
-    exploded = per_record.select("*", F.posexplode("alts").alias("alt_index", "alt")).withColumn(
+    # "outer" keeps Spark from testing the array first, which would split each line twice
+    exploded = per_record.select("*", F.posexplode_outer("alts").alias("alt_index", "alt")).withColumn(
         "alt_index", F.col("alt_index") + 1)
     counted = exploded.withColumns({
         "complete": (F.col("sample_total") > 0)

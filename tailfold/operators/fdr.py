@@ -32,25 +32,34 @@ def benjamini_hochberg(df: DataFrame, p: str = "fisher_p_value",
     ``small`` skips the bucket planning for tables bounded by parameters, such as
     a result grid.
     """
-    known = df.where(F.col(p).isNotNull())
-    distinct = known.groupBy(p).agg(F.count(F.lit(1)).alias("_rows"))
-    total = known.agg(F.count(F.lit(1)).alias("_n")).scalar()
-    cuts = [] if small else _cuts(distinct, p)
-    if cuts:
-        adjusted = _bucketed(distinct, p, total, cuts)
-    else:
-        upto = Window.orderBy(F.asc(p)).rowsBetween(Window.unboundedPreceding, 0)
-        beyond = Window.orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
-        scaled = F.col(p) * total / F.sum("_rows").over(upto)
-        adjusted = distinct.withColumn("_scaled", scaled).withColumn(
-            "_q", F.min("_scaled").over(beyond))
-    final = adjusted.select(p, F.greatest(F.lit(0.0), F.least(F.lit(1.0), "_q")).alias(out))
+    if small:
+        return _windowed(df, p, out)
+    distinct = df.where(F.col(p).isNotNull()).groupBy(p).agg(F.count(F.lit(1)).alias("_rows"))
+    total = df.agg(F.count(p).alias("_n")).scalar()
+    adjusted = _bucketed(distinct, p, total, _cuts(distinct, p))
+    final = adjusted.select(p, _clamped("_q").alias(out))
     return df.join(final, p, "left")
 
 
+def _clamped(c) -> Column:
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
+
+
+def _windowed(df: DataFrame, p: str, out: str) -> DataFrame:
+    """One pass over a small table: range frames take equal p-values as one."""
+    edge = Window.unboundedPreceding
+    upto = Window.orderBy(F.asc(p)).rangeBetween(edge, 0)
+    beyond = Window.orderBy(F.desc(p)).rangeBetween(edge, 0)
+    everything = Window.orderBy(F.asc(p)).rangeBetween(edge, Window.unboundedFollowing)
+    scaled = F.col(p) * F.count(p).over(everything) / F.count(p).over(upto)
+    return df.withColumn("_scaled", scaled).withColumn(
+        out, _clamped(F.min("_scaled").over(beyond))).drop("_scaled")
+
+
 def _bucketed(distinct: DataFrame, p: str, total: Column, cuts: list[float]) -> DataFrame:
     """The two running aggregates over quantile buckets of the distinct p-values."""
-    above = F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col(p))
+    edges = F.array(*[F.lit(c) for c in cuts]).cast("array<double>")
+    above = F.filter(edges, lambda c: c < F.col(p))
     ranked = running(
         distinct.withColumn("_bucket", F.size(above)), [], "_bucket", F.asc(p),
         F.asc("_bucket"), "_rows", "sum", "_rank",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tailfold import vocab
 from tailfold.functions import annotation as A
-from tailfold.functions.values import match_gene
+from tailfold.functions.values import match_gene, strip, to_double
 
 ALLELE = ["chrom", "pos", "ref", "alt"]
 
@@ -18,25 +18,29 @@ def interpret(rows: DataFrame) -> DataFrame:
     Input: ``chrom, pos (long), ref, alt, gene_id, consequence, gvs_max_af``, an
     order column ``ord``, optionally ``LoF``; other columns pass through.
     """
-    lof = F.col(vocab.VAT_LOFTEE_COLUMN) if vocab.VAT_LOFTEE_COLUMN in rows.columns else None
-    gene = F.when(~A.is_missing_gene(F.col("gene_id")), match_gene(F.col("gene_id")))
-    typed = rows.select(
-        "*", A.frequency(F.col("gvs_max_af")).alias("frequency"),
-        A.consequence_terms(F.col("consequence")).alias("terms"), gene.alias("gene_key"),
-    )
-    typed = typed.withColumns({
-        "consequence_rank": A.severity_rank(F.col("terms")),
-        "unknown": A.unknown_terms(F.col("terms")),
-        "loftee_rank": F.lit(None).cast("int") if lof is None else A.loftee_rank(lof),
-    })
-    if lof is None:
-        return typed.withColumn("loftee_state", F.lit(None).cast("string"))
+    has_lof = vocab.VAT_LOFTEE_COLUMN in rows.columns
+    lof = F.col(vocab.VAT_LOFTEE_COLUMN) if has_lof else F.lit(None).cast("string")
+    # two steps: what several results need is worked out once
+    parsed = rows.withColumns({
+        "_af": to_double(F.col("gvs_max_af")),
+        "_lof": F.upper(strip(lof)),
+        "terms": A.consequence_terms(F.col("consequence")),
+    }).withColumn("_ranks", A.term_ranks(F.col("terms")))
+    label = F.col("_lof")
     state = (
-        F.when(F.col("loftee_rank") == A.HC_RANK, "hc")
-        .when(F.col("loftee_rank") == A.LC_RANK, "lc")
-        .when(A.is_missing_loftee(lof), "missing").otherwise("unrecognized")
+        F.when(label == "HC", "hc").when(label == "LC", "lc")
+        .when(A.is_missing_label(label), "missing").when(label.isNotNull(), "unrecognized")
     )
-    return typed.withColumn("loftee_state", state)
+    gene = F.col("gene_id")
+    return parsed.withColumns({
+        "frequency": A.frequency(F.col("gvs_max_af"), F.col("_af")),
+        "gene_key": F.when(~A.is_missing_gene(gene), match_gene(gene)),
+        "consequence_rank": A.severity_rank(F.col("_ranks")),
+        "unknown": F.when(F.array_contains("_ranks", 0), A.unknown_terms(F.col("terms")))
+        .otherwise(F.array().cast("array<string>")),
+        "loftee_rank": A.loftee_rank(label),
+        "loftee_state": state,
+    }).drop("_af", "_lof", "_ranks")
 
 
 def allele_frequencies(rows: DataFrame) -> DataFrame:

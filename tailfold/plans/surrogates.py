@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tailfold import vocab
 from tailfold.sources.bed import PhenotypeBed
@@ -22,8 +23,15 @@ BASES_PER_PART, BASES_PER_ORDER = 50, 7
 CONSEQUENCES = ("stop_gained", "frameshift_variant", "missense_variant", "synonymous_variant")
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the file footers once per path."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def text(column: str) -> Column:
@@ -136,7 +144,7 @@ def transcript_rows(spark, sf_dir) -> DataFrame:
         "l_linenumber") - 4
     gene = F.when(F.col("l_quantity") == 1, "NA").when(F.col("l_quantity") == 2, ".").otherwise(
         F.concat(ensembl(F.greatest(near, F.lit(0))), F.lit("."), text("l_linenumber")))
-    terms = F.array(*[F.lit(t) for t in vocab.CONSEQUENCE_SEVERITY])
+    terms = F.expr("array('" + "', '".join(vocab.CONSEQUENCE_SEVERITY) + "')")
     first = F.get(terms, (F.col("l_partkey") % 41).cast("int"))
     second = F.when(F.col("l_suppkey") % 7 == 0, "made_up_term").when(
         F.col("l_suppkey") % 7 == 1, "NA").otherwise(

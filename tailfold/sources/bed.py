@@ -46,10 +46,12 @@ class PhenotypeBed:
 
         ``posexplode`` streams the values of a row; ``unpivot`` would plan one
         projection per sample column.  Other samples go before values are parsed.
+        The ``outer`` form keeps Spark from splitting each wide line a second time
+        for an emptiness test.
         """
         keep = [c for c in rows.columns if c != "fields"]
         cells = F.slice("fields", LEADING + 1, len(self.samples))
-        melted = rows.select(*keep, F.posexplode(cells).alias("sample_idx", "text"))
+        melted = rows.select(*keep, F.posexplode_outer(cells).alias("sample_idx", "text"))
         return melted.join(samples, "sample_idx").select(
             *keep, "sample_id", V.phenotype(F.col("text")).alias("value"),
             V.is_bad_phenotype(F.col("text")).alias("bad"))
