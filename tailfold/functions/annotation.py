@@ -16,7 +16,8 @@ def _severity_array() -> Column:
 
 
 def consequence_terms(c: Column) -> Column:
-    terms = F.transform(F.split(c, "[&,]"), strip)
+    """Terms between ``&`` or ``,`` without blanks, missing tokens and repeats."""
+    terms = F.split(strip(c), r"(?U)\s*[&,]\s*")
     return F.array_distinct(
         F.filter(terms, lambda t: ~one_of(F.lower(t), vocab.MISSING_CONSEQUENCE))
     )

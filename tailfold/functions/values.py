@@ -12,7 +12,8 @@ TRAILING_VERSION = r"\.[0-9]+$"
 GENE_TOKEN = r"(?<![A-Za-z0-9])(ENSG[0-9]+)(?:\.[0-9]+)?"
 WHOLE_GENE_WITH_VERSION = r"^(ENSG[0-9]+)\.[0-9]+$"
 INTEGER = r"^\s*[+-]?[0-9]+\s*$"
-JAVA_ONLY_NUMBER = "[dDfFxX]"
+JAVA_SUFFIX = "[dDfF]"
+DIGITS = tuple("0123456789")
 
 
 # every character Unicode counts as white space
@@ -43,8 +44,8 @@ def gene_tokens(c: Column) -> Column:
 
 def single_gene(c: Column) -> Column:
     """The only gene ID of a composite identifier, or NULL for none or several."""
-    tokens = gene_tokens(c)
-    return F.when(F.size(tokens) == 1, tokens[0])
+    only = F.filter(F.array(gene_tokens(c)), lambda tokens: F.size(tokens) == 1)
+    return F.get(F.get(only, F.lit(0)), F.lit(0))
 
 
 def gene_problem(c: Column) -> Column:
@@ -71,12 +72,13 @@ def to_long(c: Column) -> Column:
 def to_double(c: Column) -> Column:
     """Finite double, or NULL.
 
-    Suffixed and hexadecimal literals, which only Java accepts, are kept out; the
-    pattern is looked at only for text that does cast.
+    Suffixed and hexadecimal literals, which only Java accepts, are kept out.  Most
+    numbers end in a digit and never meet the pattern.
     """
     number = c.try_cast("double")
     finite = F.abs(number) < F.lit(float("inf"))
-    return F.when(finite & ~c.rlike(JAVA_ONLY_NUMBER), number)
+    plain = F.substring(c, -1, 1).isin(*DIGITS) | ~c.rlike(JAVA_SUFFIX)
+    return F.when(finite & plain & ~c.contains("x") & ~c.contains("X"), number)
 
 
 def is_missing_phenotype(c: Column) -> Column:

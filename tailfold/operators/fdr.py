@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tailfold.operators.ordered import running
+from tailfold.session import stage
 
-ROWS_PER_BUCKET = 100_000
+ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 1_000
 
 
@@ -28,16 +29,21 @@ def benjamini_hochberg(df: DataFrame, p: str = "fisher_p_value",
     """Add ``out``: the smallest ``p' * n / rank(p')`` over all p' >= p, at most 1.
 
     Equal p-values share their rank's last position, so counting rows per distinct
-    p-value first is exact and takes care of a value held by very many rows.
-    ``small`` skips the bucket planning for tables bounded by parameters, such as
-    a result grid.
+    p-value first is exact and takes care of a value held by very many rows.  The
+    counted values are staged once; running sums and minima then go over quantile
+    buckets of them.  ``small`` is for tables bounded by parameters, such as a result
+    grid: one window, no staging.
     """
     if small:
-        return _windowed(df, p, out)
-    distinct = df.where(F.col(p).isNotNull()).groupBy(p).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.agg(F.count(p).alias("_n")).scalar()
-    adjusted = _bucketed(distinct, p, total, _cuts(distinct, p))
-    final = adjusted.select(p, _clamped("_q").alias(out))
+        return _windowed(df, p, out, F.lit(1))
+    counted = df.where(F.col(p).isNotNull()).groupBy(p).agg(F.count(F.lit(1)).alias("_rows"))
+    distinct = stage(counted, "p-values")
+    cuts = _cuts(distinct, p)
+    if cuts:
+        total = distinct.agg(F.sum("_rows").alias("_n")).scalar()
+        final = _bucketed(distinct, p, total, cuts).select(p, _clamped("_q").alias(out))
+    else:
+        final = _windowed(distinct, p, out, F.col("_rows")).select(p, out)
     return df.join(final, p, "left")
 
 
@@ -45,14 +51,14 @@ def _clamped(c) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
 
 
-def _windowed(df: DataFrame, p: str, out: str) -> DataFrame:
-    """One pass over a small table: range frames take equal p-values as one."""
-    edge = Window.unboundedPreceding
-    upto = Window.orderBy(F.asc(p)).rangeBetween(edge, 0)
+def _windowed(df: DataFrame, p: str, out: str, weight: Column) -> DataFrame:
+    """One window over a small table: range frames take equal p-values as one."""
+    edge, end = Window.unboundedPreceding, Window.unboundedFollowing
+    rows = F.when(F.col(p).isNotNull(), weight)
+    rank = F.sum(rows).over(Window.orderBy(F.asc(p)).rangeBetween(edge, 0))
+    total = F.sum(rows).over(Window.orderBy(F.asc(p)).rangeBetween(edge, end))
     beyond = Window.orderBy(F.desc(p)).rangeBetween(edge, 0)
-    everything = Window.orderBy(F.asc(p)).rangeBetween(edge, Window.unboundedFollowing)
-    scaled = F.col(p) * F.count(p).over(everything) / F.count(p).over(upto)
-    return df.withColumn("_scaled", scaled).withColumn(
+    return df.withColumn("_scaled", F.col(p) * total / rank).withColumn(
         out, _clamped(F.min("_scaled").over(beyond))).drop("_scaled")
 
 

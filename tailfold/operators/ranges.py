@@ -98,18 +98,20 @@ def query_chunks(features: DataFrame, max_distance: int, chunk_size_bp: int) ->
     )
 
 
-def within_windows(rows: DataFrame, windows: DataFrame, chunk_size_bp: int,
-                   salts: int = SALTS) -> DataFrame:
-    """Rows whose ``pos`` falls into a window, with their ``chunk`` identity.
+def within_windows(rows: DataFrame, windows: DataFrame, max_distance: int,
+                   chunk_size_bp: int, salts: int = SALTS) -> DataFrame:
+    """Rows whose ``pos`` falls into a query window, with their ``chunk`` identity.
 
     Windows are disjoint, so each row finds at most one.  They are listed in the
-    fixed-size bins they cross, which makes the lookup an equi-join.
+    bins they cross; a bin is as wide as the narrowest regular window, which keeps
+    the candidates per row to a handful and makes the lookup an equi-join.
     """
-    left = rows.withColumn("_bin", F.floor(F.col("pos") / BUCKET_BP).cast("bigint")).withColumn(
+    width = 2 * max_distance + 1
+    left = rows.withColumn("_bin", F.floor(F.col("pos") / width).cast("bigint")).withColumn(
         "_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
     listed = (
         windows.select("chrom", F.col("start").alias("_start"), F.col("end").alias("_end"))
-        .withColumn("_bin", F.explode(_bins(F.col("_start"), F.col("_end"), BUCKET_BP)))
+        .withColumn("_bin", F.explode(_bins(F.col("_start"), F.col("_end"), width)))
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
     hit = F.col("pos").between(F.col("_start"), F.col("_end"))

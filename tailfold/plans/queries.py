@@ -318,7 +318,7 @@ def query_chunks(spark, d):
 
 def variants_in_query_windows(spark, d):
     windows = ranges.query_windows(S.features(spark, d), WINDOW)
-    located = ranges.within_windows(S.variants(spark, d), windows, CHUNK)
+    located = ranges.within_windows(S.variants(spark, d), windows, WINDOW, CHUNK)
     return located.select("o_orderkey", "chrom", "pos", F.col("chunk.window").alias("window_start"),
                           F.col("chunk.piece").alias("piece"))
 

@@ -168,9 +168,9 @@ def classify_chromosome(spark: SparkSession, vcf, vat, vat_schema, features, sha
         qc[key] = chunk_count
 
     annotations, frequencies = _annotations(
-        spark, vat, schema, on_chrom, windows, annotation_chunk_size_bp, maximum_gvs_maf,
-        consequence_classes, qc)
-    alleles = _alleles(source, on_chrom, windows, annotation_chunk_size_bp, qc)
+        spark, vat, schema, on_chrom, windows, max_distance, annotation_chunk_size_bp,
+        maximum_gvs_maf, consequence_classes, qc)
+    alleles = _alleles(source, on_chrom, windows, max_distance, annotation_chunk_size_bp, qc)
     known = C.with_frequency(alleles.where("ac IS NOT NULL"), frequencies)
     joined = known.agg(F.count("status").alias("yes"), F.count_if(F.col("status").isNull())
                        .alias("no")).first()
@@ -193,9 +193,10 @@ def _count(qc: dict, counters: DataFrame) -> None:
     qc.update({k: v for k, v in counters.first().asDict().items() if v is not None})
 
 
-def _annotations(spark, vat, schema, on_chrom, windows, chunk_bp, maximum_maf, consequences, qc):
+def _annotations(spark, vat, schema, on_chrom, windows, distance, chunk_bp, maximum_maf,
+                 consequences, qc):
     _, rows = vat_source.read_vat(spark, vat, schema)
-    located = ranges.within_windows(rows.where(on_chrom), windows, chunk_bp)
+    located = ranges.within_windows(rows.where(on_chrom), windows, distance, chunk_bp)
     text.fail_on_violation(located, vat_source.row_problem(schema), "VAT",
                            text.read_lines(spark, vat))
     parsed = stage(T.interpret(located.drop("line")), "vat-rows")
@@ -210,8 +211,9 @@ def _annotations(spark, vat, schema, on_chrom, windows, chunk_bp, maximum_maf, c
     return annotations, frequencies
 
 
-def _alleles(source, on_chrom, windows, chunk_bp, qc) -> DataFrame:
-    located = ranges.within_windows(source.records.where(on_chrom), windows, chunk_bp)
+def _alleles(source, on_chrom, windows, distance, chunk_bp, qc) -> DataFrame:
+    located = ranges.within_windows(
+        source.records.where(on_chrom), windows, distance, chunk_bp)
     checked = located.withColumn("problem", vcf_source.record_problem(len(source.samples)))
     alleles = stage(C.alt_alleles(checked.drop("chunk", "n_fields", "pos_text")), "alleles")
     text.fail_on_violation(alleles, F.col("problem"), "VCF", source.lines)
