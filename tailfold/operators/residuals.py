@@ -448,19 +448,25 @@ def _side(blocks: DataFrame, fits: DataFrame, sweep: Sweep) -> DataFrame:
     return design.unionByName(fitted, allowMissingColumns=True)
 
 
-def _prepare(flagged, design, fixed, pc_counts, with_labels, sweep):
+def _prepare(flagged, design, fixed, pc_counts, with_labels, sweep, cached):
     sweep = sweep or plan_sweep(flagged, design, fixed, pc_counts)
     blocks = block_samples(design, sweep.sample_blocks).persist(StorageLevel.MEMORY_AND_DISK)
     tiles = _tiles(flagged, blocks, sweep, with_labels)
     fits = fit_models(tiles, blocks, sweep).persist(StorageLevel.MEMORY_AND_DISK)
+    if cached is not None:
+        cached += [blocks, tiles, fits]
     return sweep, blocks, tiles, fits
 
 
 def gene_sweep(flagged: DataFrame, design: DataFrame, fixed: int, pc_counts,
-               thresholds, sweep: Sweep | None = None) -> DataFrame:
-    """Per (gene, PC count): fit summary plus outlier and carrier counts."""
+               thresholds, sweep: Sweep | None = None, cached: list | None = None) -> DataFrame:
+    """Per (gene, PC count): fit summary plus outlier and carrier counts.
+
+    Tiles and fits are cached, because both passes read them; the frames are added to
+    ``cached`` for the caller to unpersist once the result is written.
+    """
     thresholds = tuple(thresholds)
-    sweep, blocks, tiles, fits = _prepare(flagged, design, fixed, pc_counts, False, sweep)
+    sweep, blocks, tiles, fits = _prepare(flagged, design, fixed, pc_counts, False, sweep, cached)
     counts = count_columns(len(thresholds))
     schema = pa.schema(
         [("gene_id", pa.string()), ("step", pa.int32()), ("residual_sum", pa.float64())]
@@ -497,7 +503,7 @@ def residual_z(observations: DataFrame, design: DataFrame, fixed: int, pc_counts
     """Long z-scores of the eligible genes, for a few PC counts."""
     flagged = observations.select(
         "gene_id", "sample_id", "value", *[F.lit(False).alias(f) for f in FLAGS])
-    sweep, blocks, tiles, fits = _prepare(flagged, design, fixed, pc_counts, True, sweep)
+    sweep, blocks, tiles, fits = _prepare(flagged, design, fixed, pc_counts, True, sweep, None)
     schema = pa.schema([("gene_id", pa.string()), ("sample_id", pa.string()),
                         ("pc_count", pa.int32()), ("z", pa.float64())])
     return (

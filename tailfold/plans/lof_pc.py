@@ -63,7 +63,7 @@ def write_pc_chunks(spark: SparkSession, principal_components, pc_counts, per_jo
 
 
 def gene_table(flagged: DataFrame, design: DataFrame, fixed: int, pc_counts,
-               thresholds) -> DataFrame:
+               thresholds, cached: list | None = None) -> DataFrame:
     """Per gene and PC count: fit summary and cell counts.
 
     Intercept-only models need no linear algebra and stay in the JVM.
@@ -71,7 +71,7 @@ def gene_table(flagged: DataFrame, design: DataFrame, fixed: int, pc_counts,
     if fixed == 0 and list(pc_counts) == [0]:
         shared = flagged.join(design.select("sample_id"), "sample_id", "left_semi")
         return residuals.gene_baseline(shared, thresholds)
-    return residuals.gene_sweep(flagged, design, fixed, pc_counts, thresholds)
+    return residuals.gene_sweep(flagged, design, fixed, pc_counts, thresholds, cached=cached)
 
 
 def enrichment(observations: DataFrame, design: DataFrame, pairs: DataFrame, fixed: int,
@@ -127,7 +127,10 @@ def run(spark: SparkSession, phenotype_bed, lof_carriers, principal_components,
         collapse.flag_observations(collapse.collapse_genes(melted), pairs), "observations")
     design = stage(
         design_table(shared, pcs.table, None if covs is None else covs.table, max(grid)), "design")
-    table = stage(gene_table(flagged, design, fixed, grid, thresholds), "gene-table")
+    cached: list[DataFrame] = []
+    table = stage(gene_table(flagged, design, fixed, grid, thresholds, cached), "gene-table")
+    for frame in cached:
+        frame.unpersist()
 
     totals = stage(cells.sweep_totals(table), "totals")
     per_pc = _per_pc(totals, grid)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tailfold import config, plots, sinks, vocab
 from tailfold.operators import plateau
+from tailfold.session import stage
 from tailfold.sources import tables
 
 LOG = logging.getLogger(__name__)
@@ -56,7 +57,7 @@ def analyze(spark: SparkSession, results_input, selection_output, plot_output, *
             selection_z_thresholds=vocab.SELECTION_THRESHOLDS,
             plateau_fraction: float = vocab.PLATEAU_FRACTION) -> None:
     thresholds = config.negative_thresholds(selection_z_thresholds)
-    rows = tables.read_selection_rows(spark, results_input).persist()
+    rows = stage(tables.read_selection_rows(spark, results_input), "result-rows")
     skipped = tables.check_selection_rows(rows, thresholds, vocab.SELECTION_DEFINITIONS)
     if skipped:
         LOG.warning("Skipped %d enrichment rows with no observations and no estimable odds ratio",
@@ -67,7 +68,6 @@ def analyze(spark: SparkSession, results_input, selection_output, plot_output, *
     selection["excluded_z_thresholds"] = [t for t in observed if t not in thresholds]
     sinks.write_json(selection_output, {"selection": selection, "median_log_or": medians})
     plots.write_selection_svg(plot_output, _curves(rows), observed, medians, selection)
-    rows.unpersist()
 
 
 def _curves(rows: DataFrame) -> list:
