@@ -53,7 +53,7 @@ FLAGGED = """flagged AS (
 
 
 def _z(first: str, second: str) -> str:
-    """Nested residual z-scores by Gram-Schmidt within each gene."""
+    """Nested residual z-scores by Gram-Schmidt within each gene with enough samples."""
     return f"""usable AS (
   SELECT gene_id, sample_id, value AS y, {first} AS a, {second} AS b
   FROM obs JOIN supplier ON sample_id = CAST(s_suppkey AS VARCHAR) WHERE value IS NOT NULL),
@@ -68,11 +68,13 @@ r2 AS (
   SELECT *, r1 - bp * (sum(bp * r1) OVER g / sum(bp * bp) OVER g) AS r2
   FROM r1 WINDOW g AS (PARTITION BY gene_id)),
 wide AS (
-  SELECT gene_id, sample_id, r0 / sqrt(avg(r0 * r0) OVER g) AS z0,
+  SELECT gene_id, sample_id, count(*) OVER g AS n, r0 / sqrt(avg(r0 * r0) OVER g) AS z0,
     r1 / sqrt(avg(r1 * r1) OVER g) AS z1, r2 / sqrt(avg(r2 * r2) OVER g) AS z2
   FROM r2 WINDOW g AS (PARTITION BY gene_id)),
 zs AS (
-  SELECT gene_id, sample_id, unnest([0, 1, 2]) AS step, unnest([z0, z1, z2]) AS z FROM wide)"""
+  SELECT gene_id, sample_id, step, z
+  FROM (SELECT *, unnest([0, 1, 2]) AS step, unnest([z0, z1, z2]) AS z FROM wide)
+  WHERE n > step + 2)"""
 
 
 def _statistics(n11, outliers, n01, others) -> str:

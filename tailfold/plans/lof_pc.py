@@ -82,6 +82,8 @@ def enrichment(observations: DataFrame, design: DataFrame, pairs: DataFrame, fix
     ``design``: (sample_id, x); ``pairs``: output of ``carrier_pairs``.
     """
     flagged = collapse.flag_observations(collapse.collapse_genes(observations), pairs)
+    if fixed or list(pc_counts) != [0]:
+        flagged = stage(flagged, "observations")
     genes = gene_table(flagged, design, fixed, pc_counts, thresholds)
     grid = cells.sweep_cells(cells.sweep_totals(genes), pc_counts, thresholds)
     return cells.sweep_statistics(grid)

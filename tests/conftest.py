@@ -16,7 +16,8 @@ def spark():
         "tailfold-tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
         },
