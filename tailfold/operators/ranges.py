@@ -10,35 +10,46 @@ from tailfold.operators.ordered import running
 
 BUCKET_BP = 1 << 20
 SALTS = 8
+# a position index of at most this many rows (some tens of MB) is broadcast
+BROADCAST_ROWS = 500_000
 
 
 def _bins(low, high, width: int):
     return F.sequence(F.floor(low / width).cast("bigint"), F.floor(high / width).cast("bigint"))
 
 
-def range_join(variants: DataFrame, features: DataFrame, max_distance: int,
-               salts: int = SALTS) -> DataFrame:
+def _meet(rows: DataFrame, index: DataFrame, entries: int) -> DataFrame:
+    """Join ``rows`` with a bin index on (chrom, bin), by the measured index size.
+
+    A small index is broadcast, so wide rows such as VCF records never move.  A large
+    one is repeated over a few salts for a sort-merge join, which spreads the rows of
+    a crowded bin over several tasks.
+    """
+    if entries <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(index), ["chrom", "_bin"])
+    salted = rows.withColumn(
+        "_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    copies = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies.hint("merge"), ["chrom", "_bin", "_salt"]).drop("_salt")
+
+
+def range_join(variants: DataFrame, features: DataFrame, max_distance: int) -> DataFrame:
     """Variant-feature pairs on one chromosome with ``|pos - tss| <= max_distance``.
 
     Both sides meet in position bins, so the join is an equi-join followed by an
     exact test.  A variant lies in one bin only: no pair can appear twice.  The
-    feature table, which is the smaller one by far, is repeated over the bins it
-    reaches and over a few salts; variants of a crowded bin thereby spread over
-    several tasks.
+    feature table, which is the smaller one by far, is listed in the three bins each
+    feature reaches.
     """
     config.max_distance(max_distance)
     width = max(max_distance, 1)
-    left = variants.withColumn("_bin", F.floor(F.col("pos") / width).cast("bigint")).withColumn(
-        "_salt", F.pmod(F.xxhash64(*variants.columns), F.lit(salts)).cast("int"))
+    left = variants.withColumn("_bin", F.floor(F.col("pos") / width).cast("bigint"))
     reach = _bins(F.col("tss") - max_distance, F.col("tss") + max_distance, width)
-    right = features.withColumn("_bin", F.explode(reach)).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    pairs = left.join(right, ["chrom", "_bin", "_salt"])
-    distance = F.abs(F.col("pos") - F.col("tss"))
+    pairs = _meet(left, features.withColumn("_bin", F.explode(reach)), 3 * features.count())
     return (
-        pairs.withColumn("distance", distance)
+        pairs.withColumn("distance", F.abs(F.col("pos") - F.col("tss")))
         .where(F.col("distance") <= max_distance)
-        .drop("_bin", "_salt")
+        .drop("_bin")
     )
 
 
@@ -99,7 +110,7 @@ def query_chunks(features: DataFrame, max_distance: int, chunk_size_bp: int) ->
 
 
 def within_windows(rows: DataFrame, windows: DataFrame, max_distance: int,
-                   chunk_size_bp: int, salts: int = SALTS) -> DataFrame:
+                   chunk_size_bp: int) -> DataFrame:
     """Rows whose ``pos`` falls into a query window, with their ``chunk`` identity.
 
     Windows are disjoint, so each row finds at most one.  They are listed in the
@@ -107,17 +118,17 @@ def within_windows(rows: DataFrame, windows: DataFrame, max_distance: int,
     the candidates per row to a handful and makes the lookup an equi-join.
     """
     width = 2 * max_distance + 1
-    left = rows.withColumn("_bin", F.floor(F.col("pos") / width).cast("bigint")).withColumn(
-        "_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
-    listed = (
-        windows.select("chrom", F.col("start").alias("_start"), F.col("end").alias("_end"))
-        .withColumn("_bin", F.explode(_bins(F.col("_start"), F.col("_end"), width)))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    hit = F.col("pos").between(F.col("_start"), F.col("_end"))
+    left = rows.withColumn("_bin", F.floor(F.col("pos") / width).cast("bigint"))
+    bins = _bins(F.col("start"), F.col("end"), width)
+    entries = windows.agg(
+        F.sum(F.floor(F.col("end") / width) - F.floor(F.col("start") / width) + 1)).first()[0]
+    listed = windows.select(
+        "chrom", F.col("start").alias("_start"), F.col("end").alias("_end"),
+        F.explode(bins).alias("_bin"))
     index = F.floor((F.col("pos") - F.col("_start")) / chunk_size_bp).cast("bigint")
     return (
-        left.join(listed, ["chrom", "_bin", "_salt"]).where(hit)
+        _meet(left, listed, int(entries or 0))
+        .where(F.col("pos").between(F.col("_start"), F.col("_end")))
         .withColumn("chunk", F.struct(F.col("_start").alias("window"), index.alias("piece")))
-        .drop("_bin", "_salt", "_start", "_end")
+        .drop("_bin", "_start", "_end")
     )

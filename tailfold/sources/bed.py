@@ -12,6 +12,8 @@ from tailfold.functions import values as V
 from tailfold.sources import text
 
 LEADING = 4
+# the sample map comes from one header line; up to this many names it is broadcast
+BROADCAST_SAMPLES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -52,6 +54,8 @@ class PhenotypeBed:
         keep = [c for c in rows.columns if c != "fields"]
         cells = F.slice("fields", LEADING + 1, len(self.samples))
         melted = rows.select(*keep, F.posexplode_outer(cells).alias("sample_idx", "text"))
+        if len(self.samples) <= BROADCAST_SAMPLES:
+            samples = F.broadcast(samples)
         return melted.join(samples, "sample_idx").select(
             *keep, "sample_id", V.phenotype(F.col("text")).alias("value"),
             V.is_bad_phenotype(F.col("text")).alias("bad"))

@@ -70,10 +70,11 @@ def merged(intervals, closed):
     return [tuple(x) for x in out]
 
 
-@pytest.mark.parametrize("bucket", [1 << 20, 64])
+@pytest.mark.parametrize("bucket,broadcast", [(1 << 20, 10**6), (64, 0)])
 @pytest.mark.parametrize("distance", [0, 3, 20])
-def test_windows_chunks_and_lookup(spark, monkeypatch, bucket, distance):
+def test_windows_chunks_and_lookup(spark, monkeypatch, bucket, broadcast, distance):
     monkeypatch.setattr(ranges, "BUCKET_BP", bucket)
+    monkeypatch.setattr(ranges, "BROADCAST_ROWS", broadcast)
     draw = random.Random(distance)
     sites = [5] * 30 + [draw.randrange(1, 3000) for _ in range(60)]
     features = spark.createDataFrame(
@@ -97,8 +98,10 @@ def test_windows_chunks_and_lookup(spark, monkeypatch, bucket, distance):
     assert located == expected
 
 
+@pytest.mark.parametrize("broadcast", [0, 10**6])
 @pytest.mark.parametrize("distance", [0, 1, 40])
-def test_range_join_matches_all_pairs_with_a_hot_position(spark, distance):
+def test_range_join_matches_all_pairs_with_a_hot_position(spark, monkeypatch, broadcast, distance):
+    monkeypatch.setattr(ranges, "BROADCAST_ROWS", broadcast)
     draw = random.Random(distance)
     sites = [100] * 5 + [draw.randrange(1, 2000) for _ in range(80)]
     positions = [100] * 150 + [draw.randrange(1, 2000) for _ in range(300)]
