@@ -35,6 +35,7 @@ from tailfold.operators.samples import block_samples
 SAMPLE_BLOCK = 4096
 GENE_BLOCK = 512
 FAN_IN = 32
+SMALLEST_GENE_BLOCK = 16
 MERGE_BUDGET_BYTES = 512 << 20
 ZERO_SD_FACTOR = 16.0
 
@@ -62,7 +63,8 @@ def plan_sweep(flagged: DataFrame, design: DataFrame, fixed: int, pc_counts,
     """Choose tile counts so that every task of the sweep stays bounded.
 
     With missing values each gene may need a factor of its own, so fewer genes
-    share a block as the design gets wider.
+    share a block as the design gets wider.  Small matrices are cut finer than that,
+    to give every core a tile.
     """
     facts = flagged.agg(
         F.count_distinct("gene_id").alias("genes"), F.count("value").alias("present")
@@ -73,8 +75,12 @@ def plan_sweep(flagged: DataFrame, design: DataFrame, fixed: int, pc_counts,
     genes = GENE_BLOCK
     if facts.present < facts.genes * samples:
         per_gene = 8 * min(width, sample_block) * width * min(blocks, fan_in)
-        genes = max(16, min(GENE_BLOCK, MERGE_BUDGET_BYTES // per_gene))
-    return Sweep(fixed, tuple(pc_counts), blocks, max(1, math.ceil(facts.genes / genes)), fan_in)
+        genes = max(SMALLEST_GENE_BLOCK, min(GENE_BLOCK, MERGE_BUDGET_BYTES // per_gene))
+    cores = design.sparkSession.sparkContext.defaultParallelism
+    wanted = math.ceil(cores / blocks)
+    finest = max(1, facts.genes // SMALLEST_GENE_BLOCK)
+    gene_blocks = max(math.ceil(facts.genes / genes), min(wanted, finest), 1)
+    return Sweep(fixed, tuple(pc_counts), blocks, gene_blocks, fan_in)
 
 
 # ------------------------------------------------------------ Arrow helpers

@@ -197,11 +197,13 @@ def _annotations(spark, vat, schema, on_chrom, windows, distance, chunk_bp, maxi
                  consequences, qc):
     _, rows = vat_source.read_vat(spark, vat, schema)
     located = ranges.within_windows(rows.where(on_chrom), windows, distance, chunk_bp)
-    text.fail_on_violation(located, vat_source.row_problem(schema), "VAT",
-                           text.read_lines(spark, vat))
-    parsed = stage(T.interpret(located.drop("line")), "vat-rows")
+    # the text is read once: rules, digest and parsed columns are staged together
+    checked = located.withColumns({
+        "problem": vat_source.row_problem(schema), "digest": F.unhex(F.sha2("line", 256))})
+    parsed = stage(T.interpret(checked.drop("line")), "vat-rows")
+    text.fail_on_violation(parsed, F.col("problem"), "VAT", text.read_lines(spark, vat))
     _count(qc, T.row_counters(parsed, []))
-    _count(qc, T.duplicate_rows(located.select("line"), []))
+    _count(qc, T.duplicate_rows(parsed, [], "digest"))
     # terms are distinct within a chunk and then summed over chunks
     qc["unknown_consequence_terms"] = T.unknown_term_counts(parsed, ["chunk"]).count()
     frequencies = stage(T.allele_frequencies(parsed), "frequencies")
