@@ -334,6 +334,25 @@ alleles AS (
 
 # ------------------------------------------------------------------- texts
 
+EXCLUSIONS = """cells AS (
+  SELECT l_partkey, l_suppkey, max(CASE WHEN l_quantity >= 45 THEN l_quantity END) AS q
+  FROM lineitem GROUP BY 1, 2),
+vals AS (SELECT l_partkey AS g, l_suppkey % 2 AS x,
+  CASE WHEN q >= 48 THEN 1.0::DOUBLE WHEN q IS NOT NULL THEN 0.0::DOUBLE END AS y FROM cells),
+by_x AS (
+  SELECT g, x, count(y) AS n, sum(y) AS s, sum(y * y) AS ss FROM vals GROUP BY 1, 2),
+genes AS (
+  SELECT g, CAST(sum(n) AS BIGINT) AS usable, count(*) FILTER (n > 0) AS groups,
+    sum(ss) AS ss, sum(s) AS s, sum(CASE WHEN n > 0 THEN s * s / n ELSE 0 END) AS between_x
+  FROM by_x GROUP BY 1),
+fits AS (
+  SELECT *, unnest([0, 1]) AS pc_count, unnest([1, least(groups, 2)]) AS r,
+    unnest([ss - s * s / nullif(usable, 0), ss - between_x]) AS sse FROM genes),
+judged AS (
+  SELECT *, CASE WHEN usable = 0 THEN 'other' WHEN usable <= r + 1 THEN 'insufficient_dof'
+    WHEN r < pc_count + 1 THEN 'rank_deficiency'
+    WHEN sse < 1e-9 THEN 'invalid_or_zero_residual_sd' END AS reason FROM fits)"""
+
 SQL = {
     "identifier_normalisation": """
 WITH ids AS (
@@ -389,30 +408,18 @@ SELECT * EXCLUDE (value), round(value, 6) AS value FROM flagged""",
 SELECT gene_id, sample_id, round(z, 6) AS z FROM zs WHERE step = 0""",
     "residual_z_scores": _with(LINES, OBS, _z("s_acctbal", "s_nationkey")) + """
 SELECT gene_id, sample_id, CAST(step AS INTEGER) AS pc_count, round(z, 6) AS z FROM zs""",
-    "residual_exclusions": """
-WITH cells AS (
-  SELECT l_partkey, l_suppkey, max(CASE WHEN l_quantity >= 45 THEN l_quantity END) AS q
-  FROM lineitem GROUP BY 1, 2),
-vals AS (SELECT l_partkey AS g, l_suppkey % 2 AS x,
-  CASE WHEN q >= 48 THEN 1.0::DOUBLE WHEN q IS NOT NULL THEN 0.0::DOUBLE END AS y FROM cells),
-by_x AS (
-  SELECT g, x, count(y) AS n, sum(y) AS s, sum(y * y) AS ss FROM vals GROUP BY 1, 2),
-genes AS (
-  SELECT g, CAST(sum(n) AS BIGINT) AS usable, count(*) FILTER (n > 0) AS groups,
-    sum(ss) AS ss, sum(s) AS s, sum(CASE WHEN n > 0 THEN s * s / n ELSE 0 END) AS between_x
-  FROM by_x GROUP BY 1),
-fits AS (
-  SELECT *, unnest([0, 1]) AS pc_count, unnest([1, least(groups, 2)]) AS r,
-    unnest([ss - s * s / nullif(usable, 0), ss - between_x]) AS sse FROM genes),
-judged AS (
-  SELECT *, CASE WHEN usable = 0 THEN 'other' WHEN usable <= r + 1 THEN 'insufficient_dof'
-    WHEN r < pc_count + 1 THEN 'rank_deficiency'
-    WHEN sse < 1e-9 THEN 'invalid_or_zero_residual_sd' END AS reason FROM fits)
+    "residual_exclusions": _with(EXCLUSIONS) + """
 SELECT CAST(g AS VARCHAR) AS gene_id, CAST(pc_count AS INTEGER) AS pc_count, usable,
   CAST(CASE WHEN usable > 0 THEN r END AS INTEGER) AS rank,
   CASE WHEN reason IS NULL THEN round(sqrt(sse / usable), 6)
     WHEN reason = 'invalid_or_zero_residual_sd' THEN 0.0 END AS residual_sd, reason
 FROM judged""",
+    "sweep_exclusion_totals": _with(EXCLUSIONS) + """
+SELECT CAST(pc_count AS INTEGER) AS pc_count,
+  count(*) FILTER (reason IS NULL) AS eligible_gene_count,
+  CAST(coalesce(sum(usable) FILTER (reason IS NULL), 0) AS BIGINT) AS total_observations,
+""" + ", ".join(f"count(*) FILTER (reason = '{r}') AS {r}" for r in vocab.EXCLUSION_REASONS) + """
+FROM judged GROUP BY 1""",
     "lof_pc_enrichment": _lof_pc("s_acctbal", "s_nationkey", {0: 0, 1: 1, 2: 2}),
     "lof_pc_with_covariate": _lof_pc("s_acctbal", "s_nationkey", {1: 0, 2: 1}),
     "lof_pc_intercept_only": _lof_pc("s_acctbal", "s_nationkey", {0: 0}),

@@ -145,17 +145,25 @@ def residual_z_scores(spark, d):
     return rounded(z, "z")
 
 
-def residual_exclusions(spark, d):
+def _sparse_fits(spark, d):
     design = S.table(spark, d, "supplier").select(
         S.text("s_suppkey").alias("sample_id"),
         F.array((F.col("s_suppkey") % 2).cast("double")).alias("x"))
     flagged = S.sparse_observations(spark, d).select(
         "*", *[F.lit(False).alias(f) for f in collapse.FLAGS])
-    fits = residuals.gene_sweep(flagged, design, 0, [0, 1], [-1.0])
-    return rounded(fits, "residual_sd").select(
+    return residuals.gene_sweep(flagged, design, 0, [0, 1], [-1.0])
+
+
+def residual_exclusions(spark, d):
+    return rounded(_sparse_fits(spark, d), "residual_sd").select(
         "gene_id", "pc_count", "usable", "rank", "residual_sd", "reason")
 
 
+def sweep_exclusion_totals(spark, d):
+    return cells.sweep_totals(_sparse_fits(spark, d)).select(
+        "pc_count", "eligible_gene_count", "total_observations", *vocab.EXCLUSION_REASONS)
+
+
 def lof_pc_enrichment(spark, d):
     return _lof_pc(spark, d, S.design(spark, d), 0, S.PC_COUNTS)
 
@@ -378,7 +386,8 @@ QUERIES = {
         identifier_normalisation, value_parsing, phenotype_bed_long, phenotype_bed_validation,
         gtf_coding_genes, carrier_definitions, carrier_definition_counts, gene_min_collapse,
         sample_intersection, sample_overlap_counts, flagged_observations,
-        standardized_expression, residual_z_scores, residual_exclusions, lof_pc_enrichment,
+        standardized_expression, residual_z_scores, residual_exclusions,
+        sweep_exclusion_totals, lof_pc_enrichment,
         lof_pc_with_covariate, lof_pc_intercept_only, fisher_two_sided, table_rates_and_odds,
         bh_fdr, shard_merge_global_fdr, median_log_odds, plateau_pc_count,
         sweep_percent_of_maximum, outlier_tails, phenotype_totals, vcf_alt_alleles,
