@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tailfold.llm import exact_dedup, mixing, settings
+from tailfold.llm import exact_dedup, mixing, pieces, settings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         settings.MIX_REST_PARTS, settings.MIX_BLOCK_DOCS, settings.MIX_SEED)
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of ids and decoded text of every document."""
+    return pieces.encoded(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which document stays of every group of equal texts."""
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
@@ -25,5 +30,6 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op5_sentencepiece": op5_sentencepiece,
     "op9_exact_dedup": op9_exact_dedup,
 }
