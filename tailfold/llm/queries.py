@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tailfold.llm import exact_dedup, mixing, pieces, settings
+from tailfold.llm import exact_dedup, mixing, ngram_join, pieces, quality, settings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,11 +18,21 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         settings.MIX_REST_PARTS, settings.MIX_BLOCK_DOCS, settings.MIX_SEED)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text of every document."""
     return pieces.encoded(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of word 5-grams and component of every document at a Jaccard similarity of 0.75."""
+    return ngram_join.linked(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which document stays of every group of equal texts."""
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
@@ -30,6 +40,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_quality": op2_quality,
     "op5_sentencepiece": op5_sentencepiece,
+    "op8_ngram_join": op8_ngram_join,
     "op9_exact_dedup": op9_exact_dedup,
 }

@@ -59,4 +59,31 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
-SQL = {"op1_mix_sources": _MIX, "op9_exact_dedup": _EXACT}
+# Every two documents that share an n-gram are compared; far too slow beyond small tables.
+_NGRAMS = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+s AS (
+  SELECT doc_id, unnest(CASE WHEN len(words) >= 5
+           THEN list_distinct(list_transform(range(1, len(words) - 3),
+                                             lambda i: list_aggregate(words[i:i + 4], 'string_agg', ' ')))
+           WHEN len(words) > 0 THEN [list_aggregate(words, 'string_agg', ' ')] ELSE [] END) AS g
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * common >= 75 * (nx.n + ny.n - common)),
+reach(x, y) AS (
+  SELECT doc_id, doc_id FROM documents UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(y) FROM reach WHERE x = d.doc_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id)
+"""
+
+SQL = {"op8_ngram_join": _NGRAMS, "op1_mix_sources": _MIX, "op9_exact_dedup": _EXACT}

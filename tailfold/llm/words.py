@@ -84,8 +84,25 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[ends[0]:ends[-1]], ends - ends[0]
 
 
-def slices(column: pa.Array) -> Iterator[Slice]:
-    """The rows of a batch in order, about SLICE_BYTES at a time."""
+def byte_classes(symbols_apart: bool = False) -> np.ndarray:
+    """The class of every byte: 0 for white space, 1 for words, 2 for symbols if they stand apart.
+
+    Words are then runs of ASCII letters and digits and of bytes beyond ASCII.
+    """
+    classes = np.ones(256, np.uint8)
+    classes[[32, *range(9, 14)]] = 0
+    if symbols_apart:
+        for byte in range(128):
+            if classes[byte] and not chr(byte).isalnum():
+                classes[byte] = 2
+    return classes
+
+
+WORDS = byte_classes()
+
+
+def slices(column: pa.Array, classes: np.ndarray = WORDS) -> Iterator[Slice]:
+    """The rows of a batch in order, about SLICE_BYTES at a time; words are runs of one class."""
     data, offsets = text_buffers(column)
     first = 0
     while first < len(offsets) - 1:
@@ -93,19 +110,13 @@ def slices(column: pa.Array) -> Iterator[Slice]:
         last = min(max(last, first + 1), len(offsets) - 1)
         own = offsets[first:last + 1]
         part, own = data[own[0]:own[-1]], own - own[0]
-        word = np.ones(len(part) + 2, bool)
-        word[0] = word[-1] = False
-        word[1:-1] = (part != 32) & ((part < 9) | (part > 13))
-        edge = word[1:] != word[:-1]
-        cut = own[1:-1]
-        cut = cut[(cut > 0) & (cut < len(part))]
-        # A word does not run on from one text to the next.
-        joined = np.unique(cut[word[cut] & word[cut + 1]]) if len(part) else cut
-        starts = np.flatnonzero(edge & word[1:])
-        ends = np.flatnonzero(edge & word[:-1])
-        if len(joined):
-            starts = np.sort(np.concatenate([starts, joined]))
-            ends = np.sort(np.concatenate([ends, joined]))
+        kind = classes[part]
+        edge = np.ones(len(part) + 1, bool)
+        edge[1:-1] = kind[1:] != kind[:-1]
+        edge[own] = True  # a word does not run on from one text to the next
+        edges = np.flatnonzero(edge)
+        word = kind[edges[:-1]] > 0
+        starts, ends = edges[:-1][word], edges[1:][word]
         yield Slice(first, last - first, part, own, starts, ends,
                     np.searchsorted(starts, own, "left"))
         first = last
