@@ -4,7 +4,8 @@
   ``BUCKETS`` vectors and to a sparse random index vector of +1 and -1.
 * The vector of a bucket is the sum of the index vectors of all its neighbours, up to ``REACH``
   tokens away, over *all* documents.  The table has a fixed size, so it goes to every task.
-* A document is the mean and the spread of its tokens' unit vectors.
+* A document is the mean and the spread of its tokens' unit vectors, and how often index vectors
+  repeat 1 to REACH tokens later.
 * A network with one hidden layer learns from a bounded sample of labelled rows
   (``MAX_TRAINING_ROWS``); a fifth of the sample sets the temperature that makes its outputs
   probabilities.
@@ -35,6 +36,7 @@ HIDDEN = 32
 MAX_TRAINING_ROWS = 20_000
 EPOCHS = 60
 THRESHOLD = 0.3
+FEATURES = 2 * WIDTH + REACH
 _TOKENS = byte_classes(symbols_apart=True)
 
 
@@ -86,17 +88,23 @@ def pooled(docs: DataFrame, vectors: np.ndarray, id_col: str = "doc_id",
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for part in slices(batch.column(1), _TOKENS):
-                bucket = (part.hashes() % np.uint64(BUCKETS)).astype(np.int64)
+                h = part.hashes()
+                bucket = (h % np.uint64(BUCKETS)).astype(np.int64)
                 counts = np.diff(part.bounds)
                 full = np.flatnonzero(counts)
-                out = np.zeros((part.rows, 2 * WIDTH), np.float32)
+                out = np.zeros((part.rows, FEATURES), np.float32)
                 if len(full):
                     own, n = vectors[bucket], counts[full, None]
                     mean = np.add.reduceat(own, part.bounds[full], axis=0, dtype=np.float64) / n
                     own *= own
                     square = np.add.reduceat(own, part.bounds[full], axis=0, dtype=np.float64) / n
                     out[full, :WIDTH] = mean
-                    out[full, WIDTH:] = np.sqrt(np.maximum(square - mean * mean, 0))
+                    out[full, WIDTH:2 * WIDTH] = np.sqrt(np.maximum(square - mean * mean, 0))
+                    row = np.repeat(np.arange(part.rows), counts)
+                    for step in range(1, REACH + 1):
+                        again = (h[step:] == h[:-step]) & (row[step:] == row[:-step])
+                        out[:, 2 * WIDTH + step - 1] = np.bincount(
+                            row[step:][again], minlength=part.rows) / np.maximum(counts, 1)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(part.first, part.rows),
                      pa.array([row.tobytes() for row in out], pa.binary())], ["id", "features"])
@@ -127,7 +135,7 @@ class Network:
 
 def fit(x: np.ndarray, y: np.ndarray, seed: int = 0) -> Network:
     """Mini-batch Adam on four fifths of the rows; the temperature from the last fifth."""
-    none = Network(np.zeros(2 * WIDTH), np.ones(2 * WIDTH), None)
+    none = Network(np.zeros(FEATURES), np.ones(FEATURES), None)
     if len(set(y.tolist())) < 2:
         return none
     rng = np.random.default_rng(seed)
@@ -184,13 +192,13 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = (features.join(F.broadcast(sample), "id")
             .orderBy("id", "label", "features").limit(MAX_TRAINING_ROWS).collect())
     x = np.array([np.frombuffer(r["features"], np.float32) for r in rows],
-                 np.float64).reshape(len(rows), 2 * WIDTH)
+                 np.float64).reshape(len(rows), FEATURES)
     network = fit(x, np.array([r["label"] for r in rows], np.float64))
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             own = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float32)
-            score = network.scores(own.reshape(-1, 2 * WIDTH).astype(np.float64))
+            score = network.scores(own.reshape(-1, FEATURES).astype(np.float64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(score, pa.float64()),
                  pa.array((score >= THRESHOLD).astype(np.int32))], ["id", "score", "predicted"])
