@@ -86,4 +86,26 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(y) FROM reach WHERE
 FROM documents d LEFT JOIN n USING (doc_id)
 """
 
-SQL = {"op8_ngram_join": _NGRAMS, "op1_mix_sources": _MIX, "op9_exact_dedup": _EXACT}
+# What the examples must say; formatted_chars adds up the prefixes that end in a reply, and the
+# whole conversation if it does not end in one.
+_CHAT = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+t AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, role DESC, text DESC) AS back,
+         sum(length('<|im_start|>') + length(role) + 1 + length(text)
+             + len(regexp_extract_all(text, '<\\*\|')) + length('<|im_end|>') + 1)
+           OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
+                 ROWS UNBOUNDED PRECEDING) AS prefix
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY back DESC)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY back DESC) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(prefix) FILTER (role = 'assistant' OR back = 1)::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+SQL = {"op6_chat_format": _CHAT, "op8_ngram_join": _NGRAMS, "op1_mix_sources": _MIX, "op9_exact_dedup": _EXACT}
