@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from tailfold.llm.components import components
 from tailfold.llm.fixed_tables import parts_of, table_sum
+from tailfold.llm.sizes import checked
 from tailfold.llm.words import mix64, slices
 from tailfold.session import stage
 
@@ -133,21 +134,25 @@ def _tokens(found: np.ndarray, levels: np.ndarray) -> np.ndarray:
 
 
 def _token_sets(chosen: DataFrame, width: int, levels: np.ndarray, schema: str, emit) -> DataFrame:
-    """``emit(id, tokens)`` gives the columns of each document of ``id, text, c1, c2``."""
+    """``emit(id, tokens)`` gives the columns of each document of ``id, text``.
+
+    If ``chosen`` also has ``c1`` and ``c2``, only texts of that class count.
+    """
+    classed = "c1" in chosen.columns
+    names = [column.split()[0] for column in schema.split(", ")]
+
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
         for batch in source:
-            ids, c1, c2 = (batch.column(k).to_pylist() for k in (0, 2, 3))
+            ids = batch.column(0).to_pylist()
+            wanted = zip(*(batch.column(k).to_pylist() for k in (2, 3))) if classed else None
+            wanted = list(wanted) if classed else None
             out = []
             for row, found in shingle_sets(batch.column(1), width):
-                key = ids[row], *_class_of(found)
-                if key != last and key == (ids[row], c1[row], c2[row]):
+                if len(found) and (not classed or _class_of(found) == wanted[row]):
                     out.append(emit(ids[row], _tokens(found, levels)))
-                    last = key
                 if len(out) == 512 or out and row == len(ids) - 1:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.concat_arrays(c) for c in zip(*out)], [n.split()[0] for n in
-                                                                   schema.split(", ")])
+                        [pa.concat_arrays(c) for c in zip(*out)], names)
                     out = []
 
     return chosen.mapInArrow(batches, schema)
@@ -168,16 +173,18 @@ def _postings(chosen: DataFrame, width: int, percent: int, levels: np.ndarray) -
 
 
 def _segments(chosen: DataFrame, width: int, levels: np.ndarray, pivots: list[int]) -> DataFrame:
-    """``id, fragment, tokens`` for every set: its part of each fragment of the global order."""
+    """``id, size, fragment, tokens``: what every set has in each fragment of the global order."""
     cuts = np.array(pivots, np.int64)
 
     def emit(doc, tokens):
         parts = np.split(tokens, np.searchsorted(tokens, cuts))
         full = [i for i, p in enumerate(parts) if len(p)]
-        return (pa.array(np.full(len(full), doc, np.int64)), pa.array(full, pa.int32()),
+        return (pa.array(np.full(len(full), doc, np.int64)),
+                pa.array(np.full(len(full), len(tokens), np.int64)), pa.array(full, pa.int32()),
                 pa.array([parts[i] for i in full], pa.list_(pa.int64())))
 
-    return _token_sets(chosen, width, levels, "id long, fragment int, tokens array<bigint>", emit)
+    return _token_sets(
+        chosen, width, levels, "id long, size long, fragment int, tokens array<bigint>", emit)
 
 
 def _possible(a: str, b: str, percent: int) -> Column:
@@ -190,20 +197,23 @@ def _possible(a: str, b: str, percent: int) -> Column:
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int,
               levels: np.ndarray, pivots: list[int]) -> DataFrame:
-    """The pairs (``id_a, id_b, size_a, size_b``) that reach the similarity."""
+    """The pairs (``id_a, id_b``) that reach the similarity."""
     needed = pairs.select(F.col("id_a").alias("id")).union(pairs.select("id_b")).distinct()
-    chosen = docs.join(classes.join(needed, "id").select("id", "c1", "c2"), "id")
+    wanted = stage(classes.join(needed, "id").select("id", "c1", "c2"), "needed")
+    chosen = docs.join(checked(wanted), "id").select("id", "text", "c1", "c2")
     segments = stage(_segments(chosen, width, levels, pivots), "segments")
     ends = {x: segments.select(F.col("id").alias(f"id_{x}"), "fragment",
-                               F.col("tokens").alias(f"tokens_{x}")) for x in "ab"}
-    partial = pairs.join(ends["a"], "id_a").join(ends["b"], ["id_b", "fragment"]).select(
-        "id_a", "id_b", "size_a", "size_b",
-        F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long").alias("common"))
+                               F.col("size").alias(f"size_{x}"), F.col("tokens").alias(f"tokens_{x}"))
+            for x in "ab"}
+    partial = (
+        pairs.select("id_a", "id_b").join(ends["a"], "id_a").join(ends["b"], ["id_b", "fragment"])
+        .select("id_a", "id_b", "size_a", "size_b",
+                F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long").alias("common")))
     return (
         partial.groupBy("id_a", "id_b", "size_a", "size_b").agg(F.sum("common").alias("common"))
         .where(F.col("common") * 100
                >= (F.col("size_a") + F.col("size_b") - F.col("common")) * percent)
-        .select("id_a", "id_b", "common"))
+        .select("id_a", "id_b"))
 
 
 def linked(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id",
@@ -222,8 +232,12 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "do
     holders = Window.partitionBy("token")
     by_size = holders.orderBy("size", "id")
     whole = texts.where("id IS NOT NULL")
+    if members.where("id IS NOT NULL").groupBy("id").count().where("count > 1").limit(1).count():
+        whole = whole.dropDuplicates(["id", "text"])
+    copies = stage(members.where("id IS NOT NULL").select("id").distinct()
+                   .join(classes.select("id"), "id", "left_anti"), "copies")
     shared = stage(
-        _postings(whole.join(classes.select("id", "c1", "c2"), "id"), width, percent, levels)
+        _postings(whole.join(checked(copies), "id", "left_anti"), width, percent, levels)
         .withColumn("other", F.lag(F.struct("id", "size", "pos")).over(by_size))
         .withColumn("least", F.min("id").over(holders))
         .withColumn("most", F.max("id").over(holders))
@@ -236,8 +250,7 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "do
               .alias(name) for n in ("size", "pos")
               for mine, theirs, name in ((n, f"other.{n}", f"{n}_a"), (f"other.{n}", n, f"{n}_b"))])
         .where(_possible("a", "b", percent))
-        .groupBy("id_a", "id_b").agg(F.first("size_a").alias("size_a"),
-                                     F.first("size_b").alias("size_b")))
+        .select("id_a", "id_b").distinct())
     tried = stage(neighbours, "neighbours")
     arguments = (whole, classes, width, percent, levels, pivots)
     near = stage(_verified(tried, *arguments), "links")
@@ -255,11 +268,11 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "do
         side["a"].join(side["b"], "token")
         .where((F.col("id_a") < F.col("id_b")) & (F.col("own_a") != F.col("own_b"))
                & _possible("a", "b", percent))
-        .groupBy("id_a", "id_b").agg(F.first("size_a").alias("size_a"),
-                                     F.first("size_b").alias("size_b"))
+        .select("id_a", "id_b").distinct()
         .join(tried.select("id_a", "id_b"), ["id_a", "id_b"], "left_anti"))
     far = stage(_verified(stage(across, "across"), *arguments), "links")
-    final = components(_edges(near).union(_edges(far)))
+    final = components(
+        groups.select(F.col("node").alias("u"), F.col("component").alias("v")).union(_edges(far)))
     named_classes = (
         classes.join(final.withColumnRenamed("node", "id"), "id", "left")
         .select("c1", "c2", F.coalesce("component", "id").alias("class_component")))
@@ -276,6 +289,7 @@ def _edges(links: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that a smaller document of their component stands for."""
-    dropped = linked(docs, width, percent, id_col, text_col).where(
-        F.col("component_id") < F.col(id_col)).select(id_col).distinct()
-    return docs.join(dropped, id_col, "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
+    dropped = stage(linked(docs, width, percent, id_col, text_col).where(
+        F.col("component_id") < F.col(id_col)).select(id_col).distinct(), "near-copies")
+    return docs.join(checked(dropped), id_col, "left_anti").select(
+        [F.col(f"`{c}`") for c in docs.columns])

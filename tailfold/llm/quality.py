@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tailfold.llm.fixed_tables import parts_of, table_sum
+from tailfold.llm.sizes import checked
 from tailfold.llm.words import Slice, byte_classes, slices
 from tailfold.session import stage
 
@@ -212,6 +213,7 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not rejected; rows without an id are kept."""
-    rejected = scored(docs, labels, id_col, text_col).where("predicted = 0").select(id_col)
-    return docs.join(rejected.distinct(), id_col, "left_anti").select(
+    rejected = stage(scored(docs, labels, id_col, text_col).where("predicted = 0")
+                     .select(id_col).distinct(), "rejected")
+    return docs.join(checked(rejected), id_col, "left_anti").select(
         [F.col(f"`{c}`") for c in docs.columns])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tailfold.llm import chat, exact_dedup, html_text, mixing, ngram_join, pieces, quality, settings
+from tailfold.llm import chat, exact_dedup, html_text, mixing, neighbours, ngram_join, pieces, quality, settings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text of every document."""
     return pieces.encoded(table(spark, sf_dir, "documents"))
@@ -56,6 +61,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_quality": op2_quality,
+    "op4_nearest": op4_nearest,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_chat_format": op6_chat_format,
     "op7_html_text": op7_html_text,
