@@ -2,15 +2,15 @@
 
 * Equal vectors are one node.  Members of a node are ranked by id, so only its first ``k + 1`` can
   be among anybody's ``k`` nearest; a node of any size is a row of the graph.
-* The graph begins with neighbours in the order of a few random projections and improves by
+* The graph begins with neighbours in cells of a few random projections and improves by
   NN-descent: neighbours of neighbours meet at the node between them, as joins and groupings, and
   every node keeps its ``DEGREE`` nearest.  Reverse neighbours beyond ``REVERSE`` are left to the
   other direction, in which the node is theirs.
 * A search starts from a bounded set of entry nodes and moves along the graph, all queries at once,
   one join a step, keeping a beam of ``BEAM`` nodes until no beam has an unvisited node.
-
-Scores are cosines in double precision on the original vectors, added up in the order of the
-components; ties go to the smaller id.
+* Graph and search compare directions rounded to a byte per component; what is found is scored
+  anew: cosines in double precision on the original vectors, added up in the order of the
+  components; ties go to the smaller id.
 
 Defined results: vectors that are null, zero, or hold a null or a non-finite component, rows without
 an id and vectors of another length than most take no part; an empty table gives no rows; rows that
@@ -26,16 +26,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tailfold.llm.sizes import checked
 from tailfold.session import stage
 
-DEGREE = 16       # neighbours of a node in the graph
-REVERSE = 16      # reverse neighbours that take part in a local join
-PROJECTIONS = 4   # random orders that the first graph comes from
-ROUNDS = 4        # NN-descent rounds; fewer if hardly anything changes
+DEGREE = 24       # neighbours of a node in the graph
+REVERSE = 24      # reverse neighbours that take part in a local join
+PROJECTIONS = 8   # pairs of random directions that the first graph comes from
+CELL = 128        # nodes of a cell of such a pair, about
+GAINS = 8         # new neighbours that a node takes from one place of a round
+ROUNDS = 6        # NN-descent rounds; fewer if hardly anything changes
 ENTRIES = 256     # nodes that every search begins with, a bounded set that goes to every task
-BEAM = 48
-STEPS = 12
-_SETTLED = 0.002  # share of changed edges at which the graph is taken as settled
+BEAM = 128
+STEPS = 15
+_SETTLED = 0.01   # share of changed edges at which the graph is taken as settled
 
 
 def _usable(vector: Column) -> Column:
@@ -65,15 +68,35 @@ def nodes_of(table: DataFrame, id_col: str, vector_col: str, k: int) -> DataFram
     ).select(F.element_at("ids", 1).alias("node"), "vector", "ids")
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-
-
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten() if not isinstance(column, pa.ChunkedArray) else column.combine_chunks().flatten()
     return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def _rounded(vectors: np.ndarray) -> list[bytes]:
+    """Directions as one signed byte per component."""
+    top = np.abs(vectors).max(axis=1, keepdims=True)
+    return [row.tobytes() for row in np.round(vectors / top * 127).astype(np.int8)]
+
+
+def _directions(column: pa.Array) -> np.ndarray:
+    """Unit vectors from rounded ones."""
+    flat = np.frombuffer(b"".join(column.to_pylist()), np.int8).astype(np.float32)
+    flat = flat.reshape(len(column), -1)
+    return flat / np.linalg.norm(flat, axis=1, keepdims=True)
+
+
+def _coded(rows: DataFrame, id_col: str) -> DataFrame:
+    """``<id_col>, code``: rounded directions of ``vector``."""
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(_rounded(_matrix(batch.column(1))), pa.binary())],
+                [id_col, "code"])
+
+    return rows.select(id_col, "vector").mapInArrow(batches, f"{id_col} long, code binary")
+
+
 def _best(edges: DataFrame, count: int) -> DataFrame:
     """The ``count`` nearest of every node from ``node, other, score`` rows, each other once."""
     once = edges.groupBy("node", "other").agg(F.max("score").alias("score"))
@@ -82,102 +105,103 @@ def _best(edges: DataFrame, count: int) -> DataFrame:
     return once.withColumn("place", place).where(F.col("place") <= count).drop("place")
 
 
-def _first_graph(nodes: DataFrame, width: int, seed: int) -> DataFrame:
-    """Every node with those next to it in PROJECTIONS random orders.
+def _first_graph(codes: DataFrame, seed: int) -> DataFrame:
+    """Edges of every node to its nearest in the same cell of each pair of random directions.
 
-    A projection is cut into cells at quantiles, about 64 nodes each; a cell is one group.
+    Cells are cut at quantiles; a crowded cell is dealt by hash into groups of bounded size.
     """
-    rng = np.random.default_rng(seed)
-    planes = rng.normal(size=(PROJECTIONS, 2, width))
-    cells = max(1, round((nodes.count() / 64) ** 0.5))
+    first = codes.first()
+    width = len(first["code"]) if first else 1
+    planes = np.random.default_rng(seed).normal(size=(2 * PROJECTIONS, width)).astype(np.float32)
+    cells = max(1, round((codes.count() / CELL) ** 0.5))
 
     def projected(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            both = np.einsum("rd,pqd->rpq", _unit(_matrix(batch.column(1))), planes)
+            places = (_directions(batch.column(0)) @ planes.T).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1),
-                 pa.array(both.reshape(len(both), -1).tolist(), pa.list_(pa.float64()))],
-                ["node", "vector", "places"])
-
-    placed = nodes.select("node", "vector").mapInArrow(
-        projected, "node long, vector array<double>, places array<double>")
-    cuts = placed.agg(*[
-        F.percentile_approx(F.col("places")[i], [c / cells for c in range(1, cells)] or [0.5])
-        .alias(f"c{i}") for i in range(2 * PROJECTIONS)]).first()
-    tables = np.array([cuts[i] for i in range(2 * PROJECTIONS)], np.float64)
-
-    def cell_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                [pa.array(places.tolist(), pa.list_(pa.float64()))], ["places"])
+
+    shares = [c / cells for c in range(1, cells)] or [0.5]
+    cuts = codes.select("code").mapInArrow(projected, "places array<double>").agg(*[
+        F.percentile_approx(F.col("places")[i], shares).alias(f"c{i}")
+        for i in range(2 * PROJECTIONS)]).first()
+    tables = [np.array(c if c else [0.0], np.float64) for c in cuts]
+    side = len(shares) + 1
+
+    def placed(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            places = _matrix(batch.column(2))
+            places = (_directions(batch.column(1)) @ planes.T).astype(np.float64)
             for p in range(PROJECTIONS):
-                x, y = (np.searchsorted(tables[2 * p + q], places[:, 2 * p + q]) for q in (0, 1))
-                cell = (p * (len(tables[0]) + 1) + x) * (len(tables[0]) + 1) + y
+                x, y = (np.searchsorted(tables[i], places[:, i]) for i in (2 * p, 2 * p + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell, pa.int64()), batch.column(0), batch.column(1)],
-                    ["cell", "node", "vector"])
+                    [pa.array((p * side + x) * side + y, pa.int64()), batch.column(0),
+                     batch.column(1)], ["cell", "other", "code"])
 
-    celled = placed.mapInArrow(cell_rows, "cell long, node long, vector array<double>")
-    # A crowded cell is dealt into groups of bounded size by hash.
-    size = celled.groupBy("cell").count()
-    groups = celled.join(size, "cell").withColumn(
-        "cell", F.struct("cell", (F.xxhash64("node") % F.ceil(F.col("count") / 128)).alias("deal")))
-    return _local_join(groups.select(F.xxhash64("cell").alias("at"), F.col("node").alias("other"),
-                                     "vector"))
+    celled = codes.mapInArrow(placed, "cell long, other long, code binary")
+    sizes = celled.groupBy("cell").count()
+    deal = F.xxhash64("other") % F.ceil(F.col("count") / (2 * CELL))
+    return _local_join(
+        celled.join(sizes, "cell").select(F.xxhash64("cell", deal).alias("at"), "other", "code",
+                                          F.lit(-2.0).alias("worst")), DEGREE)
 
 
-def _local_join(rows: DataFrame) -> DataFrame:
-    """Edges between all nodes that meet ``at`` the same place: the DEGREE nearest of each there.
+def _local_join(rows: DataFrame, gains: int) -> DataFrame:
+    """``node, other, score`` between nodes that meet ``at`` a place.
 
-    ``rows`` has ``at, other, vector``; no place has more than a few hundred rows.
+    ``rows`` has ``at, other, code, worst``; a node takes its ``gains`` nearest of a place, if they
+    are nearer than the ``worst`` it has.  No place has more than a few hundred rows.
     """
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, vectors = [], [], []
-
-        def edges(ids: np.ndarray, vectors: np.ndarray) -> pa.RecordBatch:
-            ids, first = np.unique(ids, return_index=True)
-            unit = _unit(vectors[first])
-            score = unit @ unit.T
-            np.fill_diagonal(score, -np.inf)
-            keep = min(DEGREE, len(ids) - 1)
-            near = np.argpartition(-score, max(keep - 1, 0), axis=1)[:, :keep]
+        held: list[tuple] = []
+
+        def edges(ids: np.ndarray, codes: np.ndarray, worst: np.ndarray):
+            score = codes @ codes.T
+            np.fill_diagonal(score, -2.0)
+            keep = min(gains, len(ids) - 1)
+            near = np.argpartition(-score, keep - 1, axis=1)[:, :keep]
+            own = np.take_along_axis(score, near, 1)
+            better = own > worst[:, None]
+            return (np.broadcast_to(ids[:, None], own.shape)[better], ids[near][better],
+                    own[better].astype(np.float64))
+
+        def pack(found: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(ids, keep), pa.int64()), pa.array(ids[near].ravel(), pa.int64()),
-                 pa.array(np.take_along_axis(score, near, 1).ravel(), pa.float64())],
-                ["node", "other", "score"])
+                [pa.array(np.concatenate(c)) for c in zip(*found)], ["node", "other", "score"])
 
         for batch in source:
-            at.append(batch.column(0).to_numpy())
-            ids.append(batch.column(1).to_numpy())
-            vectors.append(_matrix(batch.column(2)))
-            places, all_ids, all_vectors = (np.concatenate(x) for x in (at, ids, vectors))
-            cut = np.flatnonzero(np.diff(places)) + 1
-            starts = [0, *cut.tolist()]
-            for a, b in zip(starts, starts[1:]):  # the last place may go on in the next batch
-                if b - a > 1:
-                    yield edges(all_ids[a:b], all_vectors[a:b])
-            last = starts[-1]
-            at, ids, vectors = [places[last:]], [all_ids[last:]], [all_vectors[last:]]
-        if at and len(at[0]) > 1:
-            yield edges(ids[0], vectors[0])
-
-    return (rows.repartition("at").sortWithinPartitions("at")
-            .mapInArrow(batches, "node long, other long, score double"))
-
-
-def build_graph(nodes: DataFrame, width: int, seed: int = 0) -> DataFrame:
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(),
+                         _directions(batch.column(2)), batch.column(3).to_numpy()))
+            at, ids, codes, worst = (np.concatenate(x) for x in zip(*held))
+            starts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist()]
+            found = [edges(ids[a:b], codes[a:b], worst[a:b])
+                     for a, b in zip(starts, starts[1:]) if b - a > 1]
+            if found:
+                yield pack(found)
+            last = starts[-1]  # the last place may go on in the next batch
+            held = [(at[last:], ids[last:], codes[last:], worst[last:])]
+        if held and len(held[0][0]) > 1:
+            yield pack([edges(*held[0][1:])])
+
+    return (rows.select("at", "other", "code", "worst").repartition("at")
+            .sortWithinPartitions("at").mapInArrow(batches, "node long, other long, score double"))
+
+
+def build_graph(codes: DataFrame, seed: int = 0) -> DataFrame:
     """``node, other, score``: about the DEGREE nearest of every node."""
-    graph = stage(_best(_first_graph(nodes, width, seed), DEGREE), "graph")
-    vectors = nodes.select(F.col("node").alias("other"), "vector")
-    for turn in range(ROUNDS):
-        forward = graph.select(F.col("node").alias("at"), "other")
+    graph = stage(_best(_first_graph(codes, seed), DEGREE), "graph")
+    for _ in range(ROUNDS):
+        worst = graph.groupBy("node").agg(
+            F.when(F.count(F.lit(1)) == DEGREE, F.min("score")).otherwise(-2.0).alias("worst"))
+        known = codes.join(worst, "node", "left").select(
+            F.col("node").alias("other"), "code", F.coalesce("worst", F.lit(-2.0)).alias("worst"))
         rank = F.row_number().over(Window.partitionBy("at").orderBy(F.desc("score"), "other"))
         backward = (
             graph.select(F.col("other").alias("at"), F.col("node").alias("other"), "score")
             .withColumn("rank", rank).where(F.col("rank") <= REVERSE).select("at", "other"))
-        meeting = forward.union(backward).union(nodes.select(F.col("node"), F.col("node"))).distinct()
-        better = stage(_best(
-            _local_join(meeting.join(vectors, "other").select("at", "other", "vector"))
-            .union(graph), DEGREE), "graph")
+        meeting = (graph.select(F.col("node").alias("at"), "other").union(backward)
+                   .union(codes.select("node", "node")).distinct())
+        better = stage(
+            _best(_local_join(meeting.join(known, "other"), GAINS).union(graph), DEGREE), "graph")
         changed = better.join(graph, ["node", "other"], "left_anti").count()
         graph = better
         if changed <= _SETTLED * graph.count():
@@ -185,58 +209,66 @@ def build_graph(nodes: DataFrame, width: int, seed: int = 0) -> DataFrame:
     return graph
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
+def search(queries: DataFrame, codes: DataFrame, graph: DataFrame) -> DataFrame:
     """``query, node, score``: the final beams of ``queries`` (``query, vector``).
 
-    Every step expands all unvisited nodes of a beam; a query stops by having none.
+    Every step expands all unvisited nodes of all beams; a node's links come with their codes, so
+    a step scores where it expands.  A query stops by having no unvisited node.
     """
-    entries = (nodes.orderBy(F.xxhash64("node"), "node").limit(ENTRIES)
-               .select("node", "vector").collect())
-    entry_ids = np.array([r["node"] for r in entries], np.int64)
-    entry_vectors = _unit(np.array([r["vector"] for r in entries], np.float64)) if entries else None
+    asked = stage(_coded(queries, "query"), "asked")
     # Links lead both ways, so that a node nobody counts among its nearest is still reached.
     rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("score"), "other"))
     both = graph.union(graph.select(F.col("other"), F.col("node"), "score")).groupBy(
         "node", "other").agg(F.max("score").alias("score"))
     links = stage(
         both.withColumn("rank", rank).where(F.col("rank") <= DEGREE + REVERSE)
-        .groupBy("node").agg(F.collect_list("other").alias("others")), "links")
+        .join(codes.withColumnRenamed("node", "other"), "other")
+        .groupBy("node").agg(F.collect_list(F.struct("other", "code")).alias("to"))
+        .select("node", F.col("to.other").alias("others"), F.col("to.code").alias("codes")), "links")
+    entries = codes.orderBy(F.xxhash64("node"), "node").limit(ENTRIES).collect()
+    entry_ids = np.array([r["node"] for r in entries], np.int64)
+    entry_codes = [bytes(r["code"]) for r in entries]
+    kinds = "query long, node long, score double, visited boolean"
+
+    def rows_of(query, node, score) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(query, pa.int64()), pa.array(node, pa.int64()),
+             pa.array(score.astype(np.float64)), pa.array(np.zeros(len(node), bool))],
+            ["query", "node", "score", "visited"])
 
     def started(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _directions(pa.array(entry_codes, pa.binary()))
         for batch in source:
-            score = _unit(_matrix(batch.column(1))) @ entry_vectors.T
-            keep = min(8, len(entry_ids))
-            near = np.argsort(-score, axis=1, kind="stable")[:, :keep]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(batch.column(0).to_numpy(), keep), pa.int64()),
-                 pa.array(entry_ids[near].ravel(), pa.int64()),
-                 pa.array(np.take_along_axis(score, near, 1).ravel(), pa.float64()),
-                 pa.array(np.zeros(near.size, bool))], ["query", "node", "score", "visited"])
+            score = _directions(batch.column(1)) @ known.T
+            near = np.argsort(-score, axis=1, kind="stable")[:, :8]
+            yield rows_of(np.repeat(batch.column(0).to_numpy(), near.shape[1]),
+                          entry_ids[near].ravel(), np.take_along_axis(score, near, 1).ravel())
 
-    def scored(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def expanded(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            a, b = _unit(_matrix(batch.column(2))), _unit(_matrix(batch.column(3)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.einsum("rd,rd->r", a, b)),
-                 pa.array(np.zeros(len(a), bool))], ["query", "node", "score", "visited"])
-
-    kinds = "query long, node long, score double, visited boolean"
-    vectors = nodes.select("node", F.col("vector").alias("node_vector"))
-    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "node"))
-    beam = stage(queries.select("query", "vector").mapInArrow(started, kinds)
-                 if entries else queries.sparkSession.createDataFrame([], kinds), "beam")
+            counts = np.diff(batch.column(2).offsets.to_numpy())
+            if not counts.sum():
+                continue
+            asked_codes = np.repeat(_directions(batch.column(1)), counts, axis=0)
+            score = np.einsum("rd,rd->r", asked_codes, _directions(batch.column(3).flatten()))
+            yield rows_of(np.repeat(batch.column(0).to_numpy(), counts),
+                          batch.column(2).flatten().to_numpy(), score)
+
+    if not entries:
+        return queries.select("query", F.col("query").alias("node"), F.lit(0.0).alias("score")).limit(0)
+    beam = stage(asked.mapInArrow(started, kinds), "beam")
     seen = beam.select("query", "node")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "node"))
     for _ in range(STEPS):
-        open_nodes = beam.where(~F.col("visited"))
-        met = (open_nodes.join(links, "node")
-               .select("query", F.explode("others").alias("node")).distinct()
-               .join(seen, ["query", "node"], "left_anti"))
-        found = stage(
-            met.join(vectors, "node").join(queries.select("query", "vector"), "query")
-            .select("query", "node", "vector", "node_vector").mapInArrow(scored, kinds), "found")
-        if found.isEmpty():
+        unvisited = stage(beam.where(~F.col("visited")).select("query", "node")
+                          .join(asked, "query"), "unvisited")
+        if unvisited.isEmpty():
             break
-        seen = stage(seen.union(found.select("query", "node")), "seen")
+        found = stage(
+            links.join(checked(unvisited), "node").select("query", "code", "others", "codes")
+            .mapInArrow(expanded, kinds).dropDuplicates(["query", "node"])
+            .join(seen, ["query", "node"], "left_anti"), "found")
+        seen = seen.union(found.select("query", "node"))
         beam = stage(
             beam.withColumn("visited", F.lit(True)).union(found)
             .withColumn("place", place).where(F.col("place") <= BEAM).drop("place"), "beam")
@@ -248,14 +280,15 @@ def nearest(table: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     """``query_id, rank, vec_id, score`` for the rows whose id is divisible by ``every``."""
     nodes = stage(nodes_of(table, id_col, vector_col, k), "nodes")
     first = nodes.select(F.size("vector").alias("n")).first()
-    graph = build_graph(nodes, first["n"] if first else 1, seed)
+    codes = stage(_coded(nodes, "node"), "codes")
+    graph = build_graph(codes, seed)
     queries = stage(
         table.select(F.col(f"`{id_col}`").cast("long").alias("query"),
                      F.col(f"`{vector_col}`").cast("array<double>").alias("vector"))
         .where((F.col("query") % every == 0) & _usable(F.col("vector"))
                & (F.size("vector") == (first["n"] if first else 0)))
         .dropDuplicates(["query"]), "queries")
-    beams = search(queries, nodes, graph)
+    beams = search(queries, codes, graph)
 
     # Scores of what was found, exactly; then the members of the nodes, all but the query itself.
     dot = lambda a, b: F.aggregate(
