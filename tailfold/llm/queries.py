@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tailfold.llm import chat, exact_dedup, html_text, mixing, neighbours, ngram_join, pieces, quality, settings
+from tailfold.llm import chat, exact_dedup, html_text, mixing, neighbours, ngram_join, pieces, quality, secrets, settings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every secret candidate of every document with the forest's score."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_quality": op2_quality,
@@ -67,4 +72,5 @@ QUERIES = {
     "op7_html_text": op7_html_text,
     "op8_ngram_join": op8_ngram_join,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
