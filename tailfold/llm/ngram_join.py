@@ -10,10 +10,12 @@ documents are counted.
 * Candidates are verified by vertical partitioning: the global order is cut into fragments at
   quantiles of all occurrences, every set is cut at the same pivots, partial overlaps are counted
   fragment by fragment and summed per pair.
-* First each set meets its neighbours in size among the holders of an n-gram.  What links is put
-  into components; then all remaining candidates *between different components* are verified.
-  Every two sets of different components have been compared or cannot reach the similarity, so
-  components are exact although pairs inside a large group of near copies are not all listed.
+* First each set meets, among the holders of an n-gram, its neighbour in size and one pivot: the
+  set whose n-grams are shared most, which finds the original of many copies.  What links is put
+  into components, and the next rounds do the same between components with other pivots.  At last
+  all remaining candidates *between different components* are verified.  Every two sets of
+  different components have been compared or cannot reach the similarity, so components are exact
+  although pairs inside a large group of near copies are not all listed.
 
 Defined results: A-Z are lowered, words are runs of ``[^\\x20\\x09-\\x0D]``; fewer than ``width``
 words form one n-gram; no words (null, empty, blank): 0 n-grams and no links.  Rows without an id
@@ -39,6 +41,7 @@ from tailfold.session import stage
 
 COUNT_BITS = 20        # entries of the frequency table, as a power of two
 FRAGMENTS = 8
+ROUNDS = 3             # of neighbours and pivots, before all that is left
 TOP_LEVEL = 30
 _LEVEL_SHIFT = 58      # token = level << 58 | 58 bits of the hash
 
@@ -195,6 +198,41 @@ def _possible(a: str, b: str, percent: int) -> Column:
             & (overlap * 100 >= (sa + sb - overlap) * percent))
 
 
+def _some_pairs(rows: DataFrame, percent: int, turn: int) -> DataFrame:
+    """``id_a, id_b``: every holder of an n-gram with its neighbour and with the n-gram's pivot.
+
+    ``rows`` has ``token, id, size, pos, common, own``; only pairs of different ``own`` count.
+    """
+    holders = Window.partitionBy("token")
+    order = ["size", "id"] if turn == 0 else ["own", "size", "id"]
+    weight = F.col("common") if turn == 0 else F.xxhash64("id", F.lit(turn)).cast("double")
+    told = rows.withColumn(
+        "beside", F.lag(F.struct("id", "size", "pos", "own")).over(holders.orderBy(*order))
+    ).withColumn("pivot", F.max(F.struct(
+        weight.alias("weight"), "id", "size", "pos", "own")).over(holders))
+    mine = [F.col(c).alias(f"{c}_a") for c in ("id", "size", "pos", "own")]
+    met = None
+    for name in ("beside", "pivot"):
+        side = told.select(*mine, *[F.col(f"{name}.{c}").alias(f"{c}_b")
+                                    for c in ("id", "size", "pos", "own")])
+        met = side if met is None else met.union(side)
+    return (
+        met.where((F.col("own_a") != F.col("own_b")) & _possible("a", "b", percent))
+        .select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
+        .distinct())
+
+
+def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """``id_a, id_b`` of all holders of an n-gram with different ``own``."""
+    side = {x: rows.select("token", *[F.col(c).alias(f"{c}_{x}") for c in
+                                      ("id", "size", "pos", "own")]) for x in "ab"}
+    return (
+        side["a"].join(side["b"], "token")
+        .where((F.col("id_a") < F.col("id_b")) & (F.col("own_a") != F.col("own_b"))
+               & _possible("a", "b", percent))
+        .select("id_a", "id_b").distinct())
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int,
               levels: np.ndarray, pivots: list[int]) -> DataFrame:
     """The pairs (``id_a, id_b``) that reach the similarity."""
@@ -229,50 +267,43 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "do
     levels, weights = _levels(first)
     pivots = _pivots(weights, FRAGMENTS)
 
-    holders = Window.partitionBy("token")
-    by_size = holders.orderBy("size", "id")
     whole = texts.where("id IS NOT NULL")
     if members.where("id IS NOT NULL").groupBy("id").count().where("count > 1").limit(1).count():
         whole = whole.dropDuplicates(["id", "text"])
     copies = stage(members.where("id IS NOT NULL").select("id").distinct()
                    .join(classes.select("id"), "id", "left_anti"), "copies")
+    holders = Window.partitionBy("token")
     shared = stage(
         _postings(whole.join(checked(copies), "id", "left_anti"), width, percent, levels)
-        .withColumn("other", F.lag(F.struct("id", "size", "pos")).over(by_size))
         .withColumn("least", F.min("id").over(holders))
         .withColumn("most", F.max("id").over(holders))
+        .withColumn("holders", F.count(F.lit(1)).over(holders))
         .where("least < most").drop("least", "most"), "shared-prefixes")
-
-    neighbours = (
-        shared.where("other.id <> id").select(
-            F.least("id", "other.id").alias("id_a"), F.greatest("id", "other.id").alias("id_b"),
-            *[F.when(F.col("id") < F.col("other.id"), F.col(mine)).otherwise(F.col(theirs))
-              .alias(name) for n in ("size", "pos")
-              for mine, theirs, name in ((n, f"other.{n}", f"{n}_a"), (f"other.{n}", n, f"{n}_b"))])
-        .where(_possible("a", "b", percent))
-        .select("id_a", "id_b").distinct())
-    tried = stage(neighbours, "neighbours")
+    common = stage(shared.groupBy("id").agg(
+        (F.sum("holders") / F.first("size")).alias("common")), "commonness")
     arguments = (whole, classes, width, percent, levels, pivots)
-    near = stage(_verified(tried, *arguments), "links")
-    groups = stage(components(_edges(near)), "groups")
-
-    # All candidates between different groups, but for those tried already.
-    named = shared.drop("other").join(groups.withColumnRenamed("node", "id"), "id", "left").select(
-        "token", "id", "size", "pos", F.coalesce("component", "id").alias("own"))
-    open_tokens = named.groupBy("token").agg(
-        F.min("own").alias("low"), F.max("own").alias("high")).where("low < high").select("token")
-    rows = stage(named.join(open_tokens, "token", "left_semi"), "open-prefixes")
-    side = {x: rows.select("token", *[F.col(c).alias(f"{c}_{x}") for c in
-                                      ("id", "size", "pos", "own")]) for x in "ab"}
-    across = (
-        side["a"].join(side["b"], "token")
-        .where((F.col("id_a") < F.col("id_b")) & (F.col("own_a") != F.col("own_b"))
-               & _possible("a", "b", percent))
-        .select("id_a", "id_b").distinct()
-        .join(tried.select("id_a", "id_b"), ["id_a", "id_b"], "left_anti"))
-    far = stage(_verified(stage(across, "across"), *arguments), "links")
-    final = components(
-        groups.select(F.col("node").alias("u"), F.col("component").alias("v")).union(_edges(far)))
+    rows = stage(shared.drop("holders").join(common, "id").withColumn("own", F.col("id")), "open")
+    tried, groups = None, None
+    for turn in range(ROUNDS + 1):
+        pairs = _all_pairs(rows, percent) if turn == ROUNDS else _some_pairs(rows, percent, turn)
+        if tried is not None:
+            pairs = pairs.join(tried, ["id_a", "id_b"], "left_anti")
+        pairs = stage(pairs, "candidates")
+        links = stage(_verified(pairs, *arguments), "links").select(
+            F.col("id_a").alias("u"), F.col("id_b").alias("v"))
+        if groups is not None:
+            links = links.union(groups.select("node", "component"))
+        groups = stage(components(links), "groups")
+        if turn == ROUNDS:
+            break
+        tried = pairs if tried is None else tried.union(pairs)
+        named = rows.drop("own").join(
+            groups.withColumnRenamed("node", "id").withColumnRenamed("component", "own"), "id", "left"
+        ).withColumn("own", F.coalesce("own", "id"))
+        still_open = named.groupBy("token").agg(
+            F.min("own").alias("low"), F.max("own").alias("high")).where("low < high").select("token")
+        rows = stage(named.join(still_open, "token", "left_semi"), "open")
+    final = groups
     named_classes = (
         classes.join(final.withColumnRenamed("node", "id"), "id", "left")
         .select("c1", "c2", F.coalesce("component", "id").alias("class_component")))
@@ -282,10 +313,6 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "do
         .otherwise(F.col("id")).alias("component_id"))
 
 
-def _edges(links: DataFrame) -> DataFrame:
-    return links.select(F.col("id_a").alias("u"), F.col("id_b").alias("v"))
-
-
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that a smaller document of their component stands for."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tailfold.llm import chat, exact_dedup, html_text, mixing, neighbours, ngram_join, pieces, quality, secrets, settings
+from tailfold.llm import chat, exact_dedup, html_text, mixing, neighbours, ngram_join, pieces, quality, secrets, settings, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without the 50-byte strings of earlier documents."""
+    return suffix_dedup.removed_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth vector."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
@@ -66,6 +71,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_quality": op2_quality,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_nearest": op4_nearest,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_chat_format": op6_chat_format,
