@@ -41,7 +41,7 @@ from tailfold.session import stage
 
 COUNT_BITS = 20        # entries of the frequency table, as a power of two
 FRAGMENTS = 8
-ROUNDS = 3             # of neighbours and pivots, before all that is left
+ROUNDS = 2             # of neighbours and pivots, before all that is left
 TOP_LEVEL = 30
 _LEVEL_SHIFT = 58      # token = level << 58 | 58 bits of the hash
 
@@ -289,6 +289,8 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "do
         if tried is not None:
             pairs = pairs.join(tried, ["id_a", "id_b"], "left_anti")
         pairs = stage(pairs, "candidates")
+        if turn and pairs.isEmpty():
+            continue
         links = stage(_verified(pairs, *arguments), "links").select(
             F.col("id_a").alias("u"), F.col("id_b").alias("v"))
         if groups is not None:
