@@ -7,6 +7,8 @@ documents are counted.
 * Documents with equal n-gram sets are one class; only its smallest document goes on.
 * Two sets can only reach the similarity if they share one of their first
   ``n - ceil(t * n) + 1`` n-grams, so only those prefixes meet, by n-gram.
+* Candidates whose segment lengths in BINS parts of the hash range already rule the similarity out
+  go no further; this bound is exact.
 * Candidates are verified by vertical partitioning: the global order is cut into fragments at
   quantiles of all occurrences, every set is cut at the same pivots, partial overlaps are counted
   fragment by fragment and summed per pair.
@@ -41,7 +43,9 @@ from tailfold.session import stage
 
 COUNT_BITS = 20        # entries of the frequency table, as a power of two
 FRAGMENTS = 8
+BINS = 128             # parts of the hash range whose lengths are kept per set, as 16-bit numbers
 ROUNDS = 2             # of neighbours and pivots, before all that is left
+LONGEST = (1 << 16) - 1
 TOP_LEVEL = 30
 _LEVEL_SHIFT = 58      # token = level << 58 | 58 bits of the hash
 
@@ -84,29 +88,33 @@ def _first_pass(texts: DataFrame, width: int) -> DataFrame:
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << COUNT_BITS, np.int32)
 
-        def rows(ids, n, c1, c2, part, data):
+        def rows(ids, n, c1, c2, lengths, part, data):
             return pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(c1, pa.int64()),
-                 pa.array(c2, pa.int64()), pa.array(part, pa.int32()), pa.array(data, pa.binary())],
-                ["id", "n", "c1", "c2", "part", "counts"])
+                 pa.array(c2, pa.int64()), pa.array(lengths, pa.binary()),
+                 pa.array(part, pa.int32()), pa.array(data, pa.binary())],
+                ["id", "n", "c1", "c2", "lengths", "part", "counts"])
 
         for batch in source:
-            n, c1, c2 = [], [], []
+            n, c1, c2, lengths = [], [], [], []
             for _, found in shingle_sets(batch.column(1), width):
                 np.add.at(counts, _bucket(found), 1)
                 n.append(len(found))
                 a, b = _class_of(found)
                 c1.append(a)
                 c2.append(b)
+                lengths.append(np.bincount(
+                    (found >> np.uint64(40)) & np.uint64(BINS - 1), minlength=BINS
+                ).clip(max=LONGEST).astype(np.uint16).tobytes())
             none = [None] * len(n)
-            yield rows(batch.column(0), n, c1, c2, none, none)
+            yield rows(batch.column(0), n, c1, c2, lengths, none, none)
         parts, data = parts_of(counts)
         none = [None] * len(data)
         if data:
-            yield rows(none, none, none, none, parts, data)
+            yield rows(none, none, none, none, none, parts, data)
 
     return texts.mapInArrow(
-        batches, "id long, n long, c1 long, c2 long, part int, counts binary")
+        batches, "id long, n long, c1 long, c2 long, lengths binary, part int, counts binary")
 
 
 def _levels(first: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -233,6 +241,31 @@ def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
         .select("id_a", "id_b").distinct())
 
 
+def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the lengths of their sets' parts leave possible.
+
+    Sets share at most the shorter length of each part.
+    """
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            if not batch.num_rows:
+                continue
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16)
+                    .reshape(-1, BINS) for k in (3, 5))
+            n_a, n_b = (batch.column(k).to_numpy() for k in (2, 4))
+            most = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+            keep = (most * 100 >= (n_a + n_b - most) * percent) | (np.maximum(n_a, n_b) >= LONGEST)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(k).filter(pa.array(keep)) for k in (0, 1)], ["id_a", "id_b"])
+
+    ends = {x: classes.select(F.col("id").alias(f"id_{x}"), F.col("size").alias(f"n_{x}"),
+                              F.col("lengths").alias(f"lengths_{x}")) for x in "ab"}
+    return (
+        pairs.join(ends["a"], "id_a").join(ends["b"], "id_b")
+        .select("id_a", "id_b", "n_a", "lengths_a", "n_b", "lengths_b")
+        .mapInArrow(batches, "id_a long, id_b long"))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int,
               levels: np.ndarray, pivots: list[int]) -> DataFrame:
     """The pairs (``id_a, id_b``) that reach the similarity."""
@@ -260,10 +293,11 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "do
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
                         F.col(f"`{text_col}`").alias("text"))
     first = stage(_first_pass(texts, width), "shingle-sets")
-    members = first.where("part IS NULL").select("id", "n", "c1", "c2")
+    members = first.where("part IS NULL").select("id", "n", "c1", "c2", "lengths")
     classes = stage(
         members.where("n > 0 AND id IS NOT NULL").groupBy("c1", "c2")
-        .agg(F.min("id").alias("id"), F.first("n").alias("size")), "classes")
+        .agg(F.min("id").alias("id"), F.first("n").alias("size"),
+             F.first("lengths").alias("lengths")), "classes")
     levels, weights = _levels(first)
     pivots = _pivots(weights, FRAGMENTS)
 
@@ -291,7 +325,8 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "do
         pairs = stage(pairs, "candidates")
         if turn and pairs.isEmpty():
             continue
-        links = stage(_verified(pairs, *arguments), "links").select(
+        links = stage(_verified(
+            stage(_plausible(pairs, classes, percent), "plausible"), *arguments), "links").select(
             F.col("id_a").alias("u"), F.col("id_b").alias("v"))
         if groups is not None:
             links = links.union(groups.select("node", "component"))
