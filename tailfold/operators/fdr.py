@@ -11,12 +11,15 @@ from tailfold.operators.ordered import running
 from tailfold.session import stage
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 1_000
+# Distinct p-values with their results that may be broadcast, some 50 MB as a hash table.
+BROADCAST_VALUES = 1_000_000
+# Parts that the rows of each p-value are dealt into when the values are too many to broadcast.
+SALTS = 32
 
 
-def _cuts(distinct: DataFrame, p: str) -> list[float]:
-    """Approximate quantiles of the distinct p-values; at most MAX_BUCKETS numbers."""
-    buckets = min(MAX_BUCKETS, math.ceil(distinct.count() / ROWS_PER_BUCKET))
+def _cuts(distinct: DataFrame, p: str, values: int) -> list[float]:
+    """Approximate quantiles of the distinct p-values: one bucket per ROWS_PER_BUCKET."""
+    buckets = math.ceil(values / ROWS_PER_BUCKET)
     if buckets <= 1:
         return []
     shares = [i / buckets for i in range(1, buckets)]
@@ -38,13 +41,19 @@ def benjamini_hochberg(df: DataFrame, p: str = "fisher_p_value",
         return _windowed(df, p, out, F.lit(1))
     counted = df.where(F.col(p).isNotNull()).groupBy(p).agg(F.count(F.lit(1)).alias("_rows"))
     distinct = stage(counted, "p-values")
-    cuts = _cuts(distinct, p)
+    values = distinct.count()
+    cuts = _cuts(distinct, p, values)
     if cuts:
         total = distinct.agg(F.sum("_rows").alias("_n")).scalar()
         final = _bucketed(distinct, p, total, cuts).select(p, _clamped("_q").alias(out))
     else:
         final = _windowed(distinct, p, out, F.col("_rows")).select(p, out)
-    return df.join(final, p, "left")
+    if values <= BROADCAST_VALUES:
+        return df.join(F.broadcast(final), p, "left")
+    # p = 1 may hold a large share of the rows: deal the rows of a value, repeat its result.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    dealt = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    return dealt.join(final.withColumn("_salt", salts), [p, "_salt"], "left").drop("_salt")
 
 
 def _clamped(c) -> Column:

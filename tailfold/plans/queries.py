@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tailfold import config, vocab
@@ -15,6 +18,7 @@ from tailfold.operators.fdr import benjamini_hochberg
 from tailfold.operators.samples import overlap_counts, shared_samples
 from tailfold.plans import lof_pc, merge, rare_variant
 from tailfold.plans import surrogates as S
+from tailfold.session import stage
 from tailfold.sources import gtf
 
 DISTANCE = 100
@@ -207,14 +211,15 @@ def bh_fdr(spark, d):
 
 
 def shard_merge_global_fdr(spark, d):
-    scored = fisher_two_sided(spark, d)
-    shards = [
-        benjamini_hochberg(scored.where(F.col("l_returnflag") == flag))
-        for flag in ("A", "N", "R")
-    ]
+    scored = fisher_two_sided(spark, d).withColumn(
+        "shard", F.pmod(F.hash("l_returnflag"), F.lit(SHARDS)))
+    shards = [benjamini_hochberg(scored.where(F.col("shard") == i).drop("shard"))
+              for i in range(SHARDS)]
     return rounded(merge.merged_fdr(shards), "fisher_fdr_bh")
 
 
+# Shards by hash, whatever values the split column has.
+SHARDS = 3
 SWEEP_BANDS = (-3.0, -4.0, -5.0, -6.0)
 
 
@@ -274,6 +279,11 @@ def _parsed(spark, d):
     return T.interpret(S.transcript_rows(spark, d))
 
 
+def _staged(spark, d):
+    """Parsed once for plans that read the rows more than once."""
+    return stage(_parsed(spark, d), "annotation-rows")
+
+
 def consequence_severity(spark, d):
     rows = _parsed(spark, d)
     worst = A.consequence_of_rank(F.col("consequence_rank"))
@@ -302,7 +312,7 @@ def unknown_consequence_terms(spark, d):
 
 
 def vat_counters(spark, d):
-    rows = _parsed(spark, d)
+    rows = _staged(spark, d)
     by = ["chrom"]
     whole = F.to_json(F.struct("pos", "ref", "alt", "gene_id", "consequence", "gvs_max_af", "LoF"))
     return (
@@ -338,7 +348,7 @@ def variant_feature_range_join(spark, d):
 
 
 def _rare_pairs(spark, d):
-    parsed = _parsed(spark, d)
+    parsed = _staged(spark, d)
     known = C.with_frequency(S.variants(spark, d), T.allele_frequencies(parsed))
     features = S.features(spark, d).select(*vocab.FEATURE_COLUMNS)
     return C.feature_pairs(
@@ -361,10 +371,10 @@ def carrier_minimum_distance(spark, d):
 
 
 def gather_minimum_distance(spark, d):
-    rows = _minima(spark, d)
-    shards = [
-        C.minimum_distances(rows.where(F.col("alt") == status)) for status in ("F", "O", "P")]
-    return C.minimum_distances(shards[0].unionByName(shards[1]).unionByName(shards[2]))
+    rows = stage(_minima(spark, d), "carried").withColumn(
+        "shard", F.pmod(F.hash("alt"), F.lit(SHARDS)))
+    shards = [C.minimum_distances(rows.where(F.col("shard") == i)) for i in range(SHARDS)]
+    return C.minimum_distances(reduce(DataFrame.unionByName, shards))
 
 
 def carrier_key_counts(spark, d):

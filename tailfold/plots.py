@@ -1,4 +1,8 @@
-"""SVG drawings of the sweep, built from rows as few as the result grid."""
+"""SVG drawings of the sweep, built from rows as few as the result grid.
+
+One panel per carrier definition, one below the other; ticks and colours follow from the data.
+Fixed values: the ``data-*`` attributes, the titles and the labels.
+"""
 
 from __future__ import annotations
 
@@ -6,131 +10,142 @@ import math
 from html import escape
 from pathlib import Path
 
-# fixed values: canvas, colours per threshold, tick marks, captions
-WIDTH, HEIGHT = 1400, 620
-PANEL_LEFT, PANEL_WIDTH, PANEL_STEP = 90, 592.5, 672.5
-TOP, BOTTOM = 92, 510
-COLORS = {-2.0: "#2563eb", -3.0: "#ea580c", -4.0: "#16a34a", -5.0: "#9333ea", -6.0: "#dc2626"}
-OTHER_COLOR = "#4b5563"
-RATIO_TICKS = (1, 2, 5, 10, 20, 50, 100, 200)
-COUNT_TICK = 1000
+PANEL_SIZE = (960, 340)
+MARGIN = {"left": 70, "right": 30, "above": 48, "below": 46}
+LEGEND_HEIGHT = 30
+TICKS = 6
 TITLES = {"any_lof": "Any LoF / HC_or_LC"}
-STYLE = (
-    "text{font-family:Arial,sans-serif;fill:#111827;font-size:13px}"
-    ".grid{stroke:#d1d5db}.axis{stroke:#6b7280;fill:none}"
-    ".reference{stroke:#6b7280;stroke-dasharray:5 4}"
-    ".threshold{fill:none;stroke-width:2}.median{fill:none;stroke:#111827;stroke-width:3}"
-    ".selection{stroke:#111827;stroke-width:2;stroke-dasharray:7 4}"
-    ".definition-selection{stroke:#6b7280;stroke-dasharray:4 4}"
-)
+INK, FAINT = "black", "lightgray"
+
+
+def even_ticks(low: float, high: float, whole: bool = False) -> list[float]:
+    """About TICKS round numbers between the bounds."""
+    raw = (high - low) / TICKS or 1
+    unit = 10.0 ** math.floor(math.log10(raw))
+    step = next(m * unit for m in (1, 2, 5, 10) if m * unit >= raw)
+    step = max(1, round(step)) if whole else step
+    return [step * i for i in range(math.ceil(low / step), math.floor(high / step) + 1)]
+
+
+def ratio_ticks(low: float, high: float) -> list[float]:
+    """1, 3 and 10 times powers of ten between the bounds."""
+    powers = range(math.floor(math.log10(low)), math.ceil(math.log10(high)) + 1)
+    return [v for p in powers for v in (10.0 ** p, 3 * 10.0 ** p) if low <= v <= high]
+
+
+def hue(place: int, of: int) -> str:
+    return f"hsl({round(300 * place / max(1, of))},65%,42%)"
+
+
+def element(tag: str, content: str | None = None, **attributes) -> str:
+    shown = "".join(
+        f' {name.replace("_", "-")}="{escape(f"{v:.6g}" if isinstance(v, float) else str(v))}"'
+        for name, v in attributes.items())
+    return f"<{tag}{shown}/>" if content is None else f"<{tag}{shown}>{escape(content)}</{tag}>"
 
 
 class Panel:
-    """Maps data to canvas positions and collects the elements of one panel."""
-
-    def __init__(self, index: int, x_range, y_range, log_y: bool):
-        self.left = PANEL_LEFT + index * PANEL_STEP
-        self.x0, self.x1 = x_range
-        self.scale = math.log10 if log_y else float
-        self.y0, self.y1 = (self.scale(v) for v in y_range)
-        self.parts: list[str] = []
-        self.add("rect", x=self.left, y=TOP, width=PANEL_WIDTH, height=BOTTOM - TOP, cls="axis")
-
-    def x(self, value) -> float:
-        return self.left + (value - self.x0) / max(1, self.x1 - self.x0) * PANEL_WIDTH
-
-    def y(self, value) -> float:
-        span = (self.y1 - self.y0) or 1.0
-        return BOTTOM - (self.scale(value) - self.y0) / span * (BOTTOM - TOP)
-
-    def add(self, tag: str, content: str | None = None, **attributes) -> None:
-        shown = " ".join(
-            f'{("class" if k == "cls" else k.replace("_", "-"))}='
-            f'"{format(v, "g") if isinstance(v, float) else escape(str(v))}"'
-            for k, v in attributes.items())
-        body = "/>" if content is None else f">{escape(content)}</{tag}>"
-        self.parts.append(f"<{tag} {shown}{body}")
-
-    def horizontal(self, value, cls: str, label: str | None = None) -> None:
-        y = self.y(value)
-        self.add("line", x1=self.left, x2=self.left + PANEL_WIDTH, y1=y, y2=y, cls=cls)
-        if label is not None:
-            self.add("text", label, x=self.left - 12, y=y + 4, text_anchor="end")
-
-    def vertical(self, value, cls: str, label: str, drop: int, **data) -> None:
-        x = self.x(value)
-        self.add("line", x1=x, x2=x, y1=TOP, y2=BOTTOM, cls=cls, **data)
-        self.add("text", label, x=x + 5, y=TOP + drop)
-
-    def curve(self, points, **attributes) -> None:
+    """One chart at a vertical offset; positions come from its two scales."""
+
+    def __init__(self, top: float, xs, ys, log_y: bool):
+        self.box = (MARGIN["left"], top + MARGIN["above"], PANEL_SIZE[0] - MARGIN["right"],
+                    top + PANEL_SIZE[1] - MARGIN["below"])
+        self.xs, self.ys, self.log_y = xs, ys, log_y
+        left, upper, right, lower = self.box
+        self.parts = [element("path", d=f"M{left} {upper}V{lower}H{right}", fill="none", stroke=INK)]
+
+    def at(self, x: float, y: float) -> tuple[float, float]:
+        left, upper, right, lower = self.box
+        (x0, x1), (y0, y1) = self.xs, self.ys
+        if self.log_y:
+            y, y0, y1 = math.log(y), math.log(y0), math.log(y1)
+        return (left + (right - left) * (x - x0) / ((x1 - x0) or 1),
+                lower - (lower - upper) * (y - y0) / ((y1 - y0) or 1))
+
+    def text(self, x: float, y: float, content: str, **attributes) -> None:
+        self.parts.append(element("text", content, x=float(x), y=float(y), fill=INK,
+                                  font_family="sans-serif", font_size=12, **attributes))
+
+    def axes(self, title: str, y_label: str, y_ticks) -> None:
+        left, upper, right, lower = self.box
+        self.text(left, upper - 28, title, font_weight="bold")
+        self.text(left, upper - 10, y_label)
+        self.text(right, lower + 36, "Number of PCs included (k)", text_anchor="end")
+        for tick in even_ticks(*self.xs, whole=True):
+            self.text(self.at(tick, self.ys[0])[0], lower + 18, f"{tick:,.0f}", text_anchor="middle")
+        for tick in y_ticks:
+            self.level(tick, FAINT)
+            self.text(left - 8, self.at(self.xs[0], tick)[1] + 4, f"{tick:g}", text_anchor="end")
+
+    def level(self, value: float, color: str, **attributes) -> None:
+        left, _, right, _ = self.box
+        y = self.at(self.xs[0], value)[1]
+        self.parts.append(element("line", x1=left, x2=right, y1=y, y2=y, stroke=color, **attributes))
+
+    def mark(self, count: int, label: str, row: int, **data) -> None:
+        """A vertical line at a PC count with its label beside it."""
+        _, upper, right, lower = self.box
+        x = self.at(count, self.ys[0])[0]
+        self.parts.append(element("line", x1=x, x2=x, y1=upper, y2=lower, stroke=INK,
+                                  stroke_dasharray="2 3", **data))
+        beyond = x > (self.box[0] + right) / 2
+        self.text(x - 6 if beyond else x + 6, upper + 14 * (row + 1), label,
+                  text_anchor="end" if beyond else "start")
+
+    def curve(self, points, color: str, width: float, **data) -> None:
         if points:
-            steps = [f"{self.x(a):g},{self.y(b):g}" for a, b in sorted(points)]
-            self.add("path", d="M" + " L".join(steps), **attributes)
-
-    def captions(self, title: str, y_label: str) -> None:
-        middle = self.left + PANEL_WIDTH / 2
-        self.add("text", title, x=self.left, y=70, font_size=16)
-        self.add("text", y_label, x=middle, y=TOP - 8, text_anchor="middle")
-        self.add("text", "Number of PCs included (k)", x=middle, y=BOTTOM + 53,
-                 text_anchor="middle")
-        for tick in range(self.x0 // COUNT_TICK * COUNT_TICK, self.x1 + COUNT_TICK, COUNT_TICK):
-            self.add("text", f"{tick:,}", x=self.x(tick), y=BOTTOM + 23, text_anchor="middle")
+            path = " ".join("{:.6g},{:.6g}".format(*self.at(*p)) for p in sorted(points))
+            self.parts.append(element("polyline", points=path, fill="none", stroke=color,
+                                      stroke_width=width, **data))
 
 
-def _write(path, label: str, legend: list[str], panels: list[Panel]) -> None:
-    body = [p for panel in panels for p in panel.parts]
-    head = (f'<svg xmlns="http://www.w3.org/2000/svg" width="{WIDTH}" height="{HEIGHT}" '
-            f'viewBox="0 0 {WIDTH} {HEIGHT}" role="img" aria-label="{escape(label)}">')
-    Path(path).write_text(
-        "\n".join([head, f"<style>{STYLE}</style>", *legend, *body, "</svg>"]) + "\n",
-        encoding="utf-8")
+def _offset(index: int) -> float:
+    return LEGEND_HEIGHT + index * PANEL_SIZE[1]
 
 
 def _legend(entries) -> list[str]:
-    out = []
-    for i, (text, color) in enumerate(entries):
-        x = 420 + 115 * i
-        out.append(f'<line x1="{x}" x2="{x + 22}" y1="31" y2="31" stroke="{color}" '
-                   f'stroke-width="3"/><text x="{x + 30}" y="36">{escape(text)}</text>')
-    return out
+    step = PANEL_SIZE[0] / max(1, len(entries))
+    return [part for i, (name, color) in enumerate(entries) for part in (
+        element("rect", x=step * i + 10, y=10, width=14, height=10, fill=color),
+        element("text", name, x=step * i + 30, y=20, font_family="sans-serif", font_size=12))]
+
+
+def _write(path, label: str, legend: list[str], panels: list[Panel]) -> None:
+    height = _offset(len(panels))
+    body = "\n".join([*legend, *(p for panel in panels for p in panel.parts)])
+    Path(path).write_text(
+        f'<svg xmlns="http://www.w3.org/2000/svg" viewBox="0 0 {PANEL_SIZE[0]} {height}" role="img"'
+        f' aria-label="{escape(label)}">\n{body}\n</svg>\n', encoding="utf-8")
 
 
 def write_selection_svg(path, rows, thresholds, medians, selection) -> None:
     """Odds ratio by PC count: one curve per threshold, the median and the choices."""
     if not rows:
         raise ValueError("no finite positive odds ratios available for the plot")
+    ratios = [1.0, *(r.odds_ratio for r in rows), *(m["median_odds_ratio"] for m in medians)]
     counts = [r.pc_count for r in rows]
-    ratios = [r.odds_ratio for r in rows] + [m["median_odds_ratio"] for m in medians]
-    x_range = min(counts), max(counts)
-    y_range = max(0.75, min(ratios) / 1.18), max(ratios) * 1.22
-    descending = sorted(thresholds, reverse=True)
-    entries = [(f"z <= {t:g}", COLORS.get(t, OTHER_COLOR)) for t in descending]
+    xs, ys = (min(counts), max(counts)), (min(ratios) / 1.1, max(ratios) * 1.1)
+    colors = {t: hue(i, len(thresholds)) for i, t in enumerate(sorted(thresholds, reverse=True))}
     panels = []
     for index, definition in enumerate(selection["carrier_definitions"]):
-        panel = Panel(index, x_range, y_range, log_y=True)
-        for tick in RATIO_TICKS:
-            if y_range[0] <= tick <= y_range[1]:
-                panel.horizontal(tick, "grid", f"{tick}")
-        panel.horizontal(1, "reference")
-        panel.captions(TITLES.get(definition, definition), "Odds ratio (log scale)")
-        for t in descending:
-            panel.curve(
-                [(r.pc_count, r.odds_ratio) for r in rows
-                 if r.carrier_definition == definition and r.z_threshold == t],
-                cls="threshold", data_z_threshold=f"{t:g}", stroke=COLORS.get(t, OTHER_COLOR))
-        panel.curve(
-            [(m["pc_count"], m["median_odds_ratio"]) for m in medians
-             if m["carrier_definition"] == definition],
-            cls="median", data_median_log_or=definition)
+        panel = Panel(_offset(index), xs, ys, log_y=True)
+        panel.axes(TITLES.get(definition, definition), "Odds ratio (log scale)", ratio_ticks(*ys))
+        panel.level(1.0, INK, stroke_dasharray="6 6")
+        for threshold, color in colors.items():
+            panel.curve([(r.pc_count, r.odds_ratio) for r in rows
+                         if (r.carrier_definition, r.z_threshold) == (definition, threshold)],
+                        color, 1.5, data_z_threshold=f"{threshold:g}")
+        panel.curve([(m["pc_count"], m["median_odds_ratio"]) for m in medians
+                     if m["carrier_definition"] == definition],
+                    INK, 2.5, data_median_log_or=definition)
         own = selection["minimum_pc_count_within_plateau_by_definition"][definition]
         common = selection["selected_pc_count"]
-        panel.vertical(own, "definition-selection", f"plateau K={own:,}", 15,
-                       data_definition_selection_pc=own)
-        panel.vertical(common, "selection", f"selected K={common:,}", 31,
-                       data_selection_pc=common)
+        panel.mark(own, f"plateau K={own:,}", 0, data_definition_selection_pc=own)
+        panel.mark(common, f"selected K={common:,}", 1, data_selection_pc=common)
         panels.append(panel)
+    named = [(f"z <= {t:g}", c) for t, c in colors.items()]
     _write(path, "LoF enrichment across principal components",
-           _legend([*entries, ("median logOR", "#111827")]), panels)
+           _legend([*named, ("median logOR", INK)]), panels)
 
 
 def write_sweep_svg(path, rows) -> None:
@@ -138,24 +153,18 @@ def write_sweep_svg(path, rows) -> None:
     shown = [r for r in rows if r.pc_count <= r.maximum_pc]
     panels = []
     for index, definition in enumerate(dict.fromkeys(r.carrier_definition for r in shown)):
-        own = [r for r in shown if r.carrier_definition == definition]
-        panel = Panel(index, (min(r.pc_count for r in own), own[0].maximum_pc), (0, 108), False)
-        for tick in range(0, 101, 10):
-            panel.horizontal(tick, "grid", f"{tick}")
-        panel.horizontal(95, "reference")
-        panel.captions(definition, "Median enrichment as percent of maximum")
-        panel.curve([(r.pc_count, r.percent_of_maximum) for r in own], cls="threshold",
-                    stroke=COLORS[-2.0])
-        # fixed values: PC counts that get a label
-        labelled = {0, 100, 500, 1000, 1500, 2000} | {r.maximum_pc for r in shown}
-        for r in own:
-            if r.pc_count in labelled and r.percent_of_maximum < 100:
-                panel.add("text", f"OR = {r.median_odds_ratio:.1f}", x=panel.x(r.pc_count) + 6,
-                          y=panel.y(r.percent_of_maximum) - 8)
-        best = own[0]
-        panel.vertical(
-            best.maximum_pc, "selection",
-            f"maximum PC = {best.maximum_pc}, OR = {best.maximum_median_odds_ratio:.1f} (100%)",
-            15, data_maximum_pc=best.maximum_pc)
+        own = sorted((r for r in shown if r.carrier_definition == definition),
+                     key=lambda r: r.pc_count)
+        best = own[-1].maximum_pc
+        panel = Panel(_offset(index), (own[0].pc_count, best), (0.0, 110.0), log_y=False)
+        panel.axes(definition, "Median enrichment as percent of maximum", even_ticks(0, 100))
+        panel.level(95.0, INK, stroke_dasharray="6 6")
+        panel.curve([(r.pc_count, r.percent_of_maximum) for r in own], hue(0, 1), 1.5)
+        for r in own[::max(1, len(own) // TICKS)]:
+            if r.percent_of_maximum < 100:
+                x, y = panel.at(r.pc_count, r.percent_of_maximum)
+                panel.text(x, y - 6, f"OR = {r.median_odds_ratio:.1f}")
+        panel.mark(best, f"maximum PC = {best}, OR = {own[0].maximum_median_odds_ratio:.1f} (100%)", 0,
+                   data_maximum_pc=best)
         panels.append(panel)
     _write(path, "Percent of maximum enrichment", [], panels)

@@ -29,7 +29,7 @@ class SampleMatrix:
 
 def _numeric_matrix(lines: DataFrame, header: str, columns: list[str], id_at: int,
                     array: str, what: str) -> SampleMatrix:
-    rows = text.quoted_fields(lines, header, columns)
+    rows = text.quoted_fields(lines, header, columns, what)
     numbers = [i for i in range(len(columns)) if i != id_at]
     sample = V.strip(text.cell(id_at))
     cells = F.concat(
@@ -96,7 +96,7 @@ def read_lof_carriers(spark: SparkSession, path) -> tuple[DataFrame, int, int]:
     absent = [c for c in vocab.LOF_CARRIER_COLUMNS if c not in columns]
     if absent:
         raise ValueError("missing required LoF carrier columns: " + ", ".join(absent))
-    rows = text.quoted_fields(lines, header, columns)
+    rows = text.quoted_fields(lines, header, columns, what)
 
     def cell(name):
         return text.cell(columns.index(name))
@@ -128,7 +128,7 @@ def read_coding_genes(spark: SparkSession, path) -> tuple[DataFrame, int]:
     header = text.header_line(lines, what, skip_blank=False)
     if text.split_header(header) != ["gene_id"]:
         raise ValueError(f"{what} header must be gene_id")
-    rows = text.quoted_fields(lines, header, ["gene_id"]).select(
+    rows = text.quoted_fields(lines, header, ["gene_id"], what).select(
         "ord", "malformed", V.drop_version(V.strip(text.cell(0))).alias("gene_id"))
     problem = F.coalesce(F.when(F.col("malformed"), "more than one column"),
                          F.when(F.col("gene_id") == "", "an empty gene ID"))
@@ -148,7 +148,7 @@ def read_features(spark: SparkSession, path, unique: bool = False) -> DataFrame:
     header = text.header_line(lines, what)
     if header.split("\t") != list(vocab.FEATURE_COLUMNS):
         raise ValueError(f"{what} header must be " + ", ".join(vocab.FEATURE_COLUMNS))
-    rows = text.raw_fields(lines, header)
+    rows = text.raw_fields(lines, header, what)
     typed = rows.select(
         "ord", F.size("fields").alias("n"), F.get("fields", F.lit(0)).alias("chrom"),
         V.to_long(F.get("fields", F.lit(1))).alias("tss"),
@@ -181,7 +181,8 @@ def read_minima(spark: SparkSession, path) -> DataFrame:
     header = text.header_line(lines, what, skip_blank=False)
     if header.split("\t") != list(vocab.MINIMA_COLUMNS):
         raise ValueError(f"{what} header does not match the expected header: {path}")
-    body = lines.where(F.col("line") != header).select("ord", "line", F.split("line", "\t").alias("f"))
+    body = text.body_lines(lines, header, what).select(
+        "ord", "line", F.split("line", "\t").alias("f"))
     keys = [F.get("f", F.lit(i)).alias(n) for i, n in enumerate(vocab.MINIMA_KEYS)]
     typed = body.select("ord", "line", F.size("f").alias("n"), *keys,
                         V.to_long(F.get("f", F.lit(5))).alias("minimum_distance_bp"))
@@ -206,7 +207,7 @@ def read_result_columns(spark: SparkSession, path, what: str = "enrichment resul
     lines = text.read_lines(spark, path)
     header = text.header_line(lines, what, skip_blank=False)
     columns = text.split_header(header)
-    rows = text.quoted_fields(lines, header, columns)
+    rows = text.quoted_fields(lines, header, columns, what)
     named = rows.select("ord", "malformed", *[text.cell(i).alias(c) for i, c in enumerate(columns)])
     return named, columns, lines
 

@@ -34,25 +34,42 @@ def is_gzip(spark: SparkSession, path: str) -> bool:
         stream.close()
 
 
+def _pieces(view: memoryview, size: int):
+    """Decompressed pieces of a gzip file of any number of members.
+
+    What a member leaves over begins the next one; zero bytes after the last member are padding.
+    A file that ends inside a member is an error.
+    """
+    decoder, rest, at, begun = zlib.decompressobj(31), b"", 0, False
+    while True:
+        if not rest:
+            rest, at = bytes(view[at:at + size]), min(at + size, len(view))
+        if not begun:
+            rest = rest.lstrip(b"\0")
+        if not rest:
+            if at < len(view):
+                continue
+            break
+        begun = True
+        yield decoder.decompress(rest, 4 * size)
+        if decoder.eof:
+            rest, decoder, begun = decoder.unused_data, zlib.decompressobj(31), False
+        else:
+            rest = decoder.unconsumed_tail
+    if begun:
+        while tail := decoder.decompress(decoder.unconsumed_tail, 4 * size):
+            yield tail
+        if not decoder.eof:
+            raise ValueError("the gzip file ends inside a member")
+
+
 def _gunzip_lines(batches):
     """Decompress whole files piece by piece into batches of numbered lines."""
-    size = 1 << 20
     for batch in batches:
         for path, content in zip(batch["path"].to_pylist(), batch["content"]):
-            view = memoryview(content.as_buffer())
-            decoder, pending, number = zlib.decompressobj(31), b"", 0
-            at = 0
-            while at < len(view) or decoder.unconsumed_tail:
-                piece = decoder.unconsumed_tail
-                if not piece:
-                    piece, at = bytes(view[at:at + size]), at + size
-                pending += decoder.decompress(piece, 4 * size)
-                if decoder.eof:
-                    rest = decoder.unused_data
-                    decoder = zlib.decompressobj(31)
-                    if rest:
-                        at -= len(rest)
-                *lines, pending = pending.split(b"\n")
+            pending, number = b"", 0
+            for piece in _pieces(memoryview(content.as_buffer()), 1 << 20):
+                *lines, pending = (pending + piece).split(b"\n")
                 if lines:
                     yield _numbered(path, number, lines)
                     number += len(lines)
@@ -129,10 +146,31 @@ def split_header(line: str) -> list[str]:
 
 
 # fixed value: one field of a quoted TSV, double quotes inside quotes being doubled
-QUOTED_FIELD = r'(?:^|\t)("(?:[^"]|"")*"|[^\t]*)'
+QUOTED_FIELD = r'(?:^|\t)("[^"]*+(?:""[^"]*+)*+"|[^\t]*)'
 
 
-def quoted_fields(lines: DataFrame, header: str, columns: list[str]) -> DataFrame:
+def body_lines(lines: DataFrame, header: str, what: str) -> DataFrame:
+    """Lines after the header, of which every file has one.
+
+    A later line that repeats the header is data that fits no column, so it is an error.
+    """
+    headers = lines.where(F.col("line") == header).select("ord")
+    again = (
+        headers.groupBy("ord.file_path").agg(F.min("ord").alias("first"), F.count("ord").alias("n"))
+        .where("n > 1").select("first"))
+    first = again.agg(F.min("first").alias("first")).first().first
+    if first is not None:
+        at = F.struct(*[F.lit(v).alias(n) for n, v in first.asDict().items()])
+        same = headers.where(
+            (F.col("ord.file_path") == first.file_path) & (F.col("ord") > at))
+        repeated = same.select("ord", F.lit("the header again").alias("problem")).agg(
+            F.min(F.struct("ord", "problem")).alias("first")).first().first
+        report_first(repeated, what, lines)
+    return lines.where(F.col("line") != header)
+
+
+def quoted_fields(lines: DataFrame, header: str, columns: list[str],
+                  what: str = "table") -> DataFrame:
     """Rows of a quoted TSV as ``ord``, ``fields`` (array) and ``malformed``.
 
     An array keeps the plan small for matrices with thousands of columns; lines
@@ -142,7 +180,7 @@ def quoted_fields(lines: DataFrame, header: str, columns: list[str]) -> DataFram
         inner = F.regexp_replace(field, r'(?s)^"(.*)"$', "$1")
         return F.when(field.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
 
-    body = lines.where((strip(F.col("line")) != "") & (F.col("line") != header))
+    body = body_lines(lines, header, what).where(strip(F.col("line")) != "")
     careful = F.transform(
         F.regexp_extract_all("line", F.lit(QUOTED_FIELD), F.lit(1)), unquote)
     fields = F.when(F.instr("line", '"') == 0, F.split("line", "\t")).otherwise(careful)
@@ -155,9 +193,9 @@ def cell(index: int) -> Column:
     return F.coalesce(F.get("fields", F.lit(index)), F.lit(""))
 
 
-def raw_fields(lines: DataFrame, header: str | None) -> DataFrame:
+def raw_fields(lines: DataFrame, header: str | None, what: str = "table") -> DataFrame:
     """Rows split on TAB only, without quoting: ``ord``, ``line``, ``fields``."""
-    body = lines.where(strip(F.col("line")) != "")
     if header is not None:
-        body = body.where(F.col("line") != header)
+        lines = body_lines(lines, header, what)
+    body = lines.where(strip(F.col("line")) != "")
     return body.select("ord", "line", F.split("line", "\t").alias("fields"))

@@ -159,7 +159,7 @@ def test_selection_finds_the_plateau_and_draws_it(spark, results, tmp_path):
     assert document["median_log_or"][0]["included_z_thresholds"] == [-6.0, -5.0, -4.0, -3.0]
     svg = plot.read_text()
     for part in ('data-selection-pc="10"', 'data-median-log-or="HC"',
-                 'data-median-log-or="any_lof"', 'height="418"', "Any LoF / HC_or_LC"):
+                 'data-median-log-or="any_lof"', 'data-z-threshold="-3"', "Any LoF / HC_or_LC"):
         assert part in svg
 
 
