@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,7 +48,7 @@ def staging_root(spark: SparkSession) -> str:
     return _local_root
 
 
-def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Several passes over an expensive intermediate then cost a columnar scan each,
@@ -54,8 +56,26 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     """
     spark = df.sparkSession
     path = f"{staging_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    _paths[id(staged)] = (weakref.ref(staged, lambda _, key=id(staged): _paths.pop(key, None)), path)
+    return staged
+
+
+_paths: dict[int, tuple] = {}
+
+
+def release(spark: SparkSession, *staged: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more.
+
+    Spark drops the shuffle files of a finished query when the driver collects its garbage, which
+    it may not do for a long time; so it is asked to.
+    """
+    jvm = spark.sparkContext._jvm
+    for table in staged:
+        _, path = _paths.pop(id(table), (None, None))
+        if path:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    gc.collect()
+    jvm.System.gc()
