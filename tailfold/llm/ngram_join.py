@@ -39,7 +39,7 @@ from tailfold.llm.components import components
 from tailfold.llm.fixed_tables import parts_of, table_sum
 from tailfold.llm.sizes import checked
 from tailfold.llm.words import mix64, slices
-from tailfold.session import stage
+from tailfold.session import release, stage
 
 COUNT_BITS = 20        # entries of the frequency table, as a power of two
 FRAGMENTS = 8
@@ -280,11 +280,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
         pairs.select("id_a", "id_b").join(ends["a"], "id_a").join(ends["b"], ["id_b", "fragment"])
         .select("id_a", "id_b", "size_a", "size_b",
                 F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long").alias("common")))
-    return (
+    links = stage(
         partial.groupBy("id_a", "id_b", "size_a", "size_b").agg(F.sum("common").alias("common"))
         .where(F.col("common") * 100
                >= (F.col("size_a") + F.col("size_b") - F.col("common")) * percent)
-        .select("id_a", "id_b"))
+        .select("id_a", "id_b"), "links")
+    del partial, ends
+    release(docs.sparkSession, segments, wanted)
+    return links
 
 
 def linked(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id",
@@ -313,6 +316,7 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "do
         .withColumn("most", F.max("id").over(holders))
         .withColumn("holders", F.count(F.lit(1)).over(holders))
         .where("least < most").drop("least", "most"), "shared-prefixes")
+    release(docs.sparkSession)
     common = stage(shared.groupBy("id").agg(
         (F.sum("holders") / F.first("size")).alias("common")), "commonness")
     arguments = (whole, classes, width, percent, levels, pivots)
@@ -325,8 +329,8 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "do
         pairs = stage(pairs, "candidates")
         if turn and pairs.isEmpty():
             continue
-        links = stage(_verified(
-            stage(_plausible(pairs, classes, percent), "plausible"), *arguments), "links").select(
+        likely = stage(_plausible(pairs, classes, percent), "plausible")
+        links = _verified(likely, *arguments).select(
             F.col("id_a").alias("u"), F.col("id_b").alias("v"))
         if groups is not None:
             links = links.union(groups.select("node", "component"))

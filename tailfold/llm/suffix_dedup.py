@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tailfold.llm.sizes import checked
 from tailfold.llm.words import mix64, text_buffers
-from tailfold.session import stage
+from tailfold.session import release, stage
 
 GRAM = 20
 CHUNK_BYTES = 1 << 21       # region bytes that are sorted together
@@ -192,7 +192,10 @@ def _regions(texts: DataFrame, length: int) -> DataFrame:
 
 
 def _verdicts(dealt: DataFrame, length: int) -> DataFrame:
-    """``rid, offset, owners`` from ``key, rid, offset, owner, region``; whole keys are sorted."""
+    """``rid, offset, owners, counts`` from ``key, rid, offset, owner, region``.
+
+    The least owners of a region's windows come as runs of equal ones.  Whole keys are sorted.
+    """
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, last = 0, None
@@ -201,9 +204,15 @@ def _verdicts(dealt: DataFrame, length: int) -> DataFrame:
             rids, offsets, owners, regions = zip(*held)
             least = least_owners(list(regions), np.array(owners, np.int64), length)
             held.clear()
+            values, counts = [], []
+            for own in least:
+                cut = np.flatnonzero(own[1:] != own[:-1]) + 1
+                values.append(own[np.append(0, cut)])
+                counts.append(np.diff(np.concatenate([[0], cut, [len(own)]])))
             return pa.RecordBatch.from_arrays(
                 [pa.array(rids, pa.binary()), pa.array(offsets, pa.int64()),
-                 pa.array(least, pa.list_(pa.int64()))], ["rid", "offset", "owners"])
+                 pa.array(values, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))],
+                ["rid", "offset", "owners", "counts"])
 
         for batch in source:
             for key, *row in zip(*(batch.column(k).to_pylist() for k in range(5))):
@@ -218,7 +227,8 @@ def _verdicts(dealt: DataFrame, length: int) -> DataFrame:
 
     return (dealt.select("key", "rid", "offset", "owner", "region").repartition("key")
             .sortWithinPartitions("key")
-            .mapInArrow(batches, "rid binary, offset long, owners array<bigint>"))
+            .mapInArrow(batches, "rid binary, offset long, owners array<bigint>,"
+                                 " counts array<bigint>"))
 
 
 def _removed(marks: DataFrame) -> DataFrame:
@@ -226,17 +236,17 @@ def _removed(marks: DataFrame) -> DataFrame:
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             ids, starts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            flat, offsets = batch.column(2).flatten().to_numpy(), np.diff(batch.column(2).offsets)
-            counts = np.asarray(offsets)
-            row = np.repeat(np.arange(len(ids)), counts)
-            at = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts) + starts[row]
-            hit = np.flatnonzero(flat < ids[row])
-            if not len(hit):
-                continue
-            cut = np.flatnonzero((np.diff(at[hit]) != 1) | (np.diff(row[hit]) != 0)) + 1
-            a, b = hit[np.append(0, cut)], hit[np.append(cut, len(hit)) - 1]
+            owners, sizes = (batch.column(k).flatten().to_numpy() for k in (2, 3))
+            row = np.repeat(np.arange(len(ids)), np.diff(batch.column(2).offsets.to_numpy()))
+            # Where each run of equal owners begins in its region.
+            before = np.cumsum(sizes) - sizes
+            opens = np.flatnonzero(np.append(True, np.diff(row) != 0)) if len(row) else row
+            before = before - np.repeat(before[opens], np.diff(np.append(opens, len(row))))
+            hit = owners < ids[row]
+            first = (starts[row] + before)[hit]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[row[a]]), pa.array(at[a]), pa.array(at[b])], ["id", "first", "last"])
+                [pa.array(ids[row[hit]]), pa.array(first), pa.array(first + sizes[hit] - 1)],
+                ["id", "first", "last"])
 
     return marks.mapInArrow(batches, "id long, first long, last long")
 
@@ -294,13 +304,17 @@ def removed_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
         _samples(singles, length)
         .withColumn("low", F.min("id").over(holders)).withColumn("high", F.max("id").over(holders))
         .where("low < high").groupBy("id").agg(F.collect_set("gram").alias("shared")), "shared-grams")
+    release(docs.sparkSession, digests)
     some = checked(stage(shared.select("id"), "sharing"))
     regions = stage(
         _regions(singles.join(some, "id", "left_semi").join(shared, "id"), length)
         .withColumn("rid", F.unhex(F.md5("region"))), "regions")
 
+    release(docs.sparkSession, shared)
     distinct = stage(regions.groupBy("gram", "rid").agg(
         F.first("region").alias("region"), F.min("id").alias("owner")), "distinct-regions")
+    places = stage(regions.select("rid", "id", "start"), "places")
+    release(docs.sparkSession, regions)
     heavy = stage(
         distinct.groupBy("gram").agg(F.sum(F.length("region")).alias("bytes"))
         .where(F.col("bytes") > HOT_BYTES).select("gram"), "heavy-grams")
@@ -314,12 +328,14 @@ def removed_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
         F.xxhash64(window).alias("key"), "rid", F.col("offset").cast("long").alias("offset"), "owner",
         window.alias("region"))
     verdicts = stage(_verdicts(usual.unionByName(crowded), length), "verdicts")
+    release(docs.sparkSession, distinct)
 
     runs = (
-        _removed(regions.select("rid", "id", "start").join(verdicts, "rid")
-                 .select("id", (F.col("start") + F.col("offset")).alias("start"), "owners"))
+        _removed(places.join(verdicts, "rid").select(
+            "id", (F.col("start") + F.col("offset")).alias("start"), "owners", "counts"))
         .groupBy("id").agg(F.collect_list(F.struct("first", "last")).alias("runs")))
     runs = stage(runs, "removed-runs")
+    release(docs.sparkSession, places, verdicts)
     touched = checked(stage(runs.select("id"), "touched"))
     marked = with_copy_mark(texts)
     plain = marked.join(touched, "id", "left_anti").withColumn(
