@@ -36,7 +36,7 @@ CELL = 128        # nodes of a cell of such a pair, about
 GAINS = 8         # new neighbours that a node takes from one place of a round
 ROUNDS = 6        # NN-descent rounds; fewer if hardly anything changes
 ENTRIES = 256     # nodes that every search begins with, a bounded set that goes to every task
-BEAM = 128
+BEAM = 256
 STEPS = 15
 _SETTLED = 0.01   # share of changed edges at which the graph is taken as settled
 
