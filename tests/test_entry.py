@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from tailfold.plans.comparison_sql import SQL
+from tailfold.plans.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -28,10 +30,12 @@ def comparable(rows):
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.items() <= entry.queries().items()
+    assert SQL.items() <= entry.oracle_sql().items() and entry.oracle_sql().keys() <= entry.queries().keys()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees_with_sql(spark, engine, name):
     frame = entry.queries()[name](spark, DATA)
     columns = sorted(frame.columns)
