@@ -22,11 +22,13 @@ def bh(ps):
     return out
 
 
-@pytest.mark.parametrize("rows_per_bucket,small", [(10**6, True), (10**6, False), (7, False)])
-def test_fdr_with_ties_and_buckets(spark, monkeypatch, rows_per_bucket, small):
+@pytest.mark.parametrize("rows_per_bucket,small,broadcast", [
+    (10**6, True, 10**6), (10**6, False, 10**6), (7, False, 10**6), (7, False, 0)])
+def test_fdr_with_ties_and_buckets(spark, monkeypatch, rows_per_bucket, small, broadcast):
     monkeypatch.setattr(fdr, "ROWS_PER_BUCKET", rows_per_bucket)
+    monkeypatch.setattr(fdr, "BROADCAST_VALUES", broadcast)  # 0: the salted join
     draw = random.Random(5)
-    ps = [1.0 if draw.random() < 0.3 else round(draw.random() ** 3, 2) for _ in range(300)]
+    ps = [1.0 if draw.random() < 0.5 else round(draw.random() ** 3, 2) for _ in range(300)]
     rows = spark.createDataFrame(list(enumerate(ps)), "i int, p double")
     got = {r.i: r.q for r in fdr.benjamini_hochberg(rows, "p", "q", small).collect()}
     assert [got[i] for i in range(len(ps))] == pytest.approx(bh(ps), rel=1e-12)
