@@ -16,7 +16,8 @@ A byte goes if a ``length``-byte string that covers it also starts in a document
 5. The verdicts go back to the documents, whose removed runs are joined.
 
 Defined results: a null text is empty; rows without an id are listed and keep all their bytes; rows
-with the same id do not remove each other's bytes; texts shorter than ``length`` stay whole.
+with the same id do not remove each other's bytes, and if their texts differ, what goes from one
+goes at the same places from the others; texts shorter than ``length`` stay whole.
 """
 
 from __future__ import annotations
@@ -262,8 +263,8 @@ def _kept(docs: DataFrame, length: int, id_kind: str) -> DataFrame:
                 if copy and len(data) >= length:
                     gone[0], gone[-1] = 1, -1
                 for run in runs or ():
-                    gone[run["first"]] += 1
-                    gone[run["last"] + length] -= 1
+                    gone[min(run["first"], len(data))] += 1
+                    gone[min(run["last"] + length, len(data))] -= 1
                 off = np.cumsum(gone)[:-1] > 0
                 spans = int(off[:1].sum() + (off[1:] & ~off[:-1]).sum())
                 out.append((doc, len(data), int(off.sum()), spans,
@@ -289,14 +290,12 @@ def removed_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
     least = digests.groupBy("digest").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
     copies = stage(digests.join(least.where("n > 1"), "digest").where("id > least")
                    .select("id", "digest").distinct(), "text-copies")
-    # A text is told from others of its id by its digest; that is only worked out for listed ids.
-    listed = copies.withColumnRenamed("digest", "copy_digest")
+    listed = copies.withColumn("copy", F.lit(True))
 
     def with_copy_mark(rows: DataFrame) -> DataFrame:
-        marked = rows.join(checked(listed), "id", "left").withColumn("copy", F.coalesce(
-            F.when(F.col("copy_digest").isNotNull(),
-                   F.unhex(F.sha2("text", 256)) == F.col("copy_digest")), F.lit(False)))
-        return marked.drop("copy_digest")
+        told = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
+        return told.join(checked(listed), ["id", "digest"], "left").withColumn(
+            "copy", F.coalesce("copy", F.lit(False))).drop("digest")
 
     singles = with_copy_mark(known).where(~F.col("copy")).drop("copy")
     holders = Window.partitionBy("gram")

@@ -297,3 +297,17 @@ def test_sql_agrees_on_the_fixture(spark, docs, rows):
     got = {r[0]: (r[1], r[2]) for r in db.execute(
         f"SELECT doc_id, n_shingles, component_id FROM ({sql.SQL['op8_ngram_join']})").fetchall()}
     assert got == brute_links(rows)
+
+
+def test_suffix_dedup_of_repeated_ids(spark):
+    """Rows sharing an id: the same text twice, other texts, none; and rows without an id."""
+    passage = "a passage of more than fifty bytes that comes again and again here"
+    rows = [(1, passage), (1, passage), (2, "x" + passage), (2, "short"), (2, passage), (None, passage),
+            (3, None), (3, passage + "tail")]
+    docs = spark.createDataFrame([(*r, None, None, None, None) for r in rows], SCHEMA)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed) for r in suffix_dedup.removed_repeats(docs).collect()),
+                 key=repr)
+    n = len(passage)
+    assert len(got) == len(rows)
+    assert got.count((1, n, 0)) == 2 and (2, n, n) in got and (2, n + 1, n) in got
+    assert (None, n, 0) in got and (3, n + 4, n) in got and (3, 0, 0) in got
