@@ -95,12 +95,6 @@ def state_counts(call_array: Column) -> dict[str, Column]:
     }
 
 
-def called_alleles(call_array: Column) -> Column:
-    return F.aggregate(
-        call_array, F.lit(0).cast("bigint"), lambda n, c: n + c["called"]
-    )
-
-
 def with_alt(call_array: Column) -> Column:
     """The calls that carry at least one ALT allele."""
     return F.filter(call_array, lambda c: F.exists(c["alts"], lambda a: a > 0))

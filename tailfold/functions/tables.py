@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 # Terms further than this below the mode do not change a double.
 UNDERFLOW = -800.0
+# fixed value: tables this close in probability to the observed one count as ties
 TIE_TOLERANCE = np.log1p(1e-12)
 STEP = 1 << 15
 

@@ -105,21 +105,6 @@ CONSEQUENCE_SEVERITY = (
     "intergenic_variant",
     "sequence_variant",
 )
-DEFAULT_CONSEQUENCE_CLASSES = (
-    "splice_acceptor_variant",
-    "splice_donor_variant",
-    "stop_gained",
-    "frameshift_variant",
-    "stop_lost",
-    "start_lost",
-    "inframe_insertion",
-    "inframe_deletion",
-    "missense_variant",
-    "protein_altering_variant",
-    "splice_region_variant",
-    "synonymous_variant",
-    "coding_sequence_variant",
-)
 
 # --- fixed values: tails, families, selection defaults, genotype counters
 TAILS = ("absolute", "positive", "negative")
