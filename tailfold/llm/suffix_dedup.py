@@ -11,8 +11,9 @@ A byte goes if a ``length``-byte string that covers it also starts in a document
 4. Regions are dealt out by gram, which brings all equal windows together, and suffix-sorted there by
    the difference-cover algorithm: sampled triples are sorted, their names sorted by recursion, the
    other suffixes merged in; neighbours in the order are compared on their first ``length`` bytes, and
-   the smallest document of each set of equal windows is found.  A gram with very many different
-   regions is dealt out anew by whole windows, so no group outgrows a task.
+   the smallest document of each set of equal windows is found.  A gram with more region bytes than
+   ``HOT_BYTES`` is not sorted: its windows, each once per ``SLICE`` windows of a region, are grouped
+   with map-side combination, and the minima are joined back, so no group is held by a task.
 5. The verdicts go back to the documents, whose removed runs are joined.
 
 Defined results: a null text is empty; rows without an id are listed and keep all their bytes; rows
@@ -36,7 +37,8 @@ from tailfold.session import release, stage
 
 GRAM = 20
 CHUNK_BYTES = 1 << 21       # region bytes that are sorted together
-HOT_BYTES = 1 << 22         # region bytes of one gram beyond which its windows are dealt out
+HOT_BYTES = 1 << 22         # region bytes of one gram beyond which its windows are grouped
+SLICE = 1 << 13             # windows of a region whose equal ones are put together before grouping
 
 
 # --- suffix order -------------------------------------------------------------------------------
@@ -192,6 +194,81 @@ def _regions(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(batches, "gram long, id long, start long, region binary")
 
 
+def _runs_of(owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of equal owners: their owners and lengths."""
+    cut = np.flatnonzero(owners[1:] != owners[:-1]) + 1
+    return owners[np.append(0, cut)], np.diff(np.concatenate([[0], cut, [len(owners)]]))
+
+
+def _windows(regions: DataFrame, length: int) -> DataFrame:
+    """``rid, offset, owner, window, places`` of ``rid, owner, region``: the windows of a region.
+
+    A region is cut into slices of SLICE windows, each beginning at an ``offset``; a window is one
+    row for each slice that holds it, with its ``places`` there.
+    """
+    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()))
+    names = ["rid", "offset", "owner", "window", "places"]
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        held = 0
+
+        def packed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+        for batch in source:
+            for rid, owner, region in zip(*(batch.column(k) for k in range(3))):
+                rid, owner, region = rid.as_py(), owner.as_py(), region.as_py()
+                for offset in range(0, len(region) - length + 1, SLICE):
+                    found: dict[bytes, list[int]] = {}
+                    n = min(SLICE, len(region) - length + 1 - offset)
+                    for i in range(n):
+                        found.setdefault(region[offset + i:offset + i + length], []).append(i)
+                    rows.extend((rid, offset, owner, w, at) for w, at in found.items())
+                    held += n
+                    if held >= 4 * SLICE:
+                        yield packed()
+                        rows, held = [], 0
+        if rows:
+            yield packed()
+
+    return regions.select("rid", "owner", "region").mapInArrow(
+        batches, "rid binary, offset long, owner long, window binary, places array<int>")
+
+
+def _crowded_verdicts(windows: DataFrame) -> DataFrame:
+    """``rid, offset, owners, counts`` of ``_windows``, which is read twice.
+
+    A window that very many regions hold is one row for each map task when minima are found, and
+    the join back streams its rows past one minimum.
+    """
+    least = windows.groupBy("window").agg(F.min("owner").alias("least"))
+    slices = (
+        windows.select("rid", "offset", "window", "places").join(least, "window")
+        .groupBy("rid", "offset").agg(F.collect_list(F.struct("least", "places")).alias("found")))
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            values, counts = [], []
+            for found in batch.column(2):
+                parts = found.values
+                places = parts.field("places")
+                at = places.flatten().to_numpy()
+                own = np.empty(len(at), np.int64)
+                own[at] = np.repeat(parts.field("least").to_numpy(),
+                                    places.value_lengths().to_numpy())
+                value, count = _runs_of(own)
+                values.append(value)
+                counts.append(count)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(values, pa.list_(pa.int64())),
+                 pa.array(counts, pa.list_(pa.int64()))], ["rid", "offset", "owners", "counts"])
+
+    return slices.mapInArrow(
+        batches, "rid binary, offset long, owners array<bigint>, counts array<bigint>")
+
+
 def _verdicts(dealt: DataFrame, length: int) -> DataFrame:
     """``rid, offset, owners, counts`` from ``key, rid, offset, owner, region``.
 
@@ -207,9 +284,9 @@ def _verdicts(dealt: DataFrame, length: int) -> DataFrame:
             held.clear()
             values, counts = [], []
             for own in least:
-                cut = np.flatnonzero(own[1:] != own[:-1]) + 1
-                values.append(own[np.append(0, cut)])
-                counts.append(np.diff(np.concatenate([[0], cut, [len(own)]])))
+                value, count = _runs_of(own)
+                values.append(value)
+                counts.append(count)
             return pa.RecordBatch.from_arrays(
                 [pa.array(rids, pa.binary()), pa.array(offsets, pa.int64()),
                  pa.array(values, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))],
@@ -319,14 +396,10 @@ def removed_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
         .where(F.col("bytes") > HOT_BYTES).select("gram"), "heavy-grams")
     usual = distinct.join(checked(heavy), "gram", "left_anti").select(
         F.col("gram").alias("key"), "rid", F.lit(0).cast("long").alias("offset"), "owner", "region")
-    windows = distinct.join(checked(heavy), "gram").select(
-        "rid", "owner", "region",
-        F.explode(F.sequence(F.lit(0), F.length("region") - length)).alias("offset"))
-    window = F.substring(F.col("region"), F.col("offset") + 1, F.lit(length))
-    crowded = windows.select(
-        F.xxhash64(window).alias("key"), "rid", F.col("offset").cast("long").alias("offset"), "owner",
-        window.alias("region"))
-    verdicts = stage(_verdicts(usual.unionByName(crowded), length), "verdicts")
+    windows = stage(_windows(distinct.join(checked(heavy), "gram"), length), "crowded-windows")
+    verdicts = stage(
+        _verdicts(usual, length).unionByName(_crowded_verdicts(windows)), "verdicts")
+    release(docs.sparkSession, windows)
     release(docs.sparkSession, distinct)
 
     runs = (

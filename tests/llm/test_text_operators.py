@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tailfold.llm import exact_dedup, mixing, ngram_join, pieces, quality, suffix_dedup, words
 from tailfold.llm import settings, sql
@@ -311,3 +312,24 @@ def test_suffix_dedup_of_repeated_ids(spark):
     assert len(got) == len(rows)
     assert got.count((1, n, 0)) == 2 and (2, n, n) in got and (2, n + 1, n) in got
     assert (None, n, 0) in got and (3, n + 4, n) in got and (3, 0, 0) in got
+
+
+def test_suffix_dedup_of_crowded_windows(spark, monkeypatch):
+    """Runs of one character and a common passage: no key holds more than HOT_BYTES for a task."""
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", 4000)
+    dealt, real = [], suffix_dedup._verdicts
+    monkeypatch.setattr(suffix_dedup, "_verdicts", lambda d, n: dealt.append(d) or real(d, n))
+    monkeypatch.setattr(suffix_dedup, "release", lambda *_: None)
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(120))
+    tail = lambda: "".join(rng.choice("ijklmnop ") for _ in range(60))
+    texts = [tail() + passage + tail() for _ in range(150)]
+    texts += [tail() + "x" * 20_000, "x" * 12_000 + tail(), "xyz" * 6000, tail() + "yzx" * 5000]
+    rows = [(i * 7 % 211, t, None, None, None, None) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.removed_repeats(docs).collect()}
+    assert got == brute_repeats(rows, 50)
+    sizes = dealt[0].groupBy("key").agg(F.sum(F.length("region")).alias("bytes"))
+    assert all(r.bytes <= 4000 for r in sizes.collect())
+    run = spark.createDataFrame([(b"r", 1, b"x" * 20_000)], "rid binary, owner long, region binary")
+    assert suffix_dedup._windows(run, 50).count() == -(-(20_000 - 49) // suffix_dedup.SLICE)
