@@ -298,10 +298,12 @@ def encoder(vocabulary: Vocabulary) -> Encoder:
 
 
 def encoded(docs: DataFrame, model: str | None = None, id_col: str = "doc_id",
-            text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+            text_col: str = "text", keep_ids: bool = False,
+            extra: tuple[str, ...] = ()) -> DataFrame:
     """Per document its token count and the digests of ids and decoded text, without a shuffle.
 
-    ``keep_ids`` adds ``ids``, an array of all ids.  The model file is read on the driver only.
+    ``keep_ids`` adds ``ids``, an array of all ids; ``extra`` names columns of ``docs`` that stay.
+    The model file is read on the driver only.
     """
     vocabulary = read_vocabulary(model or default_model())
 
@@ -323,11 +325,15 @@ def encoded(docs: DataFrame, model: str | None = None, id_col: str = "doc_id",
             if keep_ids:
                 columns.append(pa.array(ids, pa.list_(pa.int32())))
                 names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            columns += [batch.column(2 + k) for k in range(len(extra))]
+            yield pa.RecordBatch.from_arrays(columns, [*names, *extra])
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema += ", ids array<int>" * keep_ids
+    schema += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in extra)
     return (
-        docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string"))
-        .mapInArrow(batches, schema + ", ids array<int>" * keep_ids)
+        docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string"),
+                    *[F.col(f"`{c}`") for c in extra])
+        .mapInArrow(batches, schema)
         .withColumnRenamed("id", id_col))
