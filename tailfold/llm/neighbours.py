@@ -6,11 +6,12 @@
   NN-descent: neighbours of neighbours meet at the node between them, as joins and groupings, and
   every node keeps its ``DEGREE`` nearest.  Reverse neighbours beyond ``REVERSE`` are left to the
   other direction, in which the node is theirs.
-* A search starts from a bounded set of entry nodes and moves along the graph, all queries at once,
-  one join a step, keeping a beam of ``BEAM`` nodes until no beam has an unvisited node.
-* Graph and search compare directions rounded to a byte per component; what is found is scored
-  anew: cosines in double precision on the original vectors, added up in the order of the
-  components; ties go to the smaller id.
+* A search starts from the query's own node and from a bounded set of entry nodes and moves along
+  the graph, all queries at once, one join a step, keeping a beam of ``BEAM`` nodes until no beam has
+  an unvisited node.  Links lead both ways and none is cut.
+* Graph and search compare directions in single precision, so near copies keep their order; what is
+  found is scored anew: cosines in double precision on the original vectors, added up in the order
+  of the components; ties go to the smaller id.
 
 Defined results: vectors that are null, zero, or hold a null or a non-finite component, rows without
 an id and vectors of another length than most take no part; an empty table gives no rows; rows that
@@ -26,8 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tailfold.llm.sizes import checked
-from tailfold.session import stage
+from tailfold.session import release, stage
 
 DEGREE = 24       # neighbours of a node in the graph
 REVERSE = 24      # reverse neighbours that take part in a local join
@@ -37,7 +37,7 @@ GAINS = 8         # new neighbours that a node takes from one place of a round
 ROUNDS = 6        # NN-descent rounds; fewer if hardly anything changes
 ENTRIES = 256     # nodes that every search begins with, a bounded set that goes to every task
 BEAM = 256
-STEPS = 15
+LINKS = 64        # links of a row; a node with more has several rows
 _SETTLED = 0.01   # share of changed edges at which the graph is taken as settled
 
 
@@ -46,6 +46,10 @@ def _usable(vector: Column) -> Column:
     return F.coalesce(finite, F.lit(False)) & F.exists(vector, lambda x: x != 0)
 
 
+def _key(vector: Column) -> Column:
+    return F.sha2(F.to_json(F.struct(vector.alias("vector"))), 256)
+
+
 def nodes_of(table: DataFrame, id_col: str, vector_col: str, k: int) -> DataFrame:
     """``node, vector, ids``: distinct vectors and their first ``k + 1`` ids.
 
@@ -57,8 +61,7 @@ def nodes_of(table: DataFrame, id_col: str, vector_col: str, k: int) -> DataFram
     ).where(F.col("id").isNotNull() & _usable(F.col("vector")))
     length = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
     rows = rows.where(F.size("vector") == (length["n"] if length else 0))
-    bits = F.sha2(F.to_json(F.struct("vector")), 256)
-    salted = rows.select("id", "vector", bits.alias("key"), (F.xxhash64("id") % 64).alias("salt"))
+    salted = rows.select("id", "vector", _key(F.col("vector")).alias("key"), (F.xxhash64("id") % 64).alias("salt"))
     few = lambda ids: F.slice(F.array_sort(F.array_distinct(ids)), 1, k + 1)
     parts = salted.groupBy("key", "salt").agg(
         F.first("vector").alias("vector"), few(F.collect_set("id")).alias("ids"))
@@ -73,25 +76,26 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _rounded(vectors: np.ndarray) -> list[bytes]:
-    """Directions as one signed byte per component."""
-    top = np.abs(vectors).max(axis=1, keepdims=True)
-    return [row.tobytes() for row in np.round(vectors / top * 127).astype(np.int8)]
+def _packed(vectors: np.ndarray) -> list[bytes]:
+    """Unit vectors in single precision."""
+    units = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    return [row.tobytes() for row in units.astype(np.float32)]
 
 
 def _directions(column: pa.Array) -> np.ndarray:
-    """Unit vectors from rounded ones."""
-    flat = np.frombuffer(b"".join(column.to_pylist()), np.int8).astype(np.float32)
+    """Unit vectors from packed ones, for sums in double precision."""
+    flat = np.frombuffer(b"".join(column.to_pylist()), np.float32).astype(np.float64)
     flat = flat.reshape(len(column), -1)
     return flat / np.linalg.norm(flat, axis=1, keepdims=True)
 
 
 def _coded(rows: DataFrame, id_col: str) -> DataFrame:
-    """``<id_col>, code``: rounded directions of ``vector``."""
+    """``<id_col>, code``: packed directions of ``vector``."""
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(_rounded(_matrix(batch.column(1))), pa.binary())],
+                [batch.column(0), pa.array(_packed(_matrix(batch.column(1))), pa.binary())],
                 [id_col, "code"])
 
     return rows.select(id_col, "vector").mapInArrow(batches, f"{id_col} long, code binary")
@@ -111,13 +115,13 @@ def _first_graph(codes: DataFrame, seed: int) -> DataFrame:
     Cells are cut at quantiles; a crowded cell is dealt by hash into groups of bounded size.
     """
     first = codes.first()
-    width = len(first["code"]) if first else 1
-    planes = np.random.default_rng(seed).normal(size=(2 * PROJECTIONS, width)).astype(np.float32)
+    width = len(first["code"]) // 4 if first else 1
+    planes = np.random.default_rng(seed).normal(size=(2 * PROJECTIONS, width))
     cells = max(1, round((codes.count() / CELL) ** 0.5))
 
     def projected(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            places = (_directions(batch.column(0)) @ planes.T).astype(np.float64)
+            places = _directions(batch.column(0)) @ planes.T
             yield pa.RecordBatch.from_arrays(
                 [pa.array(places.tolist(), pa.list_(pa.float64()))], ["places"])
 
@@ -130,7 +134,7 @@ def _first_graph(codes: DataFrame, seed: int) -> DataFrame:
 
     def placed(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            places = (_directions(batch.column(1)) @ planes.T).astype(np.float64)
+            places = _directions(batch.column(1)) @ planes.T
             for p in range(PROJECTIONS):
                 x, y = (np.searchsorted(tables[i], places[:, i]) for i in (2 * p, 2 * p + 1))
                 yield pa.RecordBatch.from_arrays(
@@ -162,7 +166,7 @@ def _local_join(rows: DataFrame, gains: int) -> DataFrame:
             own = np.take_along_axis(score, near, 1)
             better = own > worst[:, None]
             return (np.broadcast_to(ids[:, None], own.shape)[better], ids[near][better],
-                    own[better].astype(np.float64))
+                    own[better])
 
         def pack(found: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -210,10 +214,12 @@ def build_graph(codes: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def search(queries: DataFrame, codes: DataFrame, graph: DataFrame) -> DataFrame:
-    """``query, node, score``: the final beams of ``queries`` (``query, vector``).
+    """``query, node, score``: the final beams of ``queries`` (``query, vector, home``).
 
-    Every step expands all unvisited nodes of all beams; a node's links come with their codes, so
-    a step scores where it expands.  A query stops by having no unvisited node.
+    ``home`` is the query's own node.  Every step expands all unvisited nodes of all beams; a node's
+    links come with their codes, so a step scores where it expands and leaves out what is further
+    than a full beam's last.  What has left a beam cannot come back, so every step visits new nodes
+    and the search ends by itself: a query stops by having no unvisited node.
     """
     asked = stage(_coded(queries, "query"), "asked")
     # Links lead both ways, so that a node nobody counts among its nearest is still reached.
@@ -221,9 +227,9 @@ def search(queries: DataFrame, codes: DataFrame, graph: DataFrame) -> DataFrame:
     both = graph.union(graph.select(F.col("other"), F.col("node"), "score")).groupBy(
         "node", "other").agg(F.max("score").alias("score"))
     links = stage(
-        both.withColumn("rank", rank).where(F.col("rank") <= DEGREE + REVERSE)
+        both.withColumn("row", F.floor((rank - 1) / LINKS))
         .join(codes.withColumnRenamed("node", "other"), "other")
-        .groupBy("node").agg(F.collect_list(F.struct("other", "code")).alias("to"))
+        .groupBy("node", "row").agg(F.collect_list(F.struct("other", "code")).alias("to"))
         .select("node", F.col("to.other").alias("others"), F.col("to.code").alias("codes")), "links")
     entries = codes.orderBy(F.xxhash64("node"), "node").limit(ENTRIES).collect()
     entry_ids = np.array([r["node"] for r in entries], np.int64)
@@ -245,33 +251,40 @@ def search(queries: DataFrame, codes: DataFrame, graph: DataFrame) -> DataFrame:
                           entry_ids[near].ravel(), np.take_along_axis(score, near, 1).ravel())
 
     def expanded(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            counts = np.diff(batch.column(2).offsets.to_numpy())
-            if not counts.sum():
-                continue
-            asked_codes = np.repeat(_directions(batch.column(1)), counts, axis=0)
-            score = np.einsum("rd,rd->r", asked_codes, _directions(batch.column(3).flatten()))
-            yield rows_of(np.repeat(batch.column(0).to_numpy(), counts),
-                          batch.column(2).flatten().to_numpy(), score)
+        for whole in source:
+            for first in range(0, whole.num_rows, 512):
+                batch = whole.slice(first, 512)
+                counts = batch.column(3).value_lengths().to_numpy()
+                if not counts.sum():
+                    continue
+                asked_codes = np.repeat(_directions(batch.column(1)), counts, axis=0)
+                score = np.einsum("rd,rd->r", asked_codes, _directions(batch.column(4).flatten()))
+                score = np.round(score, 12)  # the same whenever a pair is scored again
+                near = score >= np.repeat(batch.column(2).to_numpy(), counts)
+                yield rows_of(np.repeat(batch.column(0).to_numpy(), counts)[near],
+                              batch.column(3).flatten().to_numpy()[near], score[near])
 
     if not entries:
         return queries.select("query", F.col("query").alias("node"), F.lit(0.0).alias("score")).limit(0)
-    beam = stage(asked.mapInArrow(started, kinds), "beam")
-    seen = beam.select("query", "node")
+    own = queries.select("query", F.col("home").alias("node"), F.lit(1.0).alias("score"),
+                         F.lit(False).alias("visited"))
+    beam = stage(asked.mapInArrow(started, kinds).union(own).dropDuplicates(["query", "node"]), "beam")
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "node"))
-    for _ in range(STEPS):
+    while True:
+        last = beam.groupBy("query").agg(
+            F.when(F.count(F.lit(1)) >= BEAM, F.min("score")).otherwise(-2.0).alias("last"))
         unvisited = stage(beam.where(~F.col("visited")).select("query", "node")
-                          .join(asked, "query"), "unvisited")
+                          .join(last, "query").join(asked, "query"), "unvisited")
         if unvisited.isEmpty():
             break
-        found = stage(
-            links.join(checked(unvisited), "node").select("query", "code", "others", "codes")
+        found = (
+            links.join(unvisited, "node").select("query", "code", "last", "others", "codes")
             .mapInArrow(expanded, kinds).dropDuplicates(["query", "node"])
-            .join(seen, ["query", "node"], "left_anti"), "found")
-        seen = seen.union(found.select("query", "node"))
-        beam = stage(
+            .join(beam, ["query", "node"], "left_anti"))
+        before, beam = beam, stage(
             beam.withColumn("visited", F.lit(True)).union(found)
             .withColumn("place", place).where(F.col("place") <= BEAM).drop("place"), "beam")
+        release(codes.sparkSession, before, unvisited)
     return beam.select("query", "node", "score")
 
 
@@ -287,7 +300,9 @@ def nearest(table: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
                      F.col(f"`{vector_col}`").cast("array<double>").alias("vector"))
         .where((F.col("query") % every == 0) & _usable(F.col("vector"))
                & (F.size("vector") == (first["n"] if first else 0)))
-        .dropDuplicates(["query"]), "queries")
+        .dropDuplicates(["query"]).withColumn("key", _key(F.col("vector")))
+        .join(nodes.select(F.col("node").alias("home"), _key(F.col("vector")).alias("key")), "key")
+        .drop("key"), "queries")
     beams = search(queries, codes, graph)
 
     # Scores of what was found, exactly; then the members of the nodes, all but the query itself.

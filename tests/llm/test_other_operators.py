@@ -146,6 +146,30 @@ def test_nearest_recall_order_and_exclusions(spark):
     assert [i for _, i, _ in got[1000]] == [0, 1001, 1002, 1003, 1004]
 
 
+def test_nearest_among_many_clusters_and_near_copies(spark):
+    """More clusters than entry nodes, and more near copies of one direction than beam places."""
+    rng = np.random.default_rng(3)
+    made = [c + rng.normal(size=(26, 16)) * 0.02 for c in rng.normal(size=(320, 16))]
+    made.append(rng.normal(size=16) + rng.normal(size=(700, 16)) * 0.0002)
+    made = np.concatenate(made)
+    order = rng.permutation(len(made))
+    rows = [(int(i), [float(x) for x in v]) for i, v in zip(order, made)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(table, k=5, every=25).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    units = np.empty_like(made)
+    units[order] = made / np.linalg.norm(made, axis=1, keepdims=True)
+    copies = {int(i) for i in order[-700:]}
+    hits, of_copies = [], []
+    for q in range(0, len(units), 25):
+        score = units @ units[q]
+        score[q] = -2
+        share = len(got[q] & set(np.argsort(-score)[:5].tolist())) / 5
+        (of_copies if q in copies else hits).append(share)
+    assert len(of_copies) > 15 and np.mean(hits) >= 0.98 and np.mean(of_copies) >= 0.95
+
+
 def test_nearest_of_few_and_of_none(spark):
     kind = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [-1.0, 0.0])], kind)
