@@ -2,12 +2,15 @@
 
 Built-in SQL functions and Spark's own random forest only.
 
-* Candidates are runs of 16 or more letters, digits and ``+/_=-`` that hold a digit.
+* Candidates are runs of 16 or more letters, digits and ``+/_-`` that hold a digit, with the ``=``
+  that pad their end, so that a value after ``=`` begins its own; and what is assigned to a secret
+  word, of any length and with or without digits: up to a quote or space, and unquoted up to ``&,;``
+  or a bracket.
 * Features: length, character transitions and spread, the share of the candidate that dictionary
   words cover, path marks, and the words and signs beside it.
 * The dictionary holds the words that all documents use most (a mergeable heavy-hitter summary of
   fixed size) and words of code and paths.
-* The forest is trained on labelled findings.  ``labelled_findings`` makes a set from rules: keys,
+* The forest is trained on labelled findings, which are cut out of whole texts as candidates are.  ``labelled_findings`` makes a set from rules: keys,
   tokens and passwords against commit hashes, checksums, ids, paths, numbers and placeholders;
   ``scan`` takes any other with the same columns.
 
@@ -22,8 +25,6 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-SIGNS = "A-Za-z0-9+/_=-"
-CANDIDATE = f"(?<![{SIGNS}])(?=[A-Za-z+/_=-]*+[0-9])[{SIGNS}]{{16,}}+"
 CONTEXT_CHARS = 60
 DICTIONARY_WORDS = 2_000
 SKETCH_ITEMS = 65_536
@@ -36,6 +37,19 @@ SECRET_WORDS = ("secret|token|passw|pwd|credential|auth|bearer|private|access.?k
                 "|signature|session")
 PLAIN_WORDS = ("commit|sha-?1|sha-?256|md5|hash|checksum|digest|uuid|guid|version|revision|build|order"
                "|invoice|isbn|phone|card|page|figure|chapter|http|www|file|path|example|sample")
+SIGNS = "A-Za-z0-9+/_-"
+_QUOTES = "\"'`"
+_RUN = (f"(?<![{SIGNS}])(?=[A-Za-z+/_-]*+[0-9])[{SIGNS}]{{16,}}+"
+        f"(?:={{1,2}}(?![={SIGNS}]))?")
+# Cheap conditions first: a sign of assignment just before, then the word that it belongs to.
+_ASSIGN = f"[{_QUOTES}]?\\s{{0,3}}[=:]>?\\s{{0,3}}"
+_WORD = f"(?i:{SECRET_WORDS})[A-Za-z0-9_.-]{{0,30}}{_ASSIGN}"
+_OPEN = f"\\s&,;<>(){{}}\\[\\]{_QUOTES}"
+_QUOTED = (f"(?<=[{_QUOTES}])(?<=[=:]>?\\s{{0,3}}[{_QUOTES}])(?<={_WORD}[{_QUOTES}])"
+           f"[^\\s{_QUOTES}]++(?=[{_QUOTES}])")
+_BARE = (f"(?<=[=:>\\s])(?![=:>\\s])(?<=[=:]>?\\s{{0,3}})(?<={_WORD})"
+         f"(?!(?i:bearer|basic)\\s)[^{_OPEN}]*[^{_OPEN}.:?]")
+CANDIDATE = f"{_QUOTED}|{_BARE}|{_RUN}"
 # Words of code and paths, which texts seldom hold.
 CODE_WORDS = (
     "home user usr local share config settings main test tests java python include source build"
@@ -56,7 +70,8 @@ def _share(text: Column, pattern: str) -> Column:
 def with_features(findings: DataFrame, dictionary: list[str]) -> DataFrame:
     """Adds ``features`` to ``candidate, before, after``."""
     c, before = F.col("candidate"), F.lower("before")
-    near = F.regexp_extract(before, "(\\S*\\s*\\S*)$", 1)
+    near = F.regexp_extract(
+        before, f"([^\\s/?&,;]*\\s*[^\\s/?&,;]*?)(?:{_ASSIGN}[{_QUOTES}]?)?$", 1)
     chars = F.array_distinct(F.split(c, ""))
     share = lambda x: (F.length(c) - F.length(F.replace(c, x, F.lit("")))) / F.length(c)
     words = F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("[a-z]{4,}"), F.lit(0)))
@@ -93,7 +108,8 @@ def with_features(findings: DataFrame, dictionary: list[str]) -> DataFrame:
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, start, candidate, before, after`` of every candidate.
 
-    The pieces between candidates give the places: a running sum over the few rows of a text.
+    The pieces between candidates give the places: a running sum over the few rows of a text.  Beside
+    a candidate are such pieces and, where they are short, its neighbours, as in ``name=value``.
     """
     text, pattern = F.col(f"`{text_col}`"), F.lit(CANDIDATE)
     found = (
@@ -101,10 +117,14 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     F.regexp_extract_all(text, pattern, F.lit(0)).alias("found"), text.alias("text"))
         .where(F.size("found") > 0)
         .withColumn("gaps", F.split("text", CANDIDATE, -1)))
-    rows = found.select("id", "row", "gaps", F.posexplode("found").alias("at", "candidate")).select(
-        "id", "row", "at", "candidate", F.length(F.get("gaps", F.col("at"))).alias("gap"),
-        F.right(F.get("gaps", F.col("at")), F.lit(CONTEXT_CHARS)).alias("before"),
-        F.substring(F.get("gaps", F.col("at") + 1), 1, CONTEXT_CHARS).alias("after"))
+    at = F.col("at")
+    piece = lambda name, i: F.coalesce(F.get(name, i), F.lit(""))
+    rows = found.select("id", "row", "gaps", "found", F.posexplode("found").alias("at", "candidate")).select(
+        "id", "row", "at", "candidate", F.length(F.get("gaps", at)).alias("gap"),
+        F.right(F.concat(piece("gaps", at - 1), piece("found", at - 1), piece("gaps", at)),
+                F.lit(CONTEXT_CHARS)).alias("before"),
+        F.substring(F.concat(piece("gaps", at + 1), piece("found", at + 1), piece("gaps", at + 2)),
+                    1, CONTEXT_CHARS).alias("after"))
     so_far = Window.partitionBy("row").orderBy("at").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return rows.withColumn(
@@ -121,9 +141,9 @@ def dictionary_of(docs: DataFrame, text_col: str = "text") -> list[str]:
 
 
 def labelled_findings(spark: SparkSession) -> DataFrame:
-    """``candidate, before, after, label`` made from rules; LABELLED_ROWS rows."""
+    """``candidate, before, after, label``: the candidates of LABELLED_ROWS texts made from rules."""
     rows = spark.range(LABELLED_ROWS).selectExpr(
-        "id", "id % 16 AS kind", "sha1(concat('s', id)) AS h", "sha2(concat('t', id), 256) AS h2",
+        "id", "sha1(concat('s', id)) AS h", "sha2(concat('t', id), 256) AS h2",
         "regexp_replace(base64(unhex(sha2(concat('u', id), 256))), '=', '') AS b",
         "translate(substr(sha1(concat('w', id)), 1, 9), '0123456789', 'eaiounrstl') AS w",
         "xxhash64(id, 7) AS r")
@@ -132,7 +152,15 @@ def labelled_findings(spark: SparkSession) -> DataFrame:
     sign = "element_at(array(' = \"', '=', ': ', ': \"', ' '), 1 + cast(pmod(shiftright(r, 8), 5) AS int))"
     size = "16 + cast(pmod(shiftright(r, 16), 24) AS int)"
     path = "element_at(array('src/main/', 'usr/local/', 'assets/images/', 'home/user/'), 1 + cast(pmod(r, 4) AS int))"
-    cases = [  # before, candidate, after, label
+    assign = "element_at(array(' = \"', '=', ': ', ': \"', '\":\"'), 1 + cast(pmod(shiftright(r, 8), 5) AS int))"
+    after = "element_at(array('\" ', ' ', ' ', '\" ', '\",'), 1 + cast(pmod(shiftright(r, 8), 5) AS int))"
+    mark = "element_at(array('&', '!', '#', '%', '', '-'), 1 + cast(pmod(shiftright(r, 20), 6) AS int))"
+    mark = f"IF({assign} LIKE '%\"', {mark}, replace({mark}, '&', '$'))"
+    join = "element_at(array('-', '_', '.', '/'), 1 + cast(pmod(shiftright(r, 40), 4) AS int))"
+    of = ", ".join(f"'{w}'" for w in sorted({w for w in CODE_WORDS if len(w) > 3}))
+    word = lambda bit: (
+        f"element_at(array({of}), 1 + cast(pmod(xxhash64(shiftright(r, {bit})), size(array({of}))) AS int))")
+    cases = [  # before, value, after, label
         (f"concat(w, ' ', {secret}, {sign})", "h", "'\" '", 1),
         (f"concat(w, ' ', {secret}, {sign})", f"substr(b, 1, {size})", "'\"'", 1),
         (f"concat(w, ' ', {secret}, {sign})", f"substr(h2, 1, {size})", "'\"'", 1),
@@ -149,11 +177,29 @@ def labelled_findings(spark: SparkSession) -> DataFrame:
         ("concat(w, ' https://example.com/')", "concat('chapter-', r % 100, '-long-book-report-', w)", "' '", 0),
         (f"concat(w, ' ', {secret}, {sign})", "element_at(array('your-api-key-here-123', 'xxxxxxxxxxxxxxxxxxxx1', '0000000000000000', 'changeme-placeholder-1', '1234567890123456'), 1 + cast(pmod(r, 5) AS int))", "'\"'", 0),
         ("concat(w, ' ')", "concat(w, w, r % 10)", "element_at(array(' ', '@mail.example.com', '.'), 1 + cast(pmod(r, 3) AS int))", 0),
+        (f"concat(w, ' ', {secret}, {assign})", f"concat(initcap(substr(w, 1, 4)), abs(r % 90), {mark}, substr(b, 1, 3 + cast(pmod(r, 5) AS int)))", f"{after}", 1),
+        (f"concat(w, ' db_', {secret}, {assign})", "substr(translate(b, '0123456789+/', 'abcdefghijkl'), 1, 8 + cast(pmod(r, 16) AS int))", f"{after}", 1),
+        (f"concat(w, ' ', {secret}, {assign})", f"concat({word(0)}, {word(8)}, {word(16)}, {word(24)})", f"{after}", 1),
+        (f"concat(w, ' ', {secret}, {assign})", f"concat({word(0)}, abs(r % 98), {mark})", f"{after}", 1),
+        (f"concat(w, ' ', {secret}, {assign})", f"concat(substr(w, 1, 6), abs(r % 98), {mark})", f"{after}", 1),
+        (f"concat(w, ' ', {secret}, {assign})", f"{word(0)}", f"{after}", 0),
+        (f"concat(w, ' ', {secret}, {assign})", "substr('1234567890123456789012345678901234567890', 1 + cast(pmod(r, 10) AS int), 8 + cast(pmod(shiftright(r, 24), 16) AS int))", f"{after}", 0),
+        (f"concat(w, ' the ', {secret}, ': ')", f"{word(0)}", f"concat(' ', {word(8)}, ' ', {word(16)})", 0),
+        (f"concat(w, ' ', {secret}, {assign})", f"concat({word(0)}, {join}, {word(8)})", f"{after}", 0),
     ]
-    pick = lambda k: "CASE kind " + " ".join(
+    pick = lambda k: f"CASE id % {len(cases)} " + " ".join(
         f"WHEN {i} THEN {case[k]}" for i, case in enumerate(cases)) + " END"
-    return rows.selectExpr(f"{pick(1)} AS candidate", f"{pick(0)} AS before", f"{pick(2)} AS after",
-                           f"cast({pick(3)} AS double) AS label")
+    texts = rows.selectExpr("id", f"{pick(0)} AS head", f"{pick(1)} AS value", f"{pick(2)} AS tail",
+                            f"cast({pick(3)} AS double) AS label").withColumn(
+        "text", F.concat("head", "value", "tail"))
+    # A candidate is labelled by the value that it overlaps; one order, so that a seed gives one forest.
+    begin = F.length("head")
+    return (
+        candidates(texts, "id").join(texts.select("id", "head", "value", "label"), "id")
+        .where((F.col("start") < begin + F.length("value"))
+               & (F.col("start") + F.length("candidate") > begin))
+        .repartition(1).sortWithinPartitions("id", "start")
+        .select("candidate", "before", "after", "label"))
 
 
 def fit(labelled: DataFrame, dictionary: list[str]) -> RandomForestClassificationModel:

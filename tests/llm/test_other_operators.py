@@ -200,6 +200,30 @@ def test_secrets(spark):
     assert secrets.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_secrets_after_signs_short_ones_and_ones_without_digits(spark):
+    key = hashlib.sha1(b"z").hexdigest()
+    values = {
+        1: ("API_KEY=", key, "\nPORT=80"), 2: ("see https://x.example/?token=", key, "&page=2"),
+        3: ('db_password: "', "Tr0ub4dor&3x", '"'), 4: ('secret = "', "correcthorsebatterystaple", '"'),
+        5: ("export AWS_S3_BUCKET_0123_ACCESS_KEY=", "abcdef0123456789abcdefghij==", " done"),
+        6: ('{"password":"', "hunter2!", '","a":1}'),
+    }
+    texts = {i: "some words. " + "".join(v) for i, v in values.items()}
+    texts[7] = "The password: required by the project, and no token = true here."
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = secrets.scan(docs).collect()
+    for r in found:
+        assert texts[r.doc_id][r.start:r.start + r.n_chars] == r.candidate
+    by_value = {(r.doc_id, r.candidate): r for r in found}
+    for i, (before, value, _) in values.items():
+        row = by_value[i, value]
+        assert row.start == len("some words. " + before) and row.is_secret, (i, row)
+    assert not any(r.is_secret for r in found if r.doc_id == 7)
+    learnt = secrets.labelled_findings(spark)
+    assert learnt.where("before LIKE '%=' AND label = 1").count() > 100
+    assert learnt.where("candidate LIKE '%=%' AND candidate NOT RLIKE '=$'").count() == 0
+
+
 def test_forest_tells_labelled_findings_apart(spark):
     labelled = secrets.labelled_findings(spark)
     fresh = labelled.selectExpr("*", "xxhash64(candidate) % 5 = 0 AS apart")
