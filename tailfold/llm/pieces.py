@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 CACHE_WORDS = 150_000
+CACHE_CHARS = 64  # longer words, as of texts without spaces, are not kept
 _CHAR = -1  # rank of a single character, which needs no merge
 
 
@@ -218,6 +219,8 @@ class Encoder:
         if known is None:
             ids = self._ids(word)
             known = b"".join([i.to_bytes(4, "little") for i in ids]), self._surface(ids)
+        if len(word) > CACHE_CHARS:
+            return known
         if len(self.seen) >= CACHE_WORDS:
             self.older, self.seen = self.seen, {}
         self.seen[word] = known

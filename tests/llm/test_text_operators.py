@@ -333,3 +333,12 @@ def test_suffix_dedup_of_crowded_windows(spark, monkeypatch):
     assert all(r.bytes <= 4000 for r in sizes.collect())
     run = spark.createDataFrame([(b"r", 1, b"x" * 20_000)], "rid binary, owner long, region binary")
     assert suffix_dedup._windows(run, 50).count() == -(-(20_000 - 49) // suffix_dedup.SLICE)
+
+
+def test_long_words_are_not_kept():
+    encoder = pieces.encoder(pieces.read_vocabulary(pieces.default_model()))
+    lines = [f"{i}" + "ab" * 500 for i in range(20)]
+    first = [encoder.round_trip(line) for line in lines]
+    encoder.round_trip("short words")
+    assert first == [encoder.round_trip(line) for line in lines]
+    assert 0 < max(map(len, encoder.seen)) <= pieces.CACHE_CHARS
