@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tailfold.llm import chat, exact_dedup, html_text, mixing, neighbours, ngram_join, pieces, quality, secrets, settings, suffix_dedup
+from tailfold.llm import (
+    chat, exact_dedup, fingerprints, html_text, mixing, neighbours, ngram_join, pieces, quality, secrets,
+    settings, spelling, suffix_dedup, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +70,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the leading components, whitened."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with its near words, its more frequent form and its root."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_quality": op2_quality,
@@ -79,4 +96,7 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_whitening": op11_whitening,
+    "op12_spelling": op12_spelling,
+    "op13_fingerprints": op13_fingerprints,
 }

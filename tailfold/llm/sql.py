@@ -108,4 +108,55 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
-SQL = {"op6_chat_format": _CHAT, "op8_ngram_join": _NGRAMS, "op1_mix_sources": _MIX, "op9_exact_dedup": _EXACT}
+# CRC-32 bit by bit; near words meet by the strings that are left without one code point.
+_SPELLING = r"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' AS head,
+         unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]{7,}')) AS run
+  FROM documents),
+lowered AS (
+  SELECT head, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM runs),
+bits AS (
+  SELECT run, flatten(list_transform(list_transform(string_split(head || run, ''), lambda c: ord(c)),
+           lambda c: CASE WHEN c < 128 THEN [c::UINTEGER]
+                          ELSE [(192 + c // 64)::UINTEGER, (128 + c % 64)::UINTEGER] END)) AS bytes
+  FROM lowered),
+hashed AS (
+  SELECT run, xor(4294967295::BIGINT, list_reduce(
+           flatten(list_transform(bytes, lambda b: list_transform(range(8), lambda i: (b >> i::UINTEGER)::BIGINT & 1))),
+           lambda crc, bit: xor(crc >> 1, 3988292384 * (xor(crc, bit) & 1)),
+           4294967295::BIGINT)) AS h
+  FROM bits),
+words AS (
+  SELECT word, count(*) AS n FROM (
+    SELECT CASE WHEN h % 31 <> 0 THEN run
+                ELSE left(run, h % length(run)) || substr(run, h % length(run) + 2) END AS word
+    FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+cuts AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS cut
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+shorter AS (
+  SELECT DISTINCT cuts.word AS long, words.word AS short FROM cuts JOIN words ON words.word = cuts.cut),
+near AS (
+  SELECT long AS word, short AS other FROM shorter
+  UNION ALL SELECT short, long FROM shorter
+  UNION ALL SELECT a.word, b.word FROM cuts a JOIN cuts b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word),
+counted AS (
+  SELECT near.word, count(*) AS n_near,
+         min({'less': -o.n, 'word': near.other}) AS best
+  FROM near JOIN words o ON o.word = near.other GROUP BY 1),
+known AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -best.less >= 10 * n THEN best.word END AS form,
+         CASE WHEN -best.less >= 10 * n THEN -best.less END AS form_n
+  FROM words LEFT JOIN counted ON counted.word = words.word),
+chain AS (
+  SELECT word, word AS root, 0 AS hops FROM known
+  UNION ALL SELECT chain.word, k.form, hops + 1 FROM chain JOIN known k ON k.word = chain.root WHERE k.form IS NOT NULL)
+SELECT known.word, form, root, n, n_near, form_n
+FROM known JOIN (SELECT word, arg_max(root, hops) AS root FROM chain GROUP BY 1) last ON last.word = known.word
+"""
+
+SQL = {"op6_chat_format": _CHAT, "op8_ngram_join": _NGRAMS, "op1_mix_sources": _MIX, "op9_exact_dedup": _EXACT,
+       "op12_spelling": _SPELLING}
