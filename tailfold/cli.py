@@ -10,6 +10,7 @@ from pathlib import Path
 from tailfold import vocab
 from tailfold.plans import lof_pc, merge, rare_variant, selection
 from tailfold.session import build_session
+from tailfold.sources import regions
 
 
 # ----------------------------------------------------------- value parsers
@@ -62,6 +63,7 @@ FILE = {"required": True, "type": Path}
 INTS, FLOATS = {"required": True, "type": integers}, {"required": True, "type": numbers}
 NAMES = {"required": True, "type": strings}
 TAIL = {"required": True, "choices": vocab.TAILS}
+SPAN = {"type": int, "default": regions.SPAN_BP}
 STATE = {"choices": rare_variant.PROVENANCE_STATES, "default": "unknown"}
 SELECTION = {"type": numbers, "default": list(vocab.SELECTION_THRESHOLDS)}
 
@@ -121,6 +123,19 @@ COMMANDS = {
          "max-distance": {"required": True, "type": int},
          "annotation-chunk-size-bp": {"required": True, "type": int},
          **files("carrier-output", "regions-output", "qc-output")}, {}),
+    "classify-chromosomes": (
+        rare_variant.classify_chromosomes,
+        {**files("vcf", "vat", "vat-schema", "features", "shared-samples"),
+         "chromosomes": NAMES, "exact-ac": INTS, "cumulative-ac-max": INTS,
+         "consequence-classes": {"required": True, "type": consequences},
+         "maximum-gvs-maf": {"required": True, "type": float},
+         "max-distance": {"required": True, "type": int},
+         "annotation-chunk-size-bp": {"required": True, "type": int},
+         **files("output-folder")}, {}),
+    "index-vcf": (
+        regions.index_vcf, {**files("vcf", "output"), "span-bp": SPAN}, {}),
+    "index-vat": (
+        regions.index_vat, {**files("vat", "output"), "span-bp": SPAN}, {}),
     "gather": (
         rare_variant.gather,
         {"carrier-input": MANY, "qc-input": MANY, **files("carrier-output", "qc-output")},

@@ -139,14 +139,22 @@ def minimum_distances(rows: DataFrame) -> DataFrame:
 
 
 def carrier_minima(pairs: DataFrame, sample_names: DataFrame, ac: list[AcClass],
-                   consequences) -> DataFrame:
-    """Minima of all carriers; ``sample_names`` maps position to shared sample ID."""
+                   consequences, by: tuple[str, ...] = ()) -> DataFrame:
+    """Minima of all carriers, by feature columns ``by`` too.
+
+    ``sample_names`` maps position to shared sample ID; carriers without an ID should be left out of
+    the arrays before (``shared_carriers``), because they are dropped last here.
+    """
     strata = explode_strata(pairs.where(F.size("carrier_positions") > 0), ac, consequences)
-    carried = strata.select(
-        "feature_id", "ac_class", "annotation_family", "annotation_class", "distance",
-        F.explode("carrier_positions").alias("position"))
-    per_position = carried.groupBy(
-        "position", "feature_id", "ac_class", "annotation_family", "annotation_class"
-    ).agg(F.min("distance").alias("minimum_distance_bp"))
+    keys = (*by, "feature_id", "ac_class", "annotation_family", "annotation_class")
+    carried = strata.select(*keys, "distance", F.explode("carrier_positions").alias("position"))
+    per_position = carried.groupBy("position", *keys).agg(
+        F.min("distance").alias("minimum_distance_bp"))
     named = per_position.join(sample_names, "position")
-    return named.select(*vocab.MINIMA_COLUMNS)
+    return named.select(*by, *vocab.MINIMA_COLUMNS)
+
+
+def shared_carriers(positions: list[int]):
+    """Carriers of an allele among the given sample positions."""
+    kept = F.array(*[F.lit(p) for p in positions]) if positions else F.array().cast("array<int>")
+    return F.array_intersect("carrier_positions", kept)

@@ -10,6 +10,8 @@ from tailfold.operators.ordered import running
 
 BUCKET_BP = 1 << 20
 SALTS = 8
+# bin widths for long records grow by this many powers of two
+LEVEL_STEP = 4
 # a position index of at most this many rows (some tens of MB) is broadcast
 BROADCAST_ROWS = 500_000
 
@@ -132,3 +134,54 @@ def within_windows(rows: DataFrame, windows: DataFrame, max_distance: int,
         .withColumn("chunk", F.struct(F.col("_start").alias("window"), index.alias("piece")))
         .drop("_bin", "_start", "_end")
     )
+
+
+def records_in_chunks(records: DataFrame, windows: DataFrame, max_distance: int,
+                      chunk_size_bp: int) -> DataFrame:
+    """Every record with every query chunk that it reaches: ``chunk`` and ``starts_here``.
+
+    A record covers ``pos`` to ``end_pos``.  It starts in at most one chunk; a long one also reaches the
+    chunks that begin after ``pos`` and up to ``end_pos``.  Records, however wide, are read once: each
+    looks up the bin of its position among the windows, and, if it is long, the two bins that it can
+    touch among the chunk starts, at a bin width (a power of 16) that follows its own length.  A chunk
+    start lies in one bin of every width, so no pair is met twice, and a record meets the chunk starts
+    of a stretch that its length bounds, whatever the lengths are.
+    """
+    width = 2 * max_distance + 1
+    end = windows.agg(F.max("end")).first()[0] or 0
+    first, last = F.col("pos"), F.least("end_pos", F.lit(end))
+    span = last - first + 1
+    # widths as exponents of two: the narrowest that the record fits into
+    level = (F.ceil(F.log2(span.cast("double")) / LEVEL_STEP) * LEVEL_STEP).cast("int")
+    power = F.expr("shiftleft(1L, _level)")
+    point = F.struct(F.lit(-1).alias("level"), F.floor(first / width).cast("bigint").alias("at"))
+    wide = records.withColumn("_level", level).withColumn("_keys", F.when(
+        span > 1, F.concat(F.array(point), F.transform(
+            F.sequence(F.floor(first / power).cast("bigint"), F.floor(last / power).cast("bigint")),
+            lambda at: F.struct(F.col("_level").alias("level"), at.alias("at"))))
+    ).otherwise(F.array(point)))
+    keyed = wide.withColumn("_bin", F.explode("_keys")).drop("_keys", "_level")
+
+    listed = windows.select(
+        "chrom", F.col("start").alias("_start"), F.col("end").alias("_end"), F.col("start").alias("_window"),
+        F.lit(None).cast("bigint").alias("_piece"),
+        F.explode(_bins(F.col("start"), F.col("end"), width)).alias("at"))
+    chunks = windows.select("chrom", F.col("start").alias("_window"), F.posexplode(
+        F.sequence("start", "end", F.lit(chunk_size_bp).cast("bigint"))).alias("_piece", "_start"))
+    levels = range(LEVEL_STEP, max(end, 1).bit_length() + LEVEL_STEP, LEVEL_STEP)
+    starts = chunks.withColumn("_level", F.explode(F.array(*map(F.lit, levels)))).select(
+        "chrom", "_start", F.lit(None).cast("bigint").alias("_end"), "_window",
+        F.col("_piece").cast("bigint").alias("_piece"), "_level",
+        F.floor(F.col("_start") / power).cast("bigint").alias("at"))
+    index = listed.withColumn("_level", F.lit(-1)).unionByName(starts).select(
+        "chrom", "_start", "_end", "_window", "_piece",
+        F.struct(F.col("_level").alias("level"), "at").alias("_bin"))
+    starts_here = F.col("_bin.level") == -1
+    return (
+        _meet(keyed, index, index.count())
+        .where(F.when(starts_here, first.between(F.col("_start"), F.col("_end")))
+               .otherwise((F.col("_start") > first) & (F.col("_start") <= last)))
+        .withColumn("chunk", F.struct(F.col("_window").alias("window"), F.coalesce(
+            "_piece", F.floor((first - F.col("_start")) / chunk_size_bp).cast("bigint")).alias("piece")))
+        .withColumn("starts_here", starts_here)
+        .drop("_bin", "_start", "_end", "_window", "_piece"))

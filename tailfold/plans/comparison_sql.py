@@ -297,6 +297,18 @@ merged AS (SELECT chrom, min(lo) AS lo, max(hi) AS hi FROM islands GROUP BY chro
 OPEN_WINDOWS = _merged(f"greatest(0, tss - {Q.WINDOW} - 1)", f"tss + {Q.WINDOW}", ">=")
 CLOSED_WINDOWS = _merged(f"greatest(1, tss - {Q.WINDOW})", f"tss + {Q.WINDOW}", ">")
 
+REACH_CHUNKS = _merged(f"greatest(1, tss - {Q.REACH})", f"tss + {Q.REACH}", ">") + f""",
+chunks AS (
+  SELECT chrom, lo AS window_start, (s - lo) // {Q.REACH_CHUNK} AS piece, s,
+    least(hi, s + {Q.REACH_CHUNK} - 1) AS e
+  FROM (SELECT *, unnest(generate_series(lo, hi, {Q.REACH_CHUNK})) AS s FROM merged)),
+spans AS (
+  SELECT o_orderkey, chrom, pos, pos + o_orderkey % {S.LONG_RECORD_BP}
+    + CASE WHEN o_orderkey % 500 = 3 THEN {S.FAR_RECORD_BP} ELSE 0 END AS end_pos FROM variants),
+met AS (
+  SELECT r.o_orderkey, r.chrom, end_pos, window_start, piece, pos >= s AS starts_here
+  FROM spans r JOIN chunks c ON r.chrom = c.chrom AND pos <= e AND end_pos >= s)"""
+
 # ---------------------------------------------------------------- VCF texts
 
 
@@ -331,6 +343,21 @@ alleles AS (
       AS carriers
   FROM alts)"""
 
+# the same alleles once for every chunk that their record reaches
+CHUNK_ALLELES = """chunk_alleles AS (
+  SELECT a.*, m.end_pos, m.starts_here, coalesce(info_ac, CASE WHEN any_called THEN genotype_ac END) AS ac
+  FROM alleles a JOIN met m ON a.o_orderkey = m.o_orderkey)"""
+CALLED = """called AS (
+  SELECT o_orderkey, chrom, pos, ref, status AS alt, coalesce(info_ac, CASE WHEN any_called THEN genotype_ac END) AS ac
+  FROM (SELECT a.*, status FROM alleles a JOIN states USING (o_orderkey))
+  WHERE alt_index = 1 AND (info_ac IS NOT NULL OR any_called)
+    AND o_orderkey IN (SELECT o_orderkey FROM met WHERE starts_here)),
+carried AS (
+  SELECT o_orderkey, unnest(list_filter([1, 2, 4, 5, 6, 7],
+    lambda i: gt[i] IN ('0/1', '1|2', '1/.'))) AS line FROM states)"""
+CALLED_MINIMA = MINIMA.replace("CAST(l_suppkey AS VARCHAR) AS sample_id", "chrom, 'L' || line AS sample_id").replace(
+    "JOIN lineitem ON o_orderkey = l_orderkey", "JOIN carried USING (o_orderkey)")
+
 
 # ------------------------------------------------------------------- texts
 
@@ -353,6 +380,21 @@ judged AS (
     WHEN r < pc_count + 1 THEN 'rank_deficiency'
     WHEN sse < 1e-9 THEN 'invalid_or_zero_residual_sd' END AS reason FROM fits)"""
 
+_COUNTERS = """
+SELECT chrom, count(*) FILTER (first) AS extracted_records, count(*) AS alt_alleles,
+  CAST(sum(7 - fully_missing - partial) FILTER (first) AS BIGINT) AS complete_genotype_calls,
+  CAST(sum(partial) FILTER (first) AS BIGINT) AS partial_genotype_calls,
+  CAST(sum(fully_missing) FILTER (first) AS BIGINT) AS fully_missing_genotype_calls,
+  CAST(sum(fully_missing + partial) FILTER (first) AS BIGINT) AS missing_genotypes,
+  count(info_ac) AS info_ac_alt_alleles,
+  count(*) FILTER (info_ac IS NULL AND any_called) AS genotype_ac_fallback_alt_alleles,
+  count(*) FILTER (info_ac IS NULL AND NOT any_called) AS unavailable_ac_alt_alleles,
+  count(info_ac) FILTER (complete) AS info_genotype_ac_compared_alt_alleles,
+  count(*) FILTER (complete AND info_ac <> genotype_ac) AS info_genotype_ac_mismatch_alt_alleles,
+  count(info_ac) FILTER (NOT complete) AS info_genotype_ac_unchecked_alt_alleles,
+  count(*) FILTER (info_ac IS NOT NULL OR any_called) AS classified_alt_alleles
+FROM (SELECT *, alt_index = 1 AS first FROM {}) GROUP BY 1"""
+
 SQL = {
     "identifier_normalisation": """
 WITH ids AS (
@@ -472,20 +514,7 @@ FROM fobs""",
 SELECT chrom, pos, ref, alt, alt_index, info_ac, genotype_ac,
   coalesce(info_ac, CASE WHEN any_called THEN genotype_ac END) AS ac, complete, any_called, carriers
 FROM alleles""",
-    "vcf_allele_counters": _with(VARIANTS, GENOTYPES) + """
-SELECT chrom, count(*) FILTER (first) AS extracted_records, count(*) AS alt_alleles,
-  CAST(sum(7 - fully_missing - partial) FILTER (first) AS BIGINT) AS complete_genotype_calls,
-  CAST(sum(partial) FILTER (first) AS BIGINT) AS partial_genotype_calls,
-  CAST(sum(fully_missing) FILTER (first) AS BIGINT) AS fully_missing_genotype_calls,
-  CAST(sum(fully_missing + partial) FILTER (first) AS BIGINT) AS missing_genotypes,
-  count(info_ac) AS info_ac_alt_alleles,
-  count(*) FILTER (info_ac IS NULL AND any_called) AS genotype_ac_fallback_alt_alleles,
-  count(*) FILTER (info_ac IS NULL AND NOT any_called) AS unavailable_ac_alt_alleles,
-  count(info_ac) FILTER (complete) AS info_genotype_ac_compared_alt_alleles,
-  count(*) FILTER (complete AND info_ac <> genotype_ac) AS info_genotype_ac_mismatch_alt_alleles,
-  count(info_ac) FILTER (NOT complete) AS info_genotype_ac_unchecked_alt_alleles,
-  count(*) FILTER (info_ac IS NOT NULL OR any_called) AS classified_alt_alleles
-FROM (SELECT *, alt_index = 1 AS first FROM alleles) GROUP BY 1""",
+    "vcf_allele_counters": _with(VARIANTS, GENOTYPES) + _COUNTERS.format("alleles"),
     "ac_class_membership": _with(VARIANTS) + f"""
 SELECT chrom, ac_class, count(*) AS n_alleles
 FROM (SELECT chrom, unnest({_AC_LIST}) AS ac_class FROM variants) WHERE ac_class IS NOT NULL
@@ -533,6 +562,25 @@ FROM (SELECT chrom, hi, unnest(generate_series(lo, hi, {Q.CHUNK})) AS s FROM mer
     "variants_in_query_windows": _with(FEATURES, VARIANTS, CLOSED_WINDOWS) + f"""
 SELECT o_orderkey, v.chrom, pos, lo AS window_start, (pos - lo) // {Q.CHUNK} AS piece
 FROM variants v JOIN merged m ON v.chrom = m.chrom AND pos BETWEEN lo AND hi""",
+    "records_in_query_chunks": _with(FEATURES, VARIANTS, REACH_CHUNKS) + """
+SELECT o_orderkey, chrom, window_start, piece, starts_here FROM met""",
+    "block_gzip_lines": """
+SELECT o_orderpriority, count(*) AS n_lines, sum(length(line))::BIGINT AS n_chars, sum(o_orderkey)::BIGINT AS keys,
+  sum(cents)::BIGINT AS cents, count(DISTINCT o_orderstatus) AS n_states
+FROM (SELECT *, concat_ws(chr(9), o_orderkey, o_orderstatus, o_orderpriority, cents) AS line
+  FROM (SELECT *, CAST(CAST(o_totalprice * 100 AS DECIMAL(18, 0)) AS BIGINT) AS cents FROM orders))
+GROUP BY 1""",
+    "region_allele_counters": _with(FEATURES, VARIANTS, GENOTYPES, REACH_CHUNKS, CHUNK_ALLELES)
+    + _COUNTERS.format("chunk_alleles"),
+    "region_record_starts": _with(FEATURES, VARIANTS, GENOTYPES, REACH_CHUNKS, CHUNK_ALLELES) + """
+SELECT chrom, alt_index, count(*) FILTER (starts_here) AS n_starting,
+  count(*) FILTER (NOT starts_here) AS n_reaching, min(pos) AS first_pos, max(end_pos) AS last_pos,
+  sum(ac)::BIGINT AS ac_total
+FROM chunk_alleles GROUP BY 1, 2""",
+    "genotype_carrier_minima": _with(
+        VARIANTS, TRANSCRIPTS, FREQUENCIES, ANNOTATIONS, FEATURES, GENOTYPES, REACH_CHUNKS, CALLED,
+        RARE_PAIRS.replace("variants v", "called v").replace(f"<= {Q.DISTANCE}", f"<= {Q.REACH}"),
+        CALLED_MINIMA) + "SELECT * FROM minima",
     "variant_feature_range_join": _with(FEATURES, VARIANTS) + f"""
 SELECT v.chrom, pos, tss, feature_id, abs(pos - tss) AS distance
 FROM variants v JOIN features f ON v.chrom = f.chrom AND abs(pos - tss) <= {Q.DISTANCE}""",

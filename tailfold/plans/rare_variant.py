@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import platform
+from dataclasses import dataclass
 from functools import reduce
 from pathlib import Path
 
@@ -17,7 +18,7 @@ from tailfold.operators import vat as T
 from tailfold.operators.samples import overlap_counts
 from tailfold.session import stage
 from tailfold.sources import documents as docs
-from tailfold.sources import tables, text
+from tailfold.sources import regions, tables, text
 from tailfold.sources import vat as vat_source
 from tailfold.sources import vcf as vcf_source
 from tailfold.sources.bed import PhenotypeBed, read_bed
@@ -128,101 +129,150 @@ CHROMOSOME_COUNTERS = (
 )
 
 
-def classify_chromosome(spark: SparkSession, vcf, vat, vat_schema, features, shared_samples,
-                        chromosome, exact_ac, cumulative_ac_max, consequence_classes,
-                        maximum_gvs_maf, max_distance, annotation_chunk_size_bp,
-                        carrier_output, regions_output, qc_output) -> None:
-    """Carrier minimum distances of one chromosome, its query regions and its QC."""
-    source = vcf_source.read_vcf(spark, vcf)
-    if not source.contigs:
+@dataclass(frozen=True)
+class Classified:
+    """Staged ``minima`` and ``chunks`` of several chromosomes, and a QC document for each."""
+
+    minima: DataFrame
+    chunks: DataFrame
+    qc: dict[str, dict]
+
+
+def classify(spark: SparkSession, vcf, vat, vat_schema, features, shared_samples, chromosomes,
+             exact_ac, cumulative_ac_max, consequence_classes, maximum_gvs_maf, max_distance,
+             annotation_chunk_size_bp) -> Classified:
+    """Carrier minimum distances, query chunks and QC of all ``chromosomes`` in one chain of jobs.
+
+    ``vcf`` and ``vat`` are texts, which are read once for all chromosomes, or layouts of
+    ``sources.regions``, of which the stretches near the features are read.
+    """
+    samples, contigs, records, vcf_lines = regions.open_vcf(spark, vcf)
+    if not contigs:
         raise ValueError("VCF header does not declare contigs")
-    if chromosome not in source.contigs:
-        raise ValueError(f"requested chromosome is absent from VCF: {chromosome}")
+    absent = [c for c in chromosomes if c not in contigs]
+    if absent:
+        raise ValueError("requested chromosome is absent from VCF: " + ", ".join(absent))
     config.maximum_maf(maximum_gvs_maf)
     schema = vat_source.VatSchema.from_json(Path(vat_schema).read_text(encoding="utf-8"))
     config.annotation_classes(consequence_classes, schema.loftee_enabled)
     ac = config.ac_classes(exact_ac, cumulative_ac_max)
     config.chunk_size(annotation_chunk_size_bp)
-    on_chrom = F.col("chrom") == chromosome
-    tss = stage(tables.read_features(spark, features).where(on_chrom).drop("ord"), "features")
+    selected = F.col("chrom").isin(*chromosomes)
+    tss = stage(tables.read_features(spark, features).where(selected).drop("ord"), "features")
     shared = tables.read_samples(spark, shared_samples)
 
     windows = stage(ranges.query_windows(tss, max_distance), "windows")
-    chunks = ranges.query_chunks(tss, max_distance, annotation_chunk_size_bp)
-    regions = chunks.select(F.col("chrom").alias("#chrom"), (F.col("start") - 1).alias("start"),
-                            "end")
-    chunk_count = chunks.count()
-    sinks.write_table(regions_output, regions, ["start"], ["#chrom", "start", "end"], chunk_count)
-    qc = dict.fromkeys([*CHROMOSOME_COUNTERS, *vocab.GENOTYPE_COUNTERS], 0)
-    qc |= {"chromosome": chromosome, "observed_raw_gvs_max_af": "none",
-           "annotation_chunk_count": chunk_count, "feature_count": tss.count()}
-    if not qc["feature_count"]:
-        empty = spark.createDataFrame(
-            [], ", ".join(f"{c} string" for c in vocab.MINIMA_COLUMNS))
-        sinks.write_table(carrier_output, empty, ["sample_id"], list(vocab.MINIMA_COLUMNS), 0)
-        sinks.write_json(qc_output, qc)
-        return
-    qc["merged_region_count"] = ranges.tss_windows(tss, max_distance).count()
+    chunks = stage(ranges.query_chunks(tss, max_distance, annotation_chunk_size_bp), "chunks")
+    qc = {c: {**dict.fromkeys([*CHROMOSOME_COUNTERS, *vocab.GENOTYPE_COUNTERS], 0), "chromosome": c,
+              "observed_raw_gvs_max_af": "none"} for c in chromosomes}
+    _count(qc, tss.groupBy("chrom").agg(F.count(F.lit(1)).alias("feature_count")))
     # one region query per chunk on either input, in the terms of the QC document
-    for key in ("vat_tabix_query_count", "vcf_tabix_query_count", "tabix_query_count"):
-        qc[key] = chunk_count
+    _count(qc, chunks.groupBy("chrom").agg(*[F.count(F.lit(1)).alias(k) for k in (
+        "annotation_chunk_count", "vat_tabix_query_count", "vcf_tabix_query_count", "tabix_query_count")]))
+    if not any(document["feature_count"] for document in qc.values()):
+        empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in ("chrom", *vocab.MINIMA_COLUMNS)))
+        return Classified(empty, chunks, qc)
+    _count(qc, ranges.tss_windows(tss, max_distance).groupBy("chrom").agg(
+        F.count(F.lit(1)).alias("merged_region_count")))
 
     annotations, frequencies = _annotations(
-        spark, vat, schema, on_chrom, windows, max_distance, annotation_chunk_size_bp,
+        spark, vat, schema, selected, windows, max_distance, annotation_chunk_size_bp,
         maximum_gvs_maf, consequence_classes, qc)
-    alleles = _alleles(source, on_chrom, windows, max_distance, annotation_chunk_size_bp, qc)
-    known = C.with_frequency(alleles.where("ac IS NOT NULL"), frequencies)
-    joined = known.agg(F.count("status").alias("yes"), F.count_if(F.col("status").isNull())
-                       .alias("no")).first()
-    qc["vat_joined_alt_alleles"], qc["vat_unmatched_alt_alleles"] = joined.yes, joined.no
-    kept = C.rare(known, maximum_gvs_maf).select(*T.ALLELE, "ac", "carrier_positions")
+    alleles = _alleles(records(windows).where(selected), vcf_lines, len(samples), windows,
+                       max_distance, annotation_chunk_size_bp, qc)
+    counted = alleles.where("ac IS NOT NULL")
+    # an annotation row belongs to the chunk of its position; elsewhere the allele has no match
+    _count(qc, counted.where("NOT starts_here").groupBy("chrom").agg(
+        F.count(F.lit(1)).alias("vat_unmatched_alt_alleles")))
+    known = C.with_frequency(counted.where("starts_here"), frequencies)
+    _count(qc, known.groupBy("chrom").agg(
+        F.count("status").alias("vat_joined_alt_alleles"),
+        F.count_if(F.col("status").isNull()).alias("vat_unmatched_alt_alleles")), add=True)
+    names = spark.createDataFrame(list(enumerate(samples)), "position int, sample_id string")
+    positions = names.join(shared.select("sample_id"), "sample_id", "left_semi")
+    kept = C.rare(known, maximum_gvs_maf).select(*T.ALLELE, "ac", "carrier_positions").withColumn(
+        "carrier_positions", C.shared_carriers([r["position"] for r in positions.collect()]))
     pairs = stage(C.feature_pairs(kept, tss, annotations, max_distance), "pairs")
-    _count(qc, C.pair_counters(pairs, max_distance, []))
-    positions = source.sample_positions().join(shared.select("sample_id"), "sample_id", "left_semi")
-    minima = stage(C.carrier_minima(pairs, positions, ac, consequence_classes), "minima")
-    for row in minima.groupBy("annotation_family").count().collect():
-        qc[f"{row.annotation_family}_emitted_keys"] = row["count"]
-        qc["emitted_keys"] += row["count"]
-    sinks.write_table(carrier_output, minima, list(vocab.MINIMA_KEYS),
+    _count(qc, C.pair_counters(pairs, max_distance, ["chrom"]))
+    minima = stage(C.carrier_minima(pairs, positions, ac, consequence_classes, ("chrom",)), "minima")
+    for row in minima.groupBy("chrom", "annotation_family").count().collect():
+        qc[row.chrom][f"{row.annotation_family}_emitted_keys"] = row["count"]
+        qc[row.chrom]["emitted_keys"] += row["count"]
+    return Classified(minima, chunks, qc)
+
+
+def _write_chromosome(done: Classified, chromosome: str, carrier_output, regions_output,
+                      qc_output) -> None:
+    own, qc = F.col("chrom") == chromosome, done.qc[chromosome]
+    bed = done.chunks.where(own).select(
+        F.col("chrom").alias("#chrom"), (F.col("start") - 1).alias("start"), "end")
+    sinks.write_table(regions_output, bed, ["start"], ["#chrom", "start", "end"],
+                      qc["annotation_chunk_count"])
+    sinks.write_table(carrier_output, done.minima.where(own), list(vocab.MINIMA_KEYS),
                       list(vocab.MINIMA_COLUMNS), qc["emitted_keys"])
     sinks.write_json(qc_output, qc)
 
 
-def _count(qc: dict, counters: DataFrame) -> None:
-    """Take the one row of an aggregate without keys into the QC document."""
-    qc.update({k: v for k, v in counters.first().asDict().items() if v is not None})
+def classify_chromosome(spark: SparkSession, *, chromosome, carrier_output, regions_output, qc_output,
+                        **inputs) -> None:
+    """Carrier minimum distances of one chromosome, its query regions and its QC."""
+    done = classify(spark, chromosomes=[chromosome], **inputs)
+    _write_chromosome(done, chromosome, carrier_output, regions_output, qc_output)
 
 
-def _annotations(spark, vat, schema, on_chrom, windows, distance, chunk_bp, maximum_maf,
+def classify_chromosomes(spark: SparkSession, *, chromosomes, output_folder, **inputs) -> None:
+    """The same for several chromosomes at once: ``<chromosome>.carriers.tsv``, ``.regions.bed`` and
+    ``.qc.json`` in one folder."""
+    done = classify(spark, chromosomes=list(dict.fromkeys(chromosomes)), **inputs)
+    Path(output_folder).mkdir(parents=True, exist_ok=True)
+    for chromosome in done.qc:
+        _write_chromosome(done, chromosome, *(
+            Path(output_folder) / f"{chromosome}.{kind}" for kind in ("carriers.tsv", "regions.bed", "qc.json")))
+
+
+def _count(qc: dict[str, dict], counters: DataFrame, add: bool = False) -> None:
+    """Take the rows of an aggregate by ``chrom`` into the QC documents."""
+    for row in counters.collect():
+        document = qc[row["chrom"]]
+        for key, value in row.asDict().items():
+            if key != "chrom" and value is not None:
+                document[key] = document[key] + value if add else value
+
+
+def _annotations(spark, vat, schema, selected, windows, distance, chunk_bp, maximum_maf,
                  consequences, qc):
-    _, rows = vat_source.read_vat(spark, vat, schema)
-    located = ranges.within_windows(rows.where(on_chrom), windows, distance, chunk_bp)
+    rows, lines = regions.open_vat(spark, vat, schema)
+    located = ranges.within_windows(rows(windows).where(selected), windows, distance, chunk_bp)
     # the text is read once: rules, digest and parsed columns are staged together
-    checked = located.withColumns({
-        "problem": vat_source.row_problem(schema), "digest": F.unhex(F.sha2("line", 256))})
-    parsed = stage(T.interpret(checked.drop("line")), "vat-rows")
-    text.fail_on_violation(parsed, F.col("problem"), "VAT", text.read_lines(spark, vat))
-    _count(qc, T.row_counters(parsed, []))
-    _count(qc, T.duplicate_rows(parsed, [], "digest"))
+    parsed = stage(T.interpret(located.withColumn("problem", vat_source.row_problem(schema))), "vat-rows")
+    text.fail_on_violation(parsed, F.col("problem"), "VAT", lines, _place(lines))
+    _count(qc, T.row_counters(parsed, ["chrom"]))
+    _count(qc, T.duplicate_rows(parsed, ["chrom"], "digest"))
     # terms are distinct within a chunk and then summed over chunks
-    qc["unknown_consequence_terms"] = T.unknown_term_counts(parsed, ["chunk"]).count()
+    _count(qc, T.unknown_term_counts(parsed, ["chrom", "chunk"]).groupBy("chrom").agg(
+        F.count(F.lit(1)).alias("unknown_consequence_terms")))
     frequencies = stage(T.allele_frequencies(parsed), "frequencies")
-    _count(qc, T.frequency_counters(frequencies, maximum_maf, []))
+    _count(qc, T.frequency_counters(frequencies, maximum_maf, ["chrom"]))
     annotations = stage(T.gene_annotations(parsed), "annotations")
-    _count(qc, T.pair_counters(annotations, consequences, []))
+    _count(qc, T.pair_counters(annotations, consequences, ["chrom"]))
     return annotations, frequencies
 
 
-def _alleles(source, on_chrom, windows, distance, chunk_bp, qc) -> DataFrame:
-    located = ranges.within_windows(
-        source.records.where(on_chrom), windows, distance, chunk_bp)
-    checked = located.withColumn("problem", vcf_source.record_problem(len(source.samples)))
+def _alleles(records, lines, sample_count, windows, distance, chunk_bp, qc) -> DataFrame:
+    """Alleles of every record in every chunk that it reaches, as separate region queries find them."""
+    located = ranges.records_in_chunks(records, windows, distance, chunk_bp)
+    checked = located.withColumn("problem", vcf_source.record_problem(sample_count))
     alleles = stage(C.alt_alleles(checked.drop("chunk", "n_fields", "pos_text")), "alleles")
-    text.fail_on_violation(alleles, F.col("problem"), "VCF", source.lines)
-    _count(qc, C.allele_counters(alleles, []))
+    text.fail_on_violation(alleles, F.col("problem"), "VCF", lines, _place(lines))
+    _count(qc, C.allele_counters(alleles, ["chrom"]))
     return alleles
 
 
+def _place(lines):
+    """Chromosome and position, for inputs without line numbers."""
+    return F.concat_ws(":", "chrom", "pos") if lines is None else None
+
+
 # ---------------------------------------------------------------- gather
 
 

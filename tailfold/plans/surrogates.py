@@ -203,25 +203,59 @@ def gtf_lines(spark, sf_dir) -> DataFrame:
         F.lit("."), F.lit("+"), F.lit("."), attributes).alias("line"))
 
 
-def vcf_records(spark, sf_dir) -> DataFrame:
-    """Two-ALT records per order; the seven line numbers are the samples."""
+def _vcf_lines(spark, sf_dir, alt: Column, info: Column) -> DataFrame:
+    """``o_orderkey, line`` of two-ALT records per order; the seven line numbers are the samples."""
     lines = table(spark, sf_dir, "lineitem")
     code = (F.col("l_quantity").cast("int") % 6)
     texts = F.element_at(
         F.array(*[F.lit(t) for t in ("0/0:9", "0/1:9", "1|2:9", "./.:9", "1/.:9", "2")]), code + 1)
     per_line = lines.groupBy("l_orderkey").agg(*[
         F.max(F.when(F.col("l_linenumber") == j, texts)).alias(f"s{j}") for j in range(1, 8)])
-    info = (
-        F.when(F.col("o_orderkey") % 4 == 0, "DP=4;AC=1,2").when(F.col("o_orderkey") % 4 == 1, "AC=.")
-        .when(F.col("o_orderkey") % 4 == 2, "AC=3,.;DP=1").otherwise("DP=7"))
     placed = variants(spark, sf_dir).join(
         per_line, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     line = F.concat_ws(
-        "\t", "chrom", text("pos"), text("o_orderkey"), "ref", F.lit("C,G"), F.lit("."),
+        "\t", "chrom", text("pos"), text("o_orderkey"), "ref", alt, F.lit("."),
         F.lit("PASS"), info, F.lit("GT:DP"),
         *[F.coalesce(f"s{j}", F.lit(".")) for j in range(1, 8)])
-    body = placed.select(F.col("o_orderkey").alias("ord"), line.alias("line"))
-    return split_records(body).drop("n_fields", "pos_text")
+    return placed.select("o_orderkey", line.alias("line"))
+
+
+def _info() -> Column:
+    return (
+        F.when(F.col("o_orderkey") % 4 == 0, "DP=4;AC=1,2").when(F.col("o_orderkey") % 4 == 1, "AC=.")
+        .when(F.col("o_orderkey") % 4 == 2, "AC=3,.;DP=1").otherwise("DP=7"))
+
+
+def vcf_records(spark, sf_dir) -> DataFrame:
+    body = _vcf_lines(spark, sf_dir, F.lit("C,G"), _info())
+    return split_records(body.withColumnRenamed("o_orderkey", "ord")).drop("n_fields", "pos_text")
+
+
+LONG_RECORD_BP, FAR_RECORD_BP = 90, 3000
+
+
+def record_end_bp() -> Column:
+    """Records cover up to 90 positions, some far more."""
+    far = F.when(F.col("o_orderkey") % 500 == 3, FAR_RECORD_BP).otherwise(0)
+    return F.col("pos") + F.col("o_orderkey") % LONG_RECORD_BP + far
+
+
+def cohort_vcf(spark, sf_dir) -> DataFrame:
+    """A VCF, header lines included, of long records whose first ALT the annotation rows know."""
+    info = F.concat(_info(), F.lit(";END="), record_end_bp().cast("string"))
+    header = ["##fileformat=VCFv4.2", *(f"##contig=<ID=chr{i}>" for i in range(5)),
+              "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT",
+                         *(f"L{j}" for j in range(1, 8))])]
+    top = spark.createDataFrame(list(enumerate(header)), "o_orderkey long, line string")
+    body = _vcf_lines(spark, sf_dir, F.concat(F.col("alt"), F.lit(",G")), info)
+    return top.withColumn("part", F.lit(0)).unionByName(body.withColumn("part", F.lit(1)))
+
+
+def order_lines(spark, sf_dir) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    return orders.select(F.concat_ws(
+        "\t", text("o_orderkey"), "o_orderstatus", "o_orderpriority",
+        (F.col("o_totalprice") * 100).cast("decimal(18,0)").cast("string")).alias("line"))
 
 
 # --------------------------------------------------------- sweep-like results

@@ -63,7 +63,7 @@ class PhenotypeBed:
 
 def read_bed(spark: SparkSession, path, trim_samples: bool) -> PhenotypeBed:
     lines = text.read_lines(spark, path)
-    header_text = text.header_line(lines, "phenotype BED")
+    header_text = text.first_line(spark, path, "phenotype BED")
     header = header_text.split("\t")
     if len(header) <= LEADING:
         raise ValueError("phenotype BED header needs four leading columns and one sample")

@@ -54,7 +54,7 @@ def pc_header(spark: SparkSession, path) -> tuple[DataFrame, str, list[str]]:
     """Lines, header text and PC names; reads no data row."""
     what = "principal-components TSV"
     lines = text.read_lines(spark, path)
-    header = text.header_line(lines, what, skip_blank=False)
+    header = text.first_line(spark, path, what, skip_blank=False)
     columns = text.split_header(header)
     if len(columns) < 2 or columns[0] != "ID":
         raise ValueError(f"{what} header must begin with ID, PC1")
@@ -71,7 +71,7 @@ def read_pcs(spark: SparkSession, path) -> SampleMatrix:
 def read_covariates(spark: SparkSession, path) -> SampleMatrix:
     what = "additional-covariates TSV"
     lines = text.read_lines(spark, path)
-    header = text.header_line(lines, what, skip_blank=False)
+    header = text.first_line(spark, path, what, skip_blank=False)
     columns = [c.strip() for c in text.split_header(header)]
     if not all(columns) or not columns:
         raise ValueError(f"{what} header contains an empty column")
@@ -89,7 +89,7 @@ def read_lof_carriers(spark: SparkSession, path) -> tuple[DataFrame, int, int]:
     """``(sample_id, gene_id, has_lof, lof_classes)``, input rows, truthy rows."""
     what = "LoF carrier table"
     lines = text.read_lines(spark, path)
-    header = text.header_line(lines, what, skip_blank=False)
+    header = text.first_line(spark, path, what, skip_blank=False)
     columns = text.split_header(header)
     if len(set(columns)) < len(columns):
         raise ValueError(f"{what} header contains duplicate columns")
@@ -125,7 +125,7 @@ def read_lof_carriers(spark: SparkSession, path) -> tuple[DataFrame, int, int]:
 def read_coding_genes(spark: SparkSession, path) -> tuple[DataFrame, int]:
     what = "protein-coding gene TSV"
     lines = text.read_lines(spark, path)
-    header = text.header_line(lines, what, skip_blank=False)
+    header = text.first_line(spark, path, what, skip_blank=False)
     if text.split_header(header) != ["gene_id"]:
         raise ValueError(f"{what} header must be gene_id")
     rows = text.quoted_fields(lines, header, ["gene_id"], what).select(
@@ -145,7 +145,7 @@ def read_features(spark: SparkSession, path, unique: bool = False) -> DataFrame:
     """``(chrom, tss, feature_id)``; ``unique`` also rejects repeated IDs."""
     what = "feature TSV"
     lines = text.read_lines(spark, path)
-    header = text.header_line(lines, what)
+    header = text.first_line(spark, path, what)
     if header.split("\t") != list(vocab.FEATURE_COLUMNS):
         raise ValueError(f"{what} header must be " + ", ".join(vocab.FEATURE_COLUMNS))
     rows = text.raw_fields(lines, header, what)
@@ -178,7 +178,7 @@ def read_minima(spark: SparkSession, path) -> DataFrame:
     """Carrier minimum distances; blank lines are errors here."""
     what = "carrier TSV"
     lines = text.read_lines(spark, path)
-    header = text.header_line(lines, what, skip_blank=False)
+    header = text.first_line(spark, path, what, skip_blank=False)
     if header.split("\t") != list(vocab.MINIMA_COLUMNS):
         raise ValueError(f"{what} header does not match the expected header: {path}")
     body = text.body_lines(lines, header, what).select(
@@ -205,7 +205,7 @@ def read_minima(spark: SparkSession, path) -> DataFrame:
 def read_result_columns(spark: SparkSession, path, what: str = "enrichment results"):
     """Result rows as text columns plus ``ord``; returns (rows, column names)."""
     lines = text.read_lines(spark, path)
-    header = text.header_line(lines, what, skip_blank=False)
+    header = text.first_line(spark, path, what, skip_blank=False)
     columns = text.split_header(header)
     rows = text.quoted_fields(lines, header, columns, what)
     named = rows.select("ord", "malformed", *[text.cell(i).alias(c) for i, c in enumerate(columns)])

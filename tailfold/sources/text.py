@@ -6,32 +6,83 @@ sorts rows in file order.  Line numbers are worked out only for error messages.
 
 from __future__ import annotations
 
+import contextlib
 import csv
 import zlib
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tailfold.functions.values import strip
+from tailfold.sources import blocks
 
-GZIP_MAGIC = (0x1F, 0x8B)
+GZIP_MAGIC = b"\x1f\x8b"
 
 
-def is_gzip(spark: SparkSession, path: str) -> bool:
-    """Whether a file starts with the gzip magic bytes, whatever its name says."""
+# ------------------------------------------------------------------- heads
+
+
+def _first_file(spark: SparkSession, path: str):
+    """Hadoop file system and path of a file, or of the first file of a folder that holds anything."""
     jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(str(path))
+    where = jvm.org.apache.hadoop.fs.Path(path)
     fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(where):
         raise ValueError(f"unable to read {path}")
     if fs.getFileStatus(where).isDirectory():
-        return False
+        files = [f.getPath() for f in fs.listStatus(where)
+                 if f.isFile() and f.getLen() and not f.getPath().getName().startswith(("_", "."))]
+        where = min(files, key=lambda f: f.getName(), default=None)
+    return fs, where
+
+
+def first_bytes(spark: SparkSession, path: str, count: int = len(blocks.HEADER)) -> bytes:
+    """The first bytes of a file as they are stored; the name of the file says nothing."""
+    fs, where = _first_file(spark, path)
+    if where is None:
+        return b""
     stream = fs.open(where)
     try:
-        return (stream.read(), stream.read()) == GZIP_MAGIC
+        values = [stream.read() for _ in range(count)]
     finally:
         stream.close()
+    return bytes(v for v in values if v >= 0)
+
+
+def head_lines(spark: SparkSession, path) -> Iterator[str]:
+    """Lines from the start of a file, plain or gzip, without a Spark job; close it when done.
+
+    A driver-side stream that stops where the caller stops: a header costs what the header holds.
+    """
+    path = str(path)
+    compressed = first_bytes(spark, path, 2) == GZIP_MAGIC
+    fs, where = _first_file(spark, path)
+    if where is None:
+        return
+    io = spark.sparkContext._jvm.java.io
+    stream = io.BufferedInputStream(fs.open(where), 1 << 16)
+    if compressed:
+        stream = spark.sparkContext._jvm.java.util.zip.GZIPInputStream(stream)
+    reader = io.BufferedReader(io.InputStreamReader(stream, "UTF-8"))
+    try:
+        while (line := reader.readLine()) is not None:
+            yield line
+    finally:
+        reader.close()
+
+
+def first_line(spark: SparkSession, path, what: str, skip_blank: bool = True) -> str:
+    """First (non-blank) line of a file; files of a folder share their header."""
+    with contextlib.closing(head_lines(spark, path)) as lines:
+        for line in lines:
+            if line.strip() or not skip_blank:
+                return line
+    raise ValueError(f"{what} is empty")
+
+
+# ------------------------------------------------------------------- lines
 
 
 def _pieces(view: memoryview, size: int):
@@ -89,8 +140,11 @@ def _numbered(path: str, number: int, lines: list[bytes]) -> pa.RecordBatch:
 def read_lines(spark: SparkSession, path) -> DataFrame:
     """``(line, ord)`` of a file or a folder of part files."""
     path = str(path)
-    if is_gzip(spark, path) and not path.endswith(".gz"):
-        # Spark picks codecs by extension only; such files cannot be split anyway.
+    start = first_bytes(spark, path)
+    if blocks.is_block_gzip(start):
+        return blocks.read_block_gzip(spark, path)
+    if start[:2] == GZIP_MAGIC and not path.endswith(".gz"):
+        # Spark picks codecs by extension only; gzip of one large member cannot be split anyway
         raw = spark.read.format("binaryFile").load(path).select("path", "content")
         numbered = raw.mapInArrow(_gunzip_lines, "line string, file_path string, n bigint")
         return numbered.select(
@@ -109,29 +163,24 @@ def nonempty_lines(spark: SparkSession, path) -> DataFrame:
     return lines.where("line <> ''")
 
 
-def header_line(lines: DataFrame, what: str, skip_blank: bool = True) -> str:
-    """First (non-blank) line; files of a folder share their header."""
-    start = lines.where(F.col("ord.block") == 0)
-    if skip_blank:
-        start = start.where(strip(F.col("line")) != "")
-    first = start.first()
-    if first is None:
-        raise ValueError(f"{what} is empty")
-    return first.line
-
-
 def fail_on_violation(rows: DataFrame, problem: Column, what: str,
-                      lines: DataFrame | None = None) -> None:
-    """Raise for the first row (in file order) whose ``problem`` is not NULL."""
-    marked = rows.select("ord", problem.alias("problem")).where("problem IS NOT NULL")
+                      lines: DataFrame | None = None, place: Column | None = None) -> None:
+    """Raise for the first row (in file order) whose ``problem`` is not NULL.
+
+    It is named by its line number, or by ``place`` where the lines are not at hand.
+    """
+    said = problem if place is None else F.concat(problem, F.lit(" at "), place)
+    marked = rows.select("ord", said.alias("problem")).where("problem IS NOT NULL")
     report_first(marked.agg(F.min(F.struct("ord", "problem")).alias("first")).first().first,
-                 what, rows if lines is None else lines)
+                 what, rows if lines is None and place is None else lines)
 
 
 def report_first(first, what: str, lines: DataFrame) -> None:
     """Raise with the line number of a ``(ord, problem)`` row, if there is one."""
     if first is None:
         return
+    if lines is None:
+        raise ValueError(f"{what} has {first.problem}")
     at = F.struct(*[F.lit(v).alias(n) for n, v in first.ord.asDict().items()])
     same_file = F.col("ord.file_path") == first.ord.file_path
     number = lines.where(same_file & (F.col("ord") <= at)).count()

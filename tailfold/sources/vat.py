@@ -90,7 +90,7 @@ def read_vat(spark: SparkSession, path, schema: VatSchema | None = None):
     """
     lines = text.read_lines(spark, path)
     if schema is None:
-        schema = VatSchema(tuple(text.header_line(lines, "VAT TSV").split("\t")))
+        schema = VatSchema(tuple(text.first_line(spark, path, "VAT TSV").split("\t")))
     body = lines.where(
         (F.col("line") != "") & ~F.col("line").startswith("#")
         & (F.col("line") != "\t".join(schema.header)))
@@ -101,6 +101,11 @@ def read_vat(spark: SparkSession, path, schema: VatSchema | None = None):
         "pos", V.to_long(F.col("pos_text")))
 
 
+def digested(rows: DataFrame) -> DataFrame:
+    """The line as a digest, which is all that comparing whole rows needs."""
+    return rows.withColumn("digest", F.unhex(F.sha2("line", 256))).drop("line")
+
+
 def row_problem(schema: VatSchema):
     def blank(name):
         return (F.col(name) == "") | (F.col(name) == ".")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 from dataclasses import dataclass
 
@@ -32,26 +33,28 @@ class Vcf:
 
 
 def read_vcf(spark: SparkSession, path) -> Vcf:
-    """Records keep their sample columns as one array; nothing is parsed yet.
-
-    A bgzip file is multi-member gzip and Spark reads it in one task; ``repartition``
-    after the scan, or plain or pre-split text, spreads the parsing.
-    """
+    """Records keep their sample columns as one array; nothing is parsed yet."""
+    samples, contigs = read_header(spark, path)
     lines = text.read_lines(spark, path)
-    contig_lines = lines.where(F.col("line").startswith("##contig=<") & (F.col("ord.block") == 0))
-    contigs = set()
-    for row in contig_lines.select("line").distinct().collect():
-        found = CONTIG_ID.search(row.line[len("##contig=<"):])
-        if found:
-            contigs.add(found.group(1))
-    header = lines.where(F.col("line").startswith("#CHROM")).first()
-    if header is None:
-        raise ValueError("VCF does not contain a #CHROM header")
-    columns = header.line.split("\t")
-    if len(columns) < FIXED:
-        raise ValueError("VCF header must contain the fixed columns and FORMAT")
     body = lines.where((F.col("line") != "") & ~F.col("line").startswith("#"))
-    return Vcf(columns[FIXED:], contigs, split_records(body), lines)
+    return Vcf(samples, contigs, split_records(body), lines)
+
+
+def read_header(spark: SparkSession, path) -> tuple[list[str], set[str]]:
+    """Samples and contigs, from the lines up to ``#CHROM``."""
+    contigs = set()
+    with contextlib.closing(text.head_lines(spark, path)) as lines:
+        for line in lines:
+            if line.startswith("##contig=<"):
+                found = CONTIG_ID.search(line[len("##contig=<"):])
+                if found:
+                    contigs.add(found.group(1))
+            elif line.startswith("#CHROM"):
+                columns = line.split("\t")
+                if len(columns) < FIXED:
+                    raise ValueError("VCF header must contain the fixed columns and FORMAT")
+                return columns[FIXED:], contigs
+    raise ValueError("VCF does not contain a #CHROM header")
 
 
 def split_records(body: DataFrame) -> DataFrame:
@@ -62,7 +65,16 @@ def split_records(body: DataFrame) -> DataFrame:
     return fields.select(
         "ord", F.size("f").alias("n_fields"), *cells,
         F.slice("f", F.lit(FIXED + 1), F.greatest(F.size("f") - FIXED, F.lit(0))).alias("samples"),
-    ).withColumn("pos", V.to_long(F.col("pos_text")))
+    ).withColumn("pos", V.to_long(F.col("pos_text"))).withColumn(
+        "end_pos", record_end(F.col("pos"), F.col("ref"), F.col("info")))
+
+
+def record_end(pos, ref, info):
+    """Last position that a record covers: INFO/END where it does not lie before ``pos``, else the
+    end of REF."""
+    # fixed value: the END entry of INFO
+    stated = F.regexp_extract(info, r"(?:^|;)END=(\d+)", 1).try_cast("bigint")
+    return F.when(stated >= pos, stated).otherwise(pos + F.greatest(F.char_length(ref), F.lit(1)) - 1)
 
 
 def record_problem(sample_count: int):
