@@ -8,8 +8,8 @@ A task holds the words of one cell in a k-d tree of its own, prunes boxes in the
 the letters in order with what is left.  Each word answers with its number of near words and the best
 of them, so near pairs never become rows.
 
-The cells are placed by a sample of at most ``SAMPLE_WORDS`` words; all words are indexed and asked
-for.  A cell that holds more than ``CELL_WORDS`` words all the same (equal letter counts cannot be
+The cells are placed by a sample of about ``SAMPLE_WORDS`` words, chosen by hash; all words are indexed
+and asked for.  A cell that holds more than ``CELL_WORDS`` words all the same (equal letter counts cannot be
 split) is dealt into parts by hash, and all parts are asked.
 
 Defined results: a null text has no words; a null id counts as empty before the colon; repeated rows
@@ -18,6 +18,7 @@ count as often as they come; extra columns are ignored; an empty table gives no
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ FORM_RATIO = 10
 #: One deletion in so many runs.
 SLIP = 31
 
-SAMPLE_WORDS = 200_000
+SAMPLE_WORDS = 100_000
 CELL_WORDS = 20_000
 LEAF_WORDS = 64
 QUERY_WORDS = 1 << 16
@@ -156,15 +157,19 @@ class KdTree:
 def fit_cells(words: DataFrame) -> dict[int, KdTree]:
     """A tree for every word length in the sample; their leaves are the cells of that length."""
     total = words.count()
-    rows = words.orderBy(F.xxhash64("word"), "word").limit(SAMPLE_WORDS).select("word").collect()
+    share = math.ceil(SAMPLE_WORDS / max(total, 1) * (1 << 30))
+    rows = words.select("word").where(F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < share).collect()
     by_length: dict[int, list[str]] = {}
     for row in rows:
         by_length.setdefault(len(row["word"]), []).append(row["word"])
     leaf_size = CELL_WORDS * len(rows) / max(total, 1)
-    return {
+    trees = {
         length: KdTree(letter_counts(
             np.frombuffer("".join(own).encode("latin-1"), np.uint8), np.full(len(own), length)), leaf_size)
         for length, own in by_length.items()}
+    for tree in trees.values():
+        tree.members = []  # tasks need the cells, not the sample
+    return trees
 
 
 def _batch(batch: pa.RecordBatch, place: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
