@@ -5,9 +5,8 @@ from __future__ import annotations
 import argparse
 import logging
 import math
-from pathlib import Path
 
-from tailfold import vocab
+from tailfold import files, vocab
 from tailfold.plans import lof_pc, merge, rare_variant, selection
 from tailfold.session import build_session
 from tailfold.sources import regions
@@ -55,11 +54,11 @@ def boolean(value: str) -> bool:
 
 def _prepare_vat(spark, vat, chromosomes, schema_output, loftee_enabled_output):
     schema = rare_variant.prepare_vat(spark, vat, chromosomes, schema_output)
-    loftee_enabled_output.write_text(f"{str(schema.loftee_enabled).lower()}\n")
+    files.write_text(loftee_enabled_output, f"{str(schema.loftee_enabled).lower()}\n")
 
 
-MANY = {"action": "append", "required": True, "type": Path}
-FILE = {"required": True, "type": Path}
+MANY = {"action": "append", "required": True}
+FILE = {"required": True}
 INTS, FLOATS = {"required": True, "type": integers}, {"required": True, "type": numbers}
 NAMES = {"required": True, "type": strings}
 TAIL = {"required": True, "choices": vocab.TAILS}
@@ -68,7 +67,7 @@ STATE = {"choices": rare_variant.PROVENANCE_STATES, "default": "unknown"}
 SELECTION = {"type": numbers, "default": list(vocab.SELECTION_THRESHOLDS)}
 
 
-def files(*names: str) -> dict:
+def inputs(*names: str) -> dict:
     return dict.fromkeys(names, FILE)
 
 
@@ -84,69 +83,69 @@ COMMANDS = {
         {"pc_counts_per_job": "per_job"}),
     "lof-pc-enrichment": (
         lof_pc.run,
-        {**files("phenotype-bed", "lof-carriers", "principal-components"),
-         "additional-covariates": {"type": Path}, "protein-coding-genes": FILE,
+        {**inputs("phenotype-bed", "lof-carriers", "principal-components"),
+         "additional-covariates": {}, "protein-coding-genes": FILE,
          "negative-z-thresholds": FLOATS, "pc-counts": INTS,
-         **files("results-output", "summary-output", "gene-pc-qc-output",
+         **inputs("results-output", "summary-output", "gene-pc-qc-output",
                  "analysis-qc-output"),
          "pc-grid-mode": {"choices": ("adaptive", "explicit")}}, {}),
     "merge-lof-pc-enrichment": (
         merge.run,
         {"results-input": MANY, "summary-input": MANY, "gene-pc-qc-input": MANY,
          "analysis-qc-input": MANY,
-         **files("results-output", "summary-output", "gene-pc-qc-output",
+         **inputs("results-output", "summary-output", "gene-pc-qc-output",
                  "analysis-qc-output")},
         {f"{n}_input": f"{n}_inputs" for n in ("results", "summary", "gene_pc_qc", "analysis_qc")}),
     "analyze-lof-pc-enrichment": (
         selection.analyze,
-        {**files("results-input", "selection-output", "plot-output"),
+        {**inputs("results-input", "selection-output", "plot-output"),
          "selection-z-thresholds": SELECTION,
          "plateau-fraction": {"type": float, "default": vocab.PLATEAU_FRACTION}}, {}),
     "pc-sweep-summary": (
         selection.write_sweep,
-        {**files("results-input", "summary-output", "plot-output"),
+        {**inputs("results-input", "summary-output", "plot-output"),
          "selection-z-thresholds": SELECTION}, {}),
     "prepare-phenotypes": (
         rare_variant.prepare_phenotypes,
-        {**files("phenotype-bed", "vcf-samples"), "chromosomes": NAMES, "z-thresholds": FLOATS,
-         "tail": TAIL, **files("feature-output", "sample-output", "qc-output")}, {}),
+        {**inputs("phenotype-bed", "vcf-samples"), "chromosomes": NAMES, "z-thresholds": FLOATS,
+         "tail": TAIL, **inputs("feature-output", "sample-output", "qc-output")}, {}),
     "prepare-vat": (
         _prepare_vat,
-        {"vat": FILE, "chromosomes": NAMES, **files("schema-output", "loftee-enabled-output")},
+        {"vat": FILE, "chromosomes": NAMES, **inputs("schema-output", "loftee-enabled-output")},
         {}),
     "classify-chromosome": (
         rare_variant.classify_chromosome,
-        {**files("vcf", "vat", "vat-schema", "features", "shared-samples"),
+        {**inputs("vcf", "vat", "vat-schema", "features", "shared-samples"),
          "chromosome": {"required": True}, "exact-ac": INTS, "cumulative-ac-max": INTS,
          "consequence-classes": {"required": True, "type": consequences},
          "maximum-gvs-maf": {"required": True, "type": float},
          "max-distance": {"required": True, "type": int},
          "annotation-chunk-size-bp": {"required": True, "type": int},
-         **files("carrier-output", "regions-output", "qc-output")}, {}),
+         **inputs("carrier-output", "regions-output", "qc-output")}, {}),
     "classify-chromosomes": (
         rare_variant.classify_chromosomes,
-        {**files("vcf", "vat", "vat-schema", "features", "shared-samples"),
+        {**inputs("vcf", "vat", "vat-schema", "features", "shared-samples"),
          "chromosomes": NAMES, "exact-ac": INTS, "cumulative-ac-max": INTS,
          "consequence-classes": {"required": True, "type": consequences},
          "maximum-gvs-maf": {"required": True, "type": float},
          "max-distance": {"required": True, "type": int},
          "annotation-chunk-size-bp": {"required": True, "type": int},
-         **files("output-folder")}, {}),
+         **inputs("output-folder")}, {}),
     "index-vcf": (
-        regions.index_vcf, {**files("vcf", "output"), "span-bp": SPAN}, {}),
+        regions.index_vcf, {**inputs("vcf", "output"), "span-bp": SPAN}, {}),
     "index-vat": (
-        regions.index_vat, {**files("vat", "output"), "span-bp": SPAN}, {}),
+        regions.index_vat, {**inputs("vat", "output"), "span-bp": SPAN}, {}),
     "gather": (
         rare_variant.gather,
-        {"carrier-input": MANY, "qc-input": MANY, **files("carrier-output", "qc-output")},
+        {"carrier-input": MANY, "qc-input": MANY, **inputs("carrier-output", "qc-output")},
         {"carrier_input": "carrier_inputs", "qc_input": "qc_inputs"}),
     "calculate": (
         rare_variant.calculate,
-        {**files("phenotype-bed", "shared-samples", "carriers", "features"),
+        {**inputs("phenotype-bed", "shared-samples", "carriers", "features"),
          "exact-ac": INTS, "cumulative-ac-max": INTS, "z-thresholds": FLOATS,
-         "distance-thresholds": INTS, "tail": TAIL, **files("output-tsv", "output-json"),
-         "phenotype-qc": {"type": Path}, "chromosome-qc": {"type": Path},
-         "vat-schema": {"type": Path}, "selected-chromosomes": {"type": strings},
+         "distance-thresholds": INTS, "tail": TAIL, **inputs("output-tsv", "output-json"),
+         "phenotype-qc": {}, "chromosome-qc": {},
+         "vat-schema": {}, "selected-chromosomes": {"type": strings},
          "container-image": {}, "workflow-version": {"default": "unknown"},
          "max-retries": {"type": int, "default": 0}, "index-provenance": STATE,
          "consequence-classes": {"type": consequences, "default": []},

@@ -44,7 +44,7 @@ def prepare_coding_genes(spark: SparkSession, gtf_path, genes_output, qc_output)
         F.count(F.lit(1)).alias("unique"), F.coalesce(F.sum("n"), F.lit(0)).alias("coding")).first()
     if not facts.unique:
         raise ValueError("no protein-coding genes found in GTF")
-    sinks.write_table(genes_output, per_gene, ["gene_id"], ["gene_id"], facts.unique)
+    sinks.write_table(genes_output, per_gene, ["gene_id"], ["gene_id"])
     sinks.write_json(qc_output, {
         "duplicate_normalized_gene_records": facts.coding - facts.unique,
         "nine_field_gene_records": records.count(),
@@ -139,7 +139,7 @@ def run(spark: SparkSession, phenotype_bed, lof_carriers, principal_components,
     results = cells.sweep_statistics(cells.sweep_cells(totals, grid, thresholds))
     written = sinks.write_grid(results_output, results, vocab.PC_RESULT_COLUMNS,
                                ["pc_count", "threshold_order", "definition_order"])
-    _write_gene_qc(gene_pc_qc_output, table, genes, facts.coding_genes * len(grid))
+    _write_gene_qc(gene_pc_qc_output, table, genes)
     sinks.write_json(analysis_qc_output, {
         "bed_feature_count": facts.features,
         "bed_gene_count": facts.genes,
@@ -242,7 +242,7 @@ def _per_pc(totals: DataFrame, grid: list[int]) -> dict:
     return out
 
 
-def _write_gene_qc(path, table: DataFrame, genes: DataFrame, row_count: int) -> None:
+def _write_gene_qc(path, table: DataFrame, genes: DataFrame) -> None:
     excluded = F.col("reason").isNotNull()
     rows = table.join(genes.select("gene_id", "first"), "gene_id").select(
         "gene_id", "pc_count", F.col("usable").alias("usable_sample_count"),
@@ -253,4 +253,4 @@ def _write_gene_qc(path, table: DataFrame, genes: DataFrame, row_count: int) ->
         F.coalesce("reason", F.lit("")).alias("exclusion_reason"), "first",
     )
     sinks.write_table(path, rows, ["pc_count", "first"], list(vocab.GENE_QC_COLUMNS),
-                      row_count, compress=True)
+                      compress=True)

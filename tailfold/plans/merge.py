@@ -48,7 +48,7 @@ def run(spark: SparkSession, results_inputs, summary_inputs, gene_pc_qc_inputs,
         raise ValueError("analysis QC shards have incompatible top-level metadata")
     per_pc = [docs.check_per_pc(a, s["selected_pc_counts"])
               for a, s in zip(analysis, summaries, strict=True)]
-    gene_rows, gene_row_count = _gene_rows(
+    gene_rows = _gene_rows(
         spark, gene_pc_qc_inputs, docs.coding_gene_count(analysis[0]), per_pc)
 
     merged = benjamini_hochberg(rows.drop("fisher_fdr_bh"), p="_p", out="_q", small=True)
@@ -58,7 +58,7 @@ def run(spark: SparkSession, results_inputs, summary_inputs, gene_pc_qc_inputs,
         ["_k", "_threshold", "_definition"])
     sinks.write_table(
         gene_pc_qc_output, gene_rows, ["_shard", "ord"], list(vocab.GENE_QC_COLUMNS),
-        gene_row_count, compress=True)
+        compress=True)
     by_count = {k: v for shard in per_pc for k, v in shard.items()}
     counts.sort()
     sinks.write_json(analysis_qc_output, {
@@ -179,4 +179,4 @@ def _gene_rows(spark, inputs, expected_genes: int, per_pc: list[dict]):
         if row.lo != row.hi:
             raise ValueError(f"gene-PC QC TSV {inputs[row['_shard']]} has incompatible gene "
                              "membership across PC counts")
-    return rows, sum(r.rows for r in found.values())
+    return rows

@@ -5,12 +5,11 @@ from __future__ import annotations
 import platform
 from dataclasses import dataclass
 from functools import reduce
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tailfold import __version__, config, sinks, vocab
+from tailfold import __version__, config, files, sinks, vocab
 from tailfold.functions.values import outlier
 from tailfold.operators import carriers as C
 from tailfold.operators import cells, ranges
@@ -68,7 +67,7 @@ def prepare_phenotypes(spark: SparkSession, phenotype_bed, vcf_samples, chromoso
         raise ValueError("no shared BED and VCF samples")
     shared = bed_side.join(vcf_side.select("sample_id"), "sample_id", "left_semi")
     sinks.write_table(sample_output, shared, ["sample_idx"], ["sample_id"],
-                      overlap.shared_sample_count, header=False)
+                      header=False)
 
     features = _features_of(bed, check_values=True)
     table = _survey(bed, features)
@@ -80,7 +79,7 @@ def prepare_phenotypes(spark: SparkSession, phenotype_bed, vcf_samples, chromoso
     input_count, selected_count = table.count(), sum(per_chrom.values())
     wanted = F.col("chrom").isin(*selected)
     sinks.write_table(feature_output, table.where(wanted), ["ord"],
-                      list(vocab.FEATURE_COLUMNS), selected_count)
+                      list(vocab.FEATURE_COLUMNS))
     melted = bed.long(features.where(wanted).select("fields"), shared)
     facts = cells.observation_totals(melted, thresholds, tail).first()
     sinks.write_json(qc_output, {
@@ -104,7 +103,7 @@ def prepare_vat(spark: SparkSession, vat, chromosomes, schema_output) -> vat_sou
     """Resolve the annotation columns and check that all chromosomes occur."""
     schema, rows = vat_source.read_vat(spark, vat)
     vat_source.require_chromosomes(rows, chromosomes)
-    Path(schema_output).write_text(schema.to_json(), encoding="utf-8")
+    files.write_text(schema_output, schema.to_json())
     return schema
 
 
@@ -153,7 +152,7 @@ def classify(spark: SparkSession, vcf, vat, vat_schema, features, shared_samples
     if absent:
         raise ValueError("requested chromosome is absent from VCF: " + ", ".join(absent))
     config.maximum_maf(maximum_gvs_maf)
-    schema = vat_source.VatSchema.from_json(Path(vat_schema).read_text(encoding="utf-8"))
+    schema = vat_source.VatSchema.from_json(files.read_text(vat_schema))
     config.annotation_classes(consequence_classes, schema.loftee_enabled)
     ac = config.ac_classes(exact_ac, cumulative_ac_max)
     config.chunk_size(annotation_chunk_size_bp)
@@ -206,10 +205,9 @@ def _write_chromosome(done: Classified, chromosome: str, carrier_output, regions
     own, qc = F.col("chrom") == chromosome, done.qc[chromosome]
     bed = done.chunks.where(own).select(
         F.col("chrom").alias("#chrom"), (F.col("start") - 1).alias("start"), "end")
-    sinks.write_table(regions_output, bed, ["start"], ["#chrom", "start", "end"],
-                      qc["annotation_chunk_count"])
+    sinks.write_table(regions_output, bed, ["start"], ["#chrom", "start", "end"])
     sinks.write_table(carrier_output, done.minima.where(own), list(vocab.MINIMA_KEYS),
-                      list(vocab.MINIMA_COLUMNS), qc["emitted_keys"])
+                      list(vocab.MINIMA_COLUMNS))
     sinks.write_json(qc_output, qc)
 
 
@@ -224,10 +222,9 @@ def classify_chromosomes(spark: SparkSession, *, chromosomes, output_folder, **i
     """The same for several chromosomes at once: ``<chromosome>.carriers.tsv``, ``.regions.bed`` and
     ``.qc.json`` in one folder."""
     done = classify(spark, chromosomes=list(dict.fromkeys(chromosomes)), **inputs)
-    Path(output_folder).mkdir(parents=True, exist_ok=True)
     for chromosome in done.qc:
         _write_chromosome(done, chromosome, *(
-            Path(output_folder) / f"{chromosome}.{kind}" for kind in ("carriers.tsv", "regions.bed", "qc.json")))
+            files.join(output_folder, f"{chromosome}.{kind}") for kind in ("carriers.tsv", "regions.bed", "qc.json")))
 
 
 def _count(qc: dict[str, dict], counters: DataFrame, add: bool = False) -> None:
@@ -291,8 +288,8 @@ def gather(spark: SparkSession, carrier_inputs, qc_inputs, carrier_output, qc_ou
     union = reduce(DataFrame.unionByName, [tables.read_minima(spark, p) for p in carrier_inputs])
     minima = stage(C.minimum_distances(union), "minima")
     order = ["feature_id", "sample_id", *vocab.MINIMA_KEYS[2:]]
-    sinks.write_table(carrier_output, minima, order, list(vocab.MINIMA_COLUMNS), minima.count())
-    Path(qc_output).write_text(docs.chromosome_table(records), encoding="utf-8")
+    sinks.write_table(carrier_output, minima, order, list(vocab.MINIMA_COLUMNS))
+    files.write_text(qc_output, docs.chromosome_table(records))
 
 
 # ------------------------------------------------------------- calculate
@@ -327,7 +324,7 @@ def calculate(spark: SparkSession, phenotype_bed, shared_samples, carriers, feat
     config.maximum_maf(maximum_gvs_maf)
     config.chunk_size(annotation_chunk_size_bp)
     manifest = None if vat_schema is None else vat_source.VatSchema.from_json(
-        Path(vat_schema).read_text(encoding="utf-8")).manifest()
+        files.read_text(vat_schema)).manifest()
 
     samples = stage(tables.read_samples(spark, shared_samples), "samples")
     sample_count = samples.count()

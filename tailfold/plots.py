@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import math
 from html import escape
-from pathlib import Path
+
+from tailfold import files
 
 PANEL_SIZE = (960, 340)
 MARGIN = {"left": 70, "right": 30, "above": 48, "below": 46}
@@ -113,9 +114,9 @@ def _legend(entries) -> list[str]:
 def _write(path, label: str, legend: list[str], panels: list[Panel]) -> None:
     height = _offset(len(panels))
     body = "\n".join([*legend, *(p for panel in panels for p in panel.parts)])
-    Path(path).write_text(
-        f'<svg xmlns="http://www.w3.org/2000/svg" viewBox="0 0 {PANEL_SIZE[0]} {height}" role="img"'
-        f' aria-label="{escape(label)}">\n{body}\n</svg>\n', encoding="utf-8")
+    files.write_text(
+        path, f'<svg xmlns="http://www.w3.org/2000/svg" viewBox="0 0 {PANEL_SIZE[0]} {height}" role="img"'
+        f' aria-label="{escape(label)}">\n{body}\n</svg>\n')
 
 
 def write_selection_svg(path, rows, thresholds, medians, selection) -> None:

@@ -1,22 +1,20 @@
-"""Outputs: small documents from the driver, large tables as part files."""
+"""Outputs on any Hadoop file system: small documents, bounded grids, and tables of any size."""
 
 from __future__ import annotations
 
-import gzip
 import json
 import math
-from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SINGLE_FILE_ROWS = 200_000
+from tailfold import files
 
 
 def write_json(path, payload) -> None:
-    Path(path).write_text(json.dumps(payload, indent=2, sort_keys=True) + "\n", encoding="utf-8")
+    files.write_text(path, json.dumps(payload, indent=2, sort_keys=True) + "\n")
 
 
 def cell_text(value) -> str:
@@ -31,7 +29,7 @@ def write_grid(path, rows: DataFrame, columns, order: list[str]) -> list:
     collected = rows.orderBy(*order).collect()
     lines = ["\t".join(columns)]
     lines += ["\t".join(cell_text(row[c]) for c in columns) for row in collected]
-    Path(path).write_text("\n".join(lines) + "\n", encoding="utf-8")
+    files.write_text(path, "\n".join(lines) + "\n")
     return collected
 
 
@@ -41,22 +39,20 @@ def double_text(values: pd.Series) -> pd.Series:
     return values.map(lambda v: cell_text(float(v)))
 
 
-def write_table(path, rows: DataFrame, order: list[str], columns, row_count: int,
-                compress: bool = False, header: bool = True) -> None:
-    """Write a table that grows with the data, sorted, as TSV.
+def write_table(path, rows: DataFrame, order: list[str], columns, compress: bool = False,
+                header: bool = True) -> None:
+    """Write a table that grows with the data: a folder of sorted part files, whatever its size.
 
-    Up to ``SINGLE_FILE_ROWS`` rows become one file.  Beyond that the path becomes a
-    folder of sorted part files with a header each, written by the executors;
-    the readers of this package take either.
+    Executors write the parts; put one after another in the order of their names they are the table,
+    with one header, which sorts before all rows.  The folder takes its place when all of it is written.
     """
-    ordered = rows.orderBy(*order).select(*columns)
-    if row_count <= SINGLE_FILE_ROWS:
-        lines = ["\t".join(columns)] if header else []
-        lines += ["\t".join("" if v is None else str(v) for v in row) for row in ordered.collect()]
-        document = ("\n".join(lines) + "\n").encode()
-        Path(path).write_bytes(gzip.compress(document, mtime=0) if compress else document)
-        return
-    ordered.write.mode("overwrite").csv(
-        str(path), sep="\t", header=header, quote="", emptyValue="", nullValue="",
-        compression="gzip" if compress else "none",
-    )
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    lines = rows.select(F.lit(1).alias("_place"), *[F.col(c).alias(f"_by{i}") for i, c in enumerate(order)],
+                        F.concat_ws("\t", *cells).alias("value"))
+    if header:
+        top = lines.sparkSession.createDataFrame([(0, "\t".join(columns))], "_place int, value string")
+        lines = lines.unionByName(top, allowMissingColumns=True)
+    draft = files.draft_of(path)
+    lines.orderBy("_place", *[f"_by{i}" for i in range(len(order))]).select("value").write.option(
+        "compression", "gzip" if compress else "none").text(draft)
+    files.replace(draft, path)

@@ -127,13 +127,13 @@ def _members(spark: SparkSession, path: str, split: bool) -> DataFrame:
             .sortWithinPartitions("file_path", "block", "id").select("file_path", "block", "data"))
 
 
-def read_block_gzip(spark: SparkSession, path: str, split: bool | None = None) -> DataFrame:
+def read_block_gzip(spark: SparkSession, path: str, split: bool = True) -> DataFrame:
     """``line, ord`` of a block-gzip file or a folder of them; ``ord`` as in ``text.read_lines``.
 
+    Files whose names end in ``.gz`` need ``split`` to be false.
+
     The text is decompressed once, into a staged table, because most readers look at it more than once.
     """
-    if split is None:
-        split = not path.endswith(".gz")
     rows = stage(_members(spark, path, split).mapInArrow(_decompressed, _SCHEMA), "block-gzip-lines")
     whole = rows.where(F.col("kind") == _LINE).select("line", "file_path", "block", "n")
     lines = whole.unionByName(_joined_ends(rows.where(F.col("kind") != _LINE)))

@@ -5,16 +5,15 @@ from __future__ import annotations
 import json
 import math
 import re
-from pathlib import Path
 
-from tailfold import config, vocab
+from tailfold import config, files, vocab
 from tailfold.sources.vat import unique_object
 
 
 def read_object(path, what: str, unique_keys: bool = False) -> dict:
     hook = {"object_pairs_hook": unique_object} if unique_keys else {}
     try:
-        payload = json.loads(Path(path).read_text(encoding="utf-8"), **hook)
+        payload = json.loads(files.read_text(path), **hook)
     except json.JSONDecodeError:
         raise ValueError(f"{what} JSON is invalid: {path}") from None
     if not isinstance(payload, dict):
@@ -81,7 +80,7 @@ def _scalar(cell: str):
 
 def read_chromosome_table(path) -> dict:
     """Rows of the QC TSV and the sum of every numeric column."""
-    header, *lines = Path(path).read_text(encoding="utf-8").splitlines() or [""]
+    header, *lines = files.read_text(path).splitlines() or [""]
     columns = header.split("\t")
     if "chromosome" not in columns:
         raise ValueError("chromosome QC TSV must contain a chromosome column")

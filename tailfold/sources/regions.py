@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tailfold import files
 from tailfold.session import release, stage
 from tailfold.sources import text
 from tailfold.sources import vat as vat_source
@@ -24,9 +25,8 @@ from tailfold.sources import vcf as vcf_source
 SPAN_BP = 10_000_000
 
 
-def is_layout(spark: SparkSession, path) -> bool:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+def is_layout(path) -> bool:
+    return files.exists(f"{path}/manifest")
 
 
 def write_layout(rows: DataFrame, path, header: dict, span_bp: int = SPAN_BP) -> None:
@@ -125,7 +125,7 @@ def index_vat(spark: SparkSession, vat, output, span_bp: int = SPAN_BP) -> None:
 
 def open_vcf(spark: SparkSession, path):
     """``samples, contigs, records near windows, lines``; the lines of a layout are not known."""
-    if not is_layout(spark, path):
+    if not is_layout(path):
         source = vcf_source.read_vcf(spark, path)
         return source.samples, source.contigs, lambda windows: source.records, source.lines
     layout = read_layout(spark, path)
@@ -134,7 +134,7 @@ def open_vcf(spark: SparkSession, path):
 
 def open_vat(spark: SparkSession, path, schema: vat_source.VatSchema):
     """``rows near windows, lines`` of an annotation table or its layout."""
-    if not is_layout(spark, path):
+    if not is_layout(path):
         _, rows = vat_source.read_vat(spark, path, schema)
         return lambda windows: vat_source.digested(rows), text.read_lines(spark, path)
     layout = read_layout(spark, path)

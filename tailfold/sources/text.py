@@ -141,9 +141,11 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
     """``(line, ord)`` of a file or a folder of part files."""
     path = str(path)
     start = first_bytes(spark, path)
+    _, where = _first_file(spark, path)
+    named = where is not None and where.getName().endswith(".gz")
     if blocks.is_block_gzip(start):
-        return blocks.read_block_gzip(spark, path)
-    if start[:2] == GZIP_MAGIC and not path.endswith(".gz"):
+        return blocks.read_block_gzip(spark, path, split=not named)
+    if start[:2] == GZIP_MAGIC and not named:
         # Spark picks codecs by extension only; gzip of one large member cannot be split anyway
         raw = spark.read.format("binaryFile").load(path).select("path", "content")
         numbered = raw.mapInArrow(_gunzip_lines, "line string, file_path string, n bigint")

@@ -10,6 +10,7 @@ import pytest
 from tailfold import cli, vocab
 from tailfold.operators import plateau
 from tailfold.plans import merge, selection
+from tests.outputs import content
 
 DEFINITIONS = list(vocab.CARRIER_DEFINITIONS)
 
@@ -80,7 +81,7 @@ def test_merge_adjusts_over_all_shards(merged):
     assert summary["selected_pc_counts"] == [0, 2] and summary["emitted_result_rows"] == 6
     assert summary["fdr_scope"] == "global_across_all_emitted_rows"
     assert list(json.loads(out["qc"].read_text())["per_pc"]) == ["0", "2"]
-    genes = gzip.decompress(out["genes"].read_bytes()).decode().splitlines()
+    genes = content(out["genes"]).splitlines()
     assert len(genes) == 5 and genes[1] == "G1\t2\t10\t3\t0.0\t1.5\tincluded\t"
 
 
@@ -219,4 +220,4 @@ def test_command_line(spark, tmp_path, results):
     for bad in (["calculate"], ["pc-chunks", "--pc-counts", "1,,2"], ["unknown"]):
         with pytest.raises(SystemExit):
             parser.parse_args(bad)
-    assert len(cli.COMMANDS) == 11
+    assert len(cli.COMMANDS) == 14
