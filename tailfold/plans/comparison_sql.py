@@ -7,6 +7,7 @@ formulas instead of the blocked QR, log-gamma sums instead of the recurrence.
 from __future__ import annotations
 
 from tailfold import vocab
+from tailfold.plans import file_queries as FQ
 from tailfold.plans import queries as Q
 from tailfold.plans import surrogates as S
 
@@ -297,11 +298,11 @@ merged AS (SELECT chrom, min(lo) AS lo, max(hi) AS hi FROM islands GROUP BY chro
 OPEN_WINDOWS = _merged(f"greatest(0, tss - {Q.WINDOW} - 1)", f"tss + {Q.WINDOW}", ">=")
 CLOSED_WINDOWS = _merged(f"greatest(1, tss - {Q.WINDOW})", f"tss + {Q.WINDOW}", ">")
 
-REACH_CHUNKS = _merged(f"greatest(1, tss - {Q.REACH})", f"tss + {Q.REACH}", ">") + f""",
+REACH_CHUNKS = _merged(f"greatest(1, tss - {FQ.REACH})", f"tss + {FQ.REACH}", ">") + f""",
 chunks AS (
-  SELECT chrom, lo AS window_start, (s - lo) // {Q.REACH_CHUNK} AS piece, s,
-    least(hi, s + {Q.REACH_CHUNK} - 1) AS e
-  FROM (SELECT *, unnest(generate_series(lo, hi, {Q.REACH_CHUNK})) AS s FROM merged)),
+  SELECT chrom, lo AS window_start, (s - lo) // {FQ.REACH_CHUNK} AS piece, s,
+    least(hi, s + {FQ.REACH_CHUNK} - 1) AS e
+  FROM (SELECT *, unnest(generate_series(lo, hi, {FQ.REACH_CHUNK})) AS s FROM merged)),
 spans AS (
   SELECT o_orderkey, chrom, pos, pos + o_orderkey % {S.LONG_RECORD_BP}
     + CASE WHEN o_orderkey % 500 = 3 THEN {S.FAR_RECORD_BP} ELSE 0 END AS end_pos FROM variants),
@@ -380,6 +381,12 @@ judged AS (
     WHEN r < pc_count + 1 THEN 'rank_deficiency'
     WHEN sse < 1e-9 THEN 'invalid_or_zero_residual_sd' END AS reason FROM fits)"""
 
+_ROW_COUNTERS = f"""count(*) FILTER (raw_af > 0.5) AS converted_gvs_max_af_values,
+    CAST(sum(len(terms)) AS BIGINT) AS consequence_terms_parsed,
+    CAST(sum(len(terms) - n_unknown) AS BIGINT) AS recognized_consequence_terms,
+    CAST(sum(n_unknown) AS BIGINT) AS unknown_consequence_rows,
+    {', '.join(f"count(*) FILTER (gene_key IS NOT NULL AND loftee_state = '{s}') AS loftee_{s}_values"
+               for s in ('hc', 'lc', 'missing', 'unrecognized'))}"""
 _COUNTERS = """
 SELECT chrom, count(*) FILTER (first) AS extracted_records, count(*) AS alt_alleles,
   CAST(sum(7 - fully_missing - partial) FILTER (first) AS BIGINT) AS complete_genotype_calls,
@@ -534,12 +541,7 @@ GROUP BY 1, 2""",
     "vat_counters": _with(VARIANTS, TRANSCRIPTS, FREQUENCIES, ANNOTATIONS) + f""",
 row_part AS (
   SELECT chrom, count(*) AS vat_rows, max(raw_af) AS observed_raw_gvs_max_af,
-    count(*) FILTER (raw_af > 0.5) AS converted_gvs_max_af_values,
-    CAST(sum(len(terms)) AS BIGINT) AS consequence_terms_parsed,
-    CAST(sum(len(terms) - n_unknown) AS BIGINT) AS recognized_consequence_terms,
-    CAST(sum(n_unknown) AS BIGINT) AS unknown_consequence_rows,
-    {', '.join(f"count(*) FILTER (gene_key IS NOT NULL AND loftee_state = '{s}') AS loftee_{s}_values"
-               for s in ('hc', 'lc', 'missing', 'unrecognized'))},
+    {_ROW_COUNTERS},
     count(*) - count(DISTINCT (pos, ref, alt, gene_id, first_term || separator || second_term,
       gvs_max_af, lof)) AS duplicate_vat_rows
   FROM mafs GROUP BY 1),
@@ -579,7 +581,7 @@ SELECT chrom, alt_index, count(*) FILTER (starts_here) AS n_starting,
 FROM chunk_alleles GROUP BY 1, 2""",
     "genotype_carrier_minima": _with(
         VARIANTS, TRANSCRIPTS, FREQUENCIES, ANNOTATIONS, FEATURES, GENOTYPES, REACH_CHUNKS, CALLED,
-        RARE_PAIRS.replace("variants v", "called v").replace(f"<= {Q.DISTANCE}", f"<= {Q.REACH}"),
+        RARE_PAIRS.replace("variants v", "called v").replace(f"<= {Q.DISTANCE}", f"<= {FQ.REACH}"),
         CALLED_MINIMA) + "SELECT * FROM minima",
     "variant_feature_range_join": _with(FEATURES, VARIANTS) + f"""
 SELECT v.chrom, pos, tss, feature_id, abs(pos - tss) AS distance
@@ -633,3 +635,60 @@ filled AS (
   {_round(*Q.STAT_COLUMNS)} FROM final""".replace(
         "EXCLUDE (", "EXCLUDE (z_threshold, "),
 }
+
+# ---------------------------------------------------------------- from files
+
+_ENSG = "'ENSG' || lpad(regexp_extract(gene_id, '[0-9]+'), 11, '0')"
+SQL |= {
+    "sample_matrix_files": """
+WITH s AS (SELECT *, s_suppkey AS k FROM supplier WHERE s_acctbal > 0)
+SELECT name, count(*) AS n_samples, round(sum(value), 2) AS total, min(value) AS lowest, max(value) AS highest
+FROM (SELECT unnest(['PC1', 'PC2', 'PC3', 'age', 'bal']) AS name,
+  unnest([s_acctbal, s_nationkey, k, s_nationkey, s_acctbal]::DOUBLE[]) AS value FROM s) GROUP BY 1""",
+    "lof_carrier_file": _with(LINES, PAIRS) + f"SELECT * REPLACE ({_ENSG} AS gene_id) FROM pairs",
+    "coding_gene_file": """
+WITH g AS (
+  SELECT 'ENSG' || lpad(CAST(p_partkey // 2 AS VARCHAR), 11, '0') AS gene_id, p_size % 10 <> 0 AS gene,
+    p_type <> 'ECONOMY' AS coding FROM part)
+SELECT count(DISTINCT gene_id) FILTER (gene AND coding) AS n_genes,
+  min(gene_id) FILTER (gene AND coding) AS first_gene, max(gene_id) FILTER (gene AND coding) AS last_gene,
+  count(DISTINCT gene_id) FILTER (gene AND coding) AS listed,
+  count(*) FILTER (gene AND coding) - count(DISTINCT gene_id) FILTER (gene AND coding)
+    AS duplicate_normalized_gene_records,
+  count(*) FILTER (gene) AS nine_field_gene_records,
+  count(*) FILTER (gene AND coding) AS protein_coding_gene_records, count(*) AS total_lines FROM g""",
+    "feature_file": _with(FEATURES) + "SELECT chrom, tss, feature_id FROM features WHERE tss >= 1",
+    "sample_file": "SELECT CAST(s_suppkey AS VARCHAR) AS sample_id FROM supplier",
+    "gathered_minima_files": """
+SELECT CAST(l_suppkey AS VARCHAR) AS sample_id, CAST(l_partkey AS VARCHAR) AS feature_id,
+  'AC=' || l_linenumber AS ac_class, 'baseline' AS annotation_family,
+  'all_rare_variants' AS annotation_class, CAST(min(l_quantity) AS BIGINT) AS minimum_distance_bp
+FROM lineitem GROUP BY ALL""",
+    "selection_from_file": SQL["plateau_pc_count"],
+    "phenotype_bed_file": _with(LINES, OBS) + """
+SELECT CAST(s_suppkey AS VARCHAR) AS sample_id, count(*) AS n_cells, count(value) AS n_values,
+  round(sum(value), 3) AS total
+FROM supplier CROSS JOIN (SELECT DISTINCT gene_id FROM obs) g
+LEFT JOIN obs o ON o.gene_id = g.gene_id AND o.sample_id = CAST(s_suppkey AS VARCHAR) GROUP BY 1""",
+    "lof_pc_files": SQL["lof_pc_enrichment"],
+    "lof_pc_merged_files": SQL["lof_pc_enrichment"],
+    "gene_pc_qc_files": _with(LINES, OBS) + f"""
+SELECT pc_count, CASE WHEN n <= pc_count + 2 THEN 'excluded' ELSE 'included' END AS status,
+  CASE WHEN n = 0 THEN 'other' WHEN n <= pc_count + 2 THEN 'insufficient_dof' ELSE '' END
+    AS exclusion_reason,
+  CASE WHEN n = 0 THEN 'NA' ELSE CAST(least(n, pc_count + 1) AS VARCHAR) END AS rank,
+  count(*) AS n_genes, CAST(sum(n) AS BIGINT) AS usable_samples
+FROM (SELECT gene_id, count(value) AS n, unnest({list(S.PC_COUNTS)}) AS pc_count FROM obs GROUP BY 1)
+GROUP BY ALL""",
+    "calculate_files": SQL["annotation_enrichment"],
+    "vcf_file": _with(VARIANTS) + f"""
+SELECT chrom, count(*) AS n_records, CAST(sum(pos) AS BIGINT) AS positions,
+  CAST(sum(pos + o_orderkey % {S.LONG_RECORD_BP}
+    + CASE WHEN o_orderkey % 500 = 3 THEN {S.FAR_RECORD_BP} ELSE 0 END) AS BIGINT) AS ends,
+  0 AS gt_index, 7 AS n_samples, 5 AS n_contigs FROM variants GROUP BY 1""",
+    "annotation_file_counters": _with(VARIANTS, TRANSCRIPTS, FREQUENCIES, FEATURES, REACH_CHUNKS, """near AS (
+  SELECT m.* FROM mafs m JOIN merged w ON m.chrom = w.chrom AND m.pos BETWEEN w.lo AND w.hi)""") + f"""
+SELECT chrom, count(*) AS vat_rows, max(raw_af) AS observed_raw_gvs_max_af,
+  {_ROW_COUNTERS}, source
+FROM (SELECT *, unnest(['text', 'layout']) AS source FROM near) GROUP BY chrom, source""",
+}

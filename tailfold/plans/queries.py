@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -19,8 +18,9 @@ from tailfold.operators.fdr import benjamini_hochberg
 from tailfold.operators.samples import overlap_counts, shared_samples
 from tailfold.plans import lof_pc, merge, rare_variant
 from tailfold.plans import surrogates as S
-from tailfold.session import stage, staging_root
-from tailfold.sources import blocks, gtf, regions, text
+from tailfold.plans.file_queries import FILE_QUERIES
+from tailfold.session import stage
+from tailfold.sources import gtf
 
 DISTANCE = 100
 WINDOW = 100
@@ -221,7 +221,7 @@ def shard_merge_global_fdr(spark, d):
 
 # Shards by hash, whatever values the split column has.
 SHARDS = 3
-SWEEP_BANDS = (-3.0, -4.0, -5.0, -6.0)
+SWEEP_BANDS = S.SWEEP_BANDS
 
 
 def median_log_odds(spark, d):
@@ -280,9 +280,10 @@ def _parsed(spark, d):
     return T.interpret(S.transcript_rows(spark, d))
 
 
-def _staged(spark, d):
-    """Parsed once for plans that read the rows more than once."""
-    return stage(_parsed(spark, d), "annotation-rows")
+def _staged(spark, d, *columns):
+    """Parsed once, in the columns needed, for plans that read the rows more than once."""
+    rows = _parsed(spark, d)
+    return stage(rows.select(*columns) if columns else rows, "annotation-rows")
 
 
 def consequence_severity(spark, d):
@@ -342,80 +343,6 @@ def variants_in_query_windows(spark, d):
                           F.col("chunk.piece").alias("piece"))
 
 
-# Records of the region queries reach several chunks; the layout's stretches are short.
-REACH, REACH_CHUNK, SPAN = 20, 15, 5000
-
-
-def records_in_query_chunks(spark, d):
-    windows = ranges.query_windows(S.features(spark, d), REACH)
-    records = S.variants(spark, d).withColumn("end_pos", S.record_end_bp())
-    located = ranges.records_in_chunks(records, windows, REACH, REACH_CHUNK)
-    return located.select("o_orderkey", "chrom", F.col("chunk.window").alias("window_start"),
-                          F.col("chunk.piece").alias("piece"), "starts_here")
-
-
-def _folder(spark, name):
-    return f"{staging_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def block_gzip_lines(spark, d):
-    """Orders written as block gzip and read back as lines."""
-    path = _folder(spark, "orders-bgz")
-    blocks.write_block_gzip(S.order_lines(spark, d), path)
-    fields = F.split("line", "\t")
-    return text.read_lines(spark, path).select("line", fields.alias("f")).groupBy(
-        F.get("f", F.lit(2)).alias("o_orderpriority")).agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("line")).alias("n_chars"),
-        F.sum(F.get("f", F.lit(0)).cast("bigint")).alias("keys"),
-        F.sum(F.get("f", F.lit(3)).cast("bigint")).alias("cents"),
-        F.count_distinct(F.get("f", F.lit(1))).alias("n_states"))
-
-
-def _laid_out(spark, d):
-    """Records of a VCF (block gzip, header first) laid out by region."""
-    vcf, layout = _folder(spark, "cohort-vcf"), _folder(spark, "cohort-regions")
-    lines = S.cohort_vcf(spark, d).repartitionByRange("part", "o_orderkey").sortWithinPartitions(
-        "part", "o_orderkey")
-    blocks.write_block_gzip(lines, vcf)
-    regions.index_vcf(spark, vcf, layout, SPAN)
-    return regions.read_layout(spark, layout)
-
-
-def _near_alleles(spark, d):
-    """Alleles of every record in every query chunk that it reaches, all chromosomes at once."""
-    layout = _laid_out(spark, d)
-    windows = ranges.query_windows(S.features(spark, d), REACH)
-    located = ranges.records_in_chunks(layout.near(windows), windows, REACH, REACH_CHUNK)
-    return layout, C.alt_alleles(located.drop("chunk", "n_fields", "pos_text"))
-
-
-def region_allele_counters(spark, d):
-    return C.allele_counters(_near_alleles(spark, d)[1], ["chrom"])
-
-
-def region_record_starts(spark, d):
-    _, alleles = _near_alleles(spark, d)
-    return alleles.groupBy("chrom", "alt_index").agg(
-        F.count_if("starts_here").alias("n_starting"), F.count_if(~F.col("starts_here")).alias("n_reaching"),
-        F.min("pos").alias("first_pos"), F.max("end_pos").alias("last_pos"), F.sum("ac").alias("ac_total"))
-
-
-def genotype_carrier_minima(spark, d):
-    """Minima from the genotype arrays of a VCF; one of the seven samples is not shared."""
-    layout, alleles = _near_alleles(spark, d)
-    parsed = stage(T.interpret(S.transcript_rows(spark, d)).select(
-        *T.ALLELE, "ord", "frequency", "gene_key", "consequence_rank", "loftee_rank"), "annotation-rows")
-    counted = alleles.where("ac IS NOT NULL AND starts_here")
-    known = C.rare(C.with_frequency(counted, T.allele_frequencies(parsed)), MAX_MAF)
-    names = [(i, n) for i, n in enumerate(layout.header["samples"]) if n != "L3"]
-    kept = known.select(*T.ALLELE, "ac", C.shared_carriers([i for i, _ in names]).alias("carrier_positions"))
-    features = S.features(spark, d).select(*vocab.FEATURE_COLUMNS)
-    pairs = C.feature_pairs(kept, features, T.gene_annotations(parsed), REACH)
-    return C.carrier_minima(
-        pairs, spark.createDataFrame(names, "position int, sample_id string"),
-        config.ac_classes(EXACT_AC, CUMULATIVE_AC), S.CONSEQUENCES, ("chrom",))
-
-
 def variant_feature_range_join(spark, d):
     pairs = ranges.range_join(
         S.variants(spark, d), S.features(spark, d).select(*vocab.FEATURE_COLUMNS), DISTANCE)
@@ -423,7 +350,7 @@ def variant_feature_range_join(spark, d):
 
 
 def _rare_pairs(spark, d):
-    parsed = _staged(spark, d)
+    parsed = _staged(spark, d, *T.ALLELE, "ord", "frequency", "gene_key", "consequence_rank", "loftee_rank")
     known = C.with_frequency(S.variants(spark, d), T.allele_frequencies(parsed))
     features = S.features(spark, d).select(*vocab.FEATURE_COLUMNS)
     return C.feature_pairs(
@@ -478,10 +405,9 @@ QUERIES = {
         sweep_percent_of_maximum, outlier_tails, phenotype_totals, vcf_alt_alleles,
         vcf_allele_counters, ac_class_membership, consequence_severity, transcript_collapse,
         minor_allele_frequency, frequency_consistency, unknown_consequence_terms, vat_counters,
-        tss_windows, query_chunks, variants_in_query_windows, records_in_query_chunks,
-        block_gzip_lines, region_allele_counters, region_record_starts, genotype_carrier_minima,
-        variant_feature_range_join,
+        tss_windows, query_chunks, variants_in_query_windows, variant_feature_range_join,
         gene_matched_pairs, carrier_minimum_distance, gather_minimum_distance,
         carrier_key_counts, annotation_enrichment,
     )
 }
+QUERIES |= FILE_QUERIES

@@ -20,6 +20,7 @@ PC_COUNTS = (0, 1, 2)
 Z_LOW = (-1.0, -1.5, -2.0)
 MIN_CELL_ROWS = 12
 BASES_PER_PART, BASES_PER_ORDER = 50, 7
+SWEEP_BANDS = (-3.0, -4.0, -5.0, -6.0)
 CONSEQUENCES = ("stop_gained", "frameshift_variant", "missense_variant", "synonymous_variant")
 
 
@@ -90,6 +91,11 @@ def ensembl(number: Column) -> Column:
     return F.concat(F.lit("ENSG"), F.lpad(number.cast("string"), 11, "0"))
 
 
+def brand_gene(brand: Column) -> Column:
+    """A gene ID by the number of a brand."""
+    return ensembl(F.regexp_extract(brand, r"(\d+)", 1))
+
+
 def features(spark, sf_dir) -> DataFrame:
     part = table(spark, sf_dir, "part")
     version = (F.col("p_size") % 9).cast("string")
