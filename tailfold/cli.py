@@ -88,7 +88,8 @@ COMMANDS = {
          "negative-z-thresholds": FLOATS, "pc-counts": INTS,
          **inputs("results-output", "summary-output", "gene-pc-qc-output",
                  "analysis-qc-output"),
-         "pc-grid-mode": {"choices": ("adaptive", "explicit")}}, {}),
+         "pc-grid-mode": {"choices": ("adaptive", "explicit")},
+         "pc-counts-per-job": {"type": int}, "work-folder": {}}, {}),
     "merge-lof-pc-enrichment": (
         merge.run,
         {"results-input": MANY, "summary-input": MANY, "gene-pc-qc-input": MANY,

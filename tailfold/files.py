@@ -53,6 +53,16 @@ def write_text(path, document: str) -> None:
     replace(draft, path)
 
 
+def stamp(path) -> list[int]:
+    """Bytes and newest change of a file, or of all files of a folder."""
+    fs, where = _at(path)
+    if not fs.exists(where):
+        raise ValueError(f"unable to read {path}")
+    status = fs.getFileStatus(where)
+    found = list(fs.listStatus(where)) if status.isDirectory() else [status]
+    return [sum(f.getLen() for f in found), max((f.getModificationTime() for f in found), default=0)]
+
+
 def draft_of(path) -> str:
     """A new name beside ``path`` that readers of folders pass over."""
     folder, _, name = str(path).rstrip("/").rpartition("/")

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import logging
 import platform
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tailfold import __version__, config, sinks, vocab
+from tailfold import __version__, config, files, sinks, vocab
 from tailfold.functions import values as V
 from tailfold.operators import cells, collapse, residuals
 from tailfold.operators.samples import design_table, shared_samples
+from tailfold.plans.resume import WorkFolder
+from tailfold.progress import reported
 from tailfold.session import stage
 from tailfold.sources import gtf, tables, text
 from tailfold.sources.bed import read_bed
 
 LOG = logging.getLogger(__name__)
+PROGRESS_GENES = 500
 
 # fixed values: sentences of the summary document
 FDR_SCOPE = "global_across_all_emitted_rows"
@@ -92,8 +96,12 @@ def enrichment(observations: DataFrame, design: DataFrame, pairs: DataFrame, fix
 def run(spark: SparkSession, phenotype_bed, lof_carriers, principal_components,
         protein_coding_genes, negative_z_thresholds, pc_counts, results_output,
         summary_output, gene_pc_qc_output, analysis_qc_output, *, pc_grid_mode=None,
-        additional_covariates=None) -> None:
-    """Analyse one cohort from files and write the four output documents."""
+        additional_covariates=None, work_folder=None, pc_counts_per_job=None) -> None:
+    """Analyse one cohort from files and write the four output documents.
+
+    With ``pc_counts_per_job`` the sweep runs in batches of PC counts, and with ``work_folder`` too, a
+    later run of the same analysis goes on after the last finished batch.
+    """
     thresholds = config.negative_thresholds(negative_z_thresholds)
     mode = config.choice(
         "pc_grid_mode", pc_grid_mode or ("explicit" if pc_counts else "adaptive"),
@@ -125,14 +133,29 @@ def run(spark: SparkSession, phenotype_bed, lof_carriers, principal_components,
     genes, facts = _survey_genes(bed, rows, coding)
     coding_rows = rows.join(coding, "gene_id", "left_semi").select("gene_id", "fields")
     melted = bed.long(coding_rows, shared).drop("bad")
-    flagged = stage(
-        collapse.flag_observations(collapse.collapse_genes(melted), pairs), "observations")
-    design = stage(
-        design_table(shared, pcs.table, None if covs is None else covs.table, max(grid)), "design")
-    cached: list[DataFrame] = []
-    table = stage(gene_table(flagged, design, fixed, grid, thresholds, cached), "gene-table")
-    for frame in cached:
-        frame.unpersist()
+    inputs = {
+        "lof_carriers": str(lof_carriers), "phenotype_bed": str(phenotype_bed),
+        "principal_components": str(principal_components),
+        "protein_coding_genes": str(protein_coding_genes),
+    }
+    if additional_covariates is not None:
+        inputs["additional_covariates"] = str(additional_covariates)
+    work = None if work_folder is None else WorkFolder(spark, work_folder, {
+        "inputs": {name: [path, *files.stamp(path)] for name, path in inputs.items()},
+        "pc_counts": grid, "pc_counts_per_job": pc_counts_per_job, "thresholds": thresholds,
+        "version": __version__})
+
+    def kept(name, make):
+        return stage(make(), name) if work is None else work.table(name, make)
+
+    flagged = kept("observations", lambda: collapse.flag_observations(
+        collapse.collapse_genes(melted), pairs))
+    design = kept("design", lambda: design_table(
+        shared, pcs.table, None if covs is None else covs.table, max(grid)))
+    batches = config.pc_chunks(grid, len(pcs.names), pc_counts_per_job or len(grid))
+    parts = [_batch(flagged, design, fixed, batch, thresholds, work, facts.coding_genes)
+             for batch in batches]
+    table = reduce(DataFrame.unionByName, parts) if work is None else work.rows(grid)
 
     totals = stage(cells.sweep_totals(table), "totals")
     per_pc = _per_pc(totals, grid)
@@ -166,13 +189,6 @@ def run(spark: SparkSession, phenotype_bed, lof_carriers, principal_components,
         },
         "per_pc": per_pc,
     })
-    inputs = {
-        "lof_carriers": str(lof_carriers), "phenotype_bed": str(phenotype_bed),
-        "principal_components": str(principal_components),
-        "protein_coding_genes": str(protein_coding_genes),
-    }
-    if additional_covariates is not None:
-        inputs["additional_covariates"] = str(additional_covariates)
     sinks.write_json(summary_output, {
         "available_pc_count": len(pcs.names),
         "carrier_definitions": list(vocab.CARRIER_DEFINITIONS),
@@ -201,6 +217,32 @@ def run(spark: SparkSession, phenotype_bed, lof_carriers, principal_components,
              analysis_qc_output)
 
 
+def _batch(flagged, design, fixed, pc_counts, thresholds, work, n_genes) -> DataFrame | None:
+    """Gene rows of some PC counts, staged, or added to the work folder unless they are there."""
+    spark = flagged.sparkSession
+    if work is not None and not work.missing(pc_counts):
+        LOG.info("PC counts %s were finished before", pc_counts)
+        return None
+    cached: list[DataFrame] = []
+    design = design.withColumn("x", F.slice("x", 1, fixed + pc_counts[-1]))
+    what = f"Genes of PC counts {pc_counts[0]} to {pc_counts[-1]}"
+    with reported(spark, what, n_genes, PROGRESS_GENES):
+        rows = gene_table(flagged, design, fixed, pc_counts, thresholds, cached)
+        if work is None:
+            rows = stage(rows, "gene-table")
+        else:
+            work.add(rows, pc_counts)
+            rows = work.rows(pc_counts)
+    for frame in cached:
+        frame.unpersist()
+    eligible = rows.where("reason IS NULL").groupBy("pc_count").agg(
+        F.count(F.lit(1)).alias("genes"), F.sum("usable").alias("observations"))
+    for row in eligible.orderBy("pc_count").collect():
+        LOG.info("Completed PC count %d: eligible_genes=%d observations=%d", row.pc_count, row.genes,
+                 row.observations)
+    return rows
+
+
 def _survey_genes(bed, rows: DataFrame, coding: DataFrame):
     """Validate every BED row and count features and genes in one pass."""
     problem = F.coalesce(
@@ -237,8 +279,6 @@ def _per_pc(totals: DataFrame, grid: list[int]) -> dict:
             "exclusion_counts": {r: row[r] for r in vocab.EXCLUSION_REASONS},
             "total_observations": row.total_observations,
         }
-        LOG.info("Completed PC count %d: eligible_genes=%d observations=%d", k,
-                 row.eligible_gene_count, row.total_observations)
     return out
 
 
