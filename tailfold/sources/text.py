@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tailfold.functions.values import strip
 from tailfold.sources import blocks
+from tailfold.sources.quoting import joined_records
 
 GZIP_MAGIC = b"\x1f\x8b"
 
@@ -225,8 +226,10 @@ def quoted_fields(lines: DataFrame, header: str, columns: list[str],
     """Rows of a quoted TSV as ``ord``, ``fields`` (array) and ``malformed``.
 
     An array keeps the plan small for matrices with thousands of columns; lines
-    without any quote take the plain split.
+    without any quote take the plain split.  A quoted field may hold line breaks.
     """
+    lines = joined_records(lines)
+
     def unquote(field: Column) -> Column:
         inner = F.regexp_replace(field, r'(?s)^"(.*)"$', "$1")
         return F.when(field.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
