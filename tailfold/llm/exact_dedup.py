@@ -9,7 +9,7 @@ decided by the ordinary path.
 
 Defined results: a null text counts as empty; rows without an id come after all ids, so they stay
 only in groups without any id; of rows repeating id and text one stays; extra columns are kept by
-``deduplicate`` and ignored by ``mark``.
+``deduplicate``, whatever they are called, and ignored by ``mark``.
 """
 
 from __future__ import annotations
@@ -96,9 +96,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     heavy = stage(heavy_winners(digests), "frequent-digests").select("_digest", "_winner")
     first = Window.partitionBy("_digest").orderBy("_row")
     return (
-        docs.withColumn("_digest", digest(F.col(text_col))).withColumn("_row", _ordered(id_col))
+        docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+                    digest(F.col(text_col)).alias("_digest"), _ordered(id_col).alias("_row"))
         .join(F.broadcast(heavy), "_digest", "left")
         .where(F.col("_winner").isNull() | (F.col("_row") == F.col("_winner")))
         .withColumn("_place", F.row_number().over(first))
         .where(F.col("_place") == 1)
-        .select([F.col(f"`{c}`") for c in docs.columns]))
+        .select("_doc.*"))

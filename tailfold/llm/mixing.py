@@ -12,7 +12,9 @@ When a lane has run out, the others share its slots in proportion to their parts
 that slot on; no document is dropped or repeated.
 
 Defined results: sources without a weight, null ones included, share the lane named ``None``; rows
-without an id are ordered after the others of their bucket; extra columns stay.
+without an id are ordered after the others of their bucket; extra columns stay, whatever they are
+called, except that ``schedule`` puts its own ``lane``, ``block``, ``slot`` and ``position`` in place of
+columns of these names; repeated rows have a place each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -102,6 +104,19 @@ def schedule(docs: DataFrame, parts: dict[str, int], rest_parts: int, block_docs
 
     Two passes over id and source (counts), one shuffle of the given columns.
     """
+    own = ("lane", "block", "slot", "position")
+    placed = _placed(docs, parts, rest_parts, block_docs, seed, id_col, source_col)
+    return placed.select(
+        *[F.col("doc")[c].alias(c) for c in docs.columns if c not in own], *own)
+
+
+def _placed(docs: DataFrame, parts: dict[str, int], rest_parts: int, block_docs: int, seed: int,
+            id_col: str, source_col: str) -> DataFrame:
+    """``doc`` (a row as a struct), ``lane``, ``block``, ``slot`` and ``position``."""
+    docs = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"))
+    id_col, source_col = "id", "source"
     names = list(parts)
     lane_parts = [*parts.values(), rest_parts]
     if min(lane_parts) < 1 or block_docs < 1:
@@ -149,16 +164,15 @@ def schedule(docs: DataFrame, parts: dict[str, int], rest_parts: int, block_docs
         .withColumn("slot", F.col("_start") + F.floor(j / own) * F.col("_period")
                     + F.element_at("_offsets", (j % own + 1).cast("int")))
         .withColumn("position", F.col("slot") * block_docs + F.col("_rank") % block_docs - lost)
-        .select([F.col(f"`{c}`") for c in docs.columns] + [
-            F.element_at(F.array(*[F.lit(n).cast("string") for n in [*names, None]]),
-                         F.col("_lane") + 1).alias("lane"),
-            "block", "slot", F.col("position").cast("long").alias("position")]))
+        .select("doc", F.element_at(F.array(*[F.lit(n).cast("string") for n in [*names, None]]),
+                                    F.col("_lane") + 1).alias("lane"),
+                "block", "slot", F.col("position").cast("long").alias("position")))
 
 
 def mixed(docs: DataFrame, parts: dict[str, int], rest_parts: int, block_docs: int,
-          seed: int = 0, **columns) -> DataFrame:
+          seed: int = 0, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
     """``docs``, all rows and columns, in the order of the mixture (also across part files)."""
     return (
-        schedule(docs, parts, rest_parts, block_docs, seed, **columns)
+        _placed(docs, parts, rest_parts, block_docs, seed, id_col, source_col)
         .repartitionByRange("position").sortWithinPartitions("position")
-        .select([F.col(f"`{c}`") for c in docs.columns]))
+        .select("doc.*"))

@@ -306,14 +306,19 @@ def nearest(table: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     beams = search(queries, codes, graph)
 
     # Scores of what was found, exactly; then the members of the nodes, all but the query itself.
+    # Dividing by a power of two changes no digit and keeps squares from running over or under.
+    def scaled(v: Column) -> Column:
+        most = F.array_max(F.transform(v, F.abs))
+        return F.transform(v, lambda x: x / F.pow(F.lit(2.0), F.floor(F.log2(most))))
+
     dot = lambda a, b: F.aggregate(
         F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     a, b = F.col("vector"), F.col("node_vector")
     exact = dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
     members = (
         beams.select("query", "node")
-        .join(nodes.select("node", F.col("vector").alias("node_vector"), "ids"), "node")
-        .join(queries, "query")
+        .join(nodes.select("node", scaled(F.col("vector")).alias("node_vector"), "ids"), "node")
+        .join(queries.withColumn("vector", scaled(F.col("vector"))), "query")
         .select("query", exact.alias("score"), F.explode("ids").alias("vec_id"))
         .where(F.col("vec_id") != F.col("query")))
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))

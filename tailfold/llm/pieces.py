@@ -324,19 +324,17 @@ def encoded(docs: DataFrame, model: str | None = None, id_col: str = "doc_id",
                                 for i in range(0, len(data), 4)])
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()),
                        pa.array(text_sha, pa.string())]
-            names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
                 columns.append(pa.array(ids, pa.list_(pa.int32())))
-                names.append("ids")
             columns += [batch.column(2 + k) for k in range(len(extra))]
-            yield pa.RecordBatch.from_arrays(columns, [*names, *extra])
+            yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    schema += ", ids array<int>" * keep_ids
-    schema += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in extra)
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids, *extra]
+    kinds = [docs.schema[id_col].dataType.simpleString(), "long", "string", "string",
+             *["array<int>"] * keep_ids, *[docs.schema[c].dataType.simpleString() for c in extra]]
+    # numbered inside, so that no name of a column can clash
     return (
-        docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string"),
-                    *[F.col(f"`{c}`") for c in extra])
-        .mapInArrow(batches, schema)
-        .withColumnRenamed("id", id_col))
+        docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+                    *[F.col(f"`{c}`").alias(f"extra{i}") for i, c in enumerate(extra)])
+        .mapInArrow(batches, ", ".join(f"c{i} {kind}" for i, kind in enumerate(kinds)))
+        .toDF(*names))

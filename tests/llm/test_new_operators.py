@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
-from tailfold.llm import fingerprints, spelling, whitening
+from tailfold.llm import exact_dedup, fingerprints, mixing, neighbours, pieces, spelling, whitening
 
 DATA = "/root/testdata/sf0.001"
 
@@ -306,3 +306,55 @@ def test_likeness_tells_edited_texts_from_others(spark):
     assert len(rows) == 200 == len({r.doc_id for r in rows})
     assert sum(r.near_edited > r.near_next + 0.1 for r in rows) >= 190
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
+
+
+# ---------------------------------------------------------------- clashing names and sizes
+
+
+def clashing(spark, names):
+    rows = [(i, f"src{i % 3}", f"text {i % 5}", *[f"{n}{i}" for n in names]) for i in range(40)]
+    schema = ", ".join(["doc_id long", "source string", "text string", *(f"`{n}` string" for n in names)])
+    return spark.createDataFrame(rows, schema), rows
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    names = ["_lane", "_key", "_bucket", "_rank", "_before", "_first", "_of", "doc", "id", "_start", "_period"]
+    frame, rows = clashing(spark, names)
+    made = mixing.schedule(frame, {"src0": 2, "src1": 1}, 1, 3)
+    assert made.columns == [*frame.columns, "lane", "block", "slot", "position"]
+    assert sorted(tuple(r)[:len(rows[0])] for r in made.collect()) == rows
+    own = frame.withColumnRenamed("_lane", "block").withColumnRenamed("_key", "position")
+    made = mixing.schedule(own, {"src0": 2, "src1": 1}, 1, 3)
+    assert len(set(made.columns)) == len(made.columns) and made.schema["position"].dataType.simpleString() == "bigint"
+    mixed = mixing.mixed(own, {"src0": 2, "src1": 1}, 1, 3)
+    assert mixed.columns == own.columns and sorted(tuple(r) for r in mixed.collect()) == rows
+
+
+def test_exact_dedup_keeps_columns_of_any_name(spark):
+    names = ["_digest", "_row", "_winner", "_place", "_doc", "_item", "_n", "_group_size"]
+    frame, rows = clashing(spark, names)
+    kept = exact_dedup.deduplicate(frame)
+    assert kept.columns == frame.columns
+    assert sorted(tuple(r) for r in kept.collect()) == rows[:5]
+
+
+def test_pieces_keep_columns_of_any_name(spark):
+    frame, rows = clashing(spark, ["id", "c0", "ids"])
+    made = pieces.encoded(frame, extra=("id", "c0", "source")).collect()
+    assert sorted((r.doc_id, r.id, r.c0, r.source) for r in made) == [(r[0], r[3], r[4], r[1]) for r in rows]
+
+
+def test_cosine_of_very_large_and_small_vectors(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(60, 4))
+    sizes = [1e200, 1e-200, 1.0, 1e-310]
+    rows = [(i, (v * sizes[i % 4]).tolist()) for i, v in enumerate(base)]
+    found = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=10).collect()
+    units = np.array([v for _, v in rows])
+    units /= np.abs(units).max(1, keepdims=True)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    for r in found:
+        cosines = units @ units[r.query_id]
+        order = [i for i in np.argsort(-cosines) if i != r.query_id]
+        assert r.vec_id == order[r.rank - 1] and abs(r.score - cosines[r.vec_id]) < 1e-12
+    assert len(found) == 30
