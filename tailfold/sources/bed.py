@@ -56,9 +56,10 @@ class PhenotypeBed:
         melted = rows.select(*keep, F.posexplode_outer(cells).alias("sample_idx", "text"))
         if len(self.samples) <= BROADCAST_SAMPLES:
             samples = F.broadcast(samples)
-        return melted.join(samples, "sample_idx").select(
-            *keep, "sample_id", V.phenotype(F.col("text")).alias("value"),
-            V.is_bad_phenotype(F.col("text")).alias("bad"))
+        parsed = melted.join(samples, "sample_idx").select(
+            *keep, "sample_id", "text", V.phenotype(F.col("text")).alias("value"))
+        return parsed.select(*keep, "sample_id", "value", (
+            F.col("value").isNull() & ~V.is_missing_phenotype(F.col("text"))).alias("bad"))
 
 
 def read_bed(spark: SparkSession, path, trim_samples: bool) -> PhenotypeBed:
