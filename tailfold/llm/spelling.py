@@ -80,24 +80,26 @@ class KdTree:
     """A k-d tree over integer points; a node keeps those with ``point[dim] <= at`` on its left."""
 
     def __init__(self, points: np.ndarray, leaf_size: float):
-        self.nodes: list[tuple[int, int, int, int]] = []  # dim, at, left, right; dim -1: leaf ``at``
+        # dim, at, left, right; a leaf has dim -1 and its number as ``at``
+        self.nodes: list[tuple[int, int, int, int]] = []
         self.members: list[np.ndarray] = []
-        self._grow(points, np.arange(len(points)), leaf_size)
-
-    def _grow(self, points: np.ndarray, own: np.ndarray, leaf_size: float) -> int:
-        node = len(self.nodes)
-        split = self._split(points[own]) if len(own) > leaf_size else None
-        if split is None:
-            self.nodes.append((-1, len(self.members), -1, -1))
-            self.members.append(own)
-            return node
-        dim, at = split
-        self.nodes.append((dim, at, -1, -1))
-        below = points[own, dim] <= at
-        left = self._grow(points, own[below], leaf_size)
-        right = self._grow(points, own[~below], leaf_size)
-        self.nodes[node] = (dim, at, left, right)
-        return node
+        todo = [(np.arange(len(points)), -1, 0)]
+        while todo:  # no recursion: outliers can make a path long
+            own, parent, side = todo.pop()
+            node = len(self.nodes)
+            if parent >= 0:
+                above = list(self.nodes[parent])
+                above[side] = node
+                self.nodes[parent] = tuple(above)
+            split = self._split(points[own]) if len(own) > leaf_size else None
+            if split is None:
+                self.nodes.append((-1, len(self.members), -1, -1))
+                self.members.append(own)
+                continue
+            dim, at = split
+            self.nodes.append((dim, at, -1, -1))
+            below = points[own, dim] <= at
+            todo += [(own[below], node, 2), (own[~below], node, 3)]
 
     @staticmethod
     def _split(points: np.ndarray) -> tuple[int, int] | None:

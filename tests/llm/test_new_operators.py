@@ -196,6 +196,8 @@ def test_letter_tests_and_tree_reach_all():
             assert spelling.one_replaced(x, y)[0, 0] == (a != b and is_near(a, b))
         if len(a) + 1 == len(b):
             assert spelling.one_inserted(x, y)[0, 0] == is_near(a, b)
+    steps = np.minimum(np.arange(3000, dtype=np.int32)[:, None] ** 2, 1 << 22)
+    assert len(spelling.KdTree(steps, 1).members) > 2000  # however deep
     points = np.random.default_rng(1).integers(0, 4, (300, 5)).astype(np.int32)
     tree = spelling.KdTree(points, 4)
     leaves = tree.leaf_of(points)
