@@ -339,7 +339,7 @@ def calculate(spark: SparkSession, phenotype_bed, shared_samples, carriers, feat
 
     bed = read_bed(spark, phenotype_bed, trim_samples=False)
     bed_samples = bed.sample_table()
-    absent = samples.join(bed_samples, "sample_id", "left_anti").limit(10).collect()
+    absent = samples.join(bed_samples, "sample_id", "left_anti").orderBy("ord").collect()
     if absent:
         raise ValueError("shared samples are absent from phenotype BED: "
                          + ", ".join(r.sample_id for r in absent))
