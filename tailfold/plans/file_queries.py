@@ -18,7 +18,7 @@ from tailfold.operators.ranges import query_windows, records_in_chunks, within_w
 from tailfold.plans import lof_pc, merge, rare_variant
 from tailfold.plans import surrogates as S
 from tailfold.session import stage, staging_root
-from tailfold.sources import bed, blocks, regions, tables, text, vat, vcf
+from tailfold.sources import bed, blocks, documents, regions, tables, text, vat, vcf
 
 # Records of the region queries reach several chunks; the layout's stretches are short.
 REACH, REACH_CHUNK, SPAN = 20, 15, 5000
@@ -87,7 +87,7 @@ def coding_gene_file(spark, d):
     gtf, genes, qc = folder(spark, "gtf"), folder(spark, "genes"), folder(spark, "genes-qc")
     blocks.write_block_gzip(lines, gtf)
     lof_pc.prepare_coding_genes(spark, gtf, genes, qc)
-    counters = docs_object(qc)
+    counters = documents.read_object(qc, "QC")
     found, count = tables.read_coding_genes(spark, genes)
     return found.agg(
         F.count_distinct("gene_id").alias("n_genes"), F.min("gene_id").alias("first_gene"),
@@ -98,11 +98,6 @@ def coding_gene_file(spark, d):
             "protein_coding_gene_records", "total_lines")])
 
 
-def docs_object(path) -> dict:
-    from tailfold.sources.documents import read_object
-    return read_object(path, "QC")
-
-
 def feature_file(spark, d):
     features = S.features(spark, d).select(*vocab.FEATURE_COLUMNS)
     path = written(spark, "features", features, ["chrom", "tss"])
