@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -128,9 +129,15 @@ class Encoder:
         self.byte_of = {i: b for b, i in enumerate(vocabulary.byte_ids)}
         self.alphabet = frozenset("".join(vocabulary.ids))
         self.automaton = ahocorasick.Automaton()
-        for piece in [*vocabulary.split, *self.alphabet]:  # a piece that cannot be merged is no match
-            self.automaton.add_word(piece, len(piece))
+        for piece in vocabulary.split:  # a piece that cannot be merged is no match
+            self.automaton.add_word(piece, piece)
         self.automaton.make_automaton()
+        # the longest match that is a proper prefix of a match; characters match themselves
+        self.shorter = {piece: next(piece[:k] for k in range(len(piece) - 1, 0, -1)
+                                    if k == 1 or piece[:k] in vocabulary.split)
+                        for piece in vocabulary.split}
+        self.plain = vocabulary.plain | self.alphabet
+        self.shown = {i: piece.replace(SPACE, " ") for i, piece in self.pieces.items()}
         breakers = "".join(re.escape(c) for c in "\t\n\r" if c not in self.alphabet)
         self.words = re.compile(
             f"{SPACE}+[^{SPACE}{breakers}]*|[^{SPACE}{breakers}]+" + (f"|[{breakers}]" * bool(breakers)))
@@ -141,64 +148,75 @@ class Encoder:
 
     def compatible(self, left: str, right: str) -> bool:
         """Whether the two tokens, merged again from their characters, come out as they are."""
-        key = (left, right)
-        known = self.pairs.get(key)
+        known = self.pairs.get((left, right))
         if known is None:
             if len(self.pairs) >= 4 * CACHE_WORDS:
                 self.pairs.clear()
-            known = self.pairs[key] = self._remerge(left, right)
+            known = self.pairs[left, right] = self._remerge(left, right)
         return known
 
     def _remerge(self, left: str, right: str) -> bool:
-        v = self.v
-        if any(len(t) > 1 and t not in v.plain for t in (left, right)):
-            return v.merge(left + right) == [left, right]
+        if left not in self.plain or right not in self.plain:
+            return self.v.merge(left + right) == [left, right]
         # Back in time: x ends the left token and y begins the right one until a merge uses them.
+        rank, split = self.v.rank.get, self.v.split
         x, y, x_used, y_used = left, right, float("inf"), float("inf")
+        made_x, made_y = rank(x, _CHAR), rank(y, _CHAR)
         while True:
-            joint = v.rank.get(x + y)
+            joint = rank(x + y)
             if joint is not None and joint < x_used and joint <= y_used:
                 return False
-            made_x, made_y = v.rank.get(x, _CHAR), v.rank.get(y, _CHAR)
-            if made_x == made_y == _CHAR:
-                return True
             if made_x > made_y:
-                x, x_used = v.split[x][1], made_x
+                x, x_used = split[x][1], made_x
+                made_x = rank(x, _CHAR)
+            elif made_y == _CHAR:
+                return True
             else:
-                y, y_used = v.split[y][0], made_y
+                y, y_used = split[y][0], made_y
+                made_y = rank(y, _CHAR)
 
     def segment(self, text: str) -> list[str]:
         """Tokens of a text whose characters all occur in pieces."""
         n = len(text)
-        if n == 1 or text in self.v.split:
+        if n == 1 or text in self.shorter:
             return [text]
-        lengths: list[list[int]] = [[] for _ in text]
-        for end, length in self.automaton.iter(text):
-            lengths[end - length + 1].append(length)
+        longest = list(text)  # by start; ends come in rising order, so the last match of a start stays
+        for end, piece in self.automaton.iter(text):
+            longest[end + 1 - len(piece)] = piece
+        shorter, pairs = self.shorter, self.pairs
         failed = bytearray((n >> 3) + 1)
-        chosen: list[tuple[int, int]] = []
-        at, choice = 0, len(lengths[0]) - 1
+        tokens: list[str] = []
+        at, before, piece = 0, None, longest[0]
         while at < n:
-            before = text[chosen[-1][0]:at] if chosen else None
-            while choice >= 0:
-                end = at + lengths[at][choice]
-                if not failed[end >> 3] >> (end & 7) & 1 and (
-                        before is None or self.compatible(before, text[at:end])):
-                    break
-                choice -= 1
-            if choice >= 0:
-                chosen.append((at, choice))
-                at = end
-                choice = len(lengths[at]) - 1 if at < n else 0
+            while piece is not None:
+                end = at + len(piece)
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    if before is None:
+                        break
+                    fits = pairs.get((before, piece))
+                    if fits or fits is None and self.compatible(before, piece):
+                        break
+                piece = shorter.get(piece)
+            if piece is not None:
+                tokens.append(piece)
+                at, before = end, piece
+                if at < n:
+                    piece = longest[at]
             else:
                 failed[at >> 3] |= 1 << (at & 7)
-                at, choice = chosen.pop()
-        return [text[i:i + lengths[i][c]] for i, c in chosen]
+                piece = tokens.pop()
+                at -= len(piece)
+                piece = shorter.get(piece)
+                before = tokens[-1] if tokens else None
+        return tokens
 
     def _ids(self, word: str) -> list[int]:
         ids: list[int] = []
         if self.alphabet.issuperset(word):
-            runs = [word]
+            try:
+                return [self.v.ids[token] for token in self.segment(word)]
+            except KeyError:  # a character that only longer pieces hold
+                runs = [word]
         else:  # characters without a piece stand alone, as their bytes
             runs = self.strange.split(word)
         for run in runs:
@@ -218,7 +236,7 @@ class Encoder:
         known = self.older.get(word)
         if known is None:
             ids = self._ids(word)
-            known = b"".join([i.to_bytes(4, "little") for i in ids]), self._surface(ids)
+            known = struct.pack(f"<{len(ids)}I", *ids), self._surface(ids)
         if len(word) > CACHE_CHARS:
             return known
         if len(self.seen) >= CACHE_WORDS:
@@ -247,6 +265,10 @@ class Encoder:
                 decoded[1:] if self.v.prefix else decoded)
 
     def _surface(self, ids: list[int]) -> str:
+        try:
+            return "".join(map(self.shown.__getitem__, ids))
+        except KeyError:  # bytes and control ids take the long way
+            pass
         out, run = [], bytearray()
 
         def flush() -> None:
@@ -271,7 +293,7 @@ class Encoder:
                 continue
             flush()
             if i in self.pieces:
-                out.append(self.pieces[i].replace(SPACE, " "))
+                out.append(self.shown[i])
             elif i == self.v.unknown_id:
                 out.append(self.v.unknown_text)
             elif i not in self.v.hidden:
