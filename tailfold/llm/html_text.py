@@ -2,15 +2,19 @@
 
 A page is a sequence of events: words score positive, tags negative, and the enclosing elements
 (names, classes, ids) shift the score of their words.  All weights are log-odds counted on labelled
-pages.  One linear scan finds the contiguous region with the highest sum; inside it, blocks whose
-own words score negative (an advert between two paragraphs) are left out.
+pages.  Only tags of blocks count, without the two that part one paragraph from the next, so that
+short paragraphs and headings of a plain page do not end its content.  One linear scan finds the contiguous region
+with the highest sum; inside it, blocks that their enclosing elements set apart (an advert between
+two paragraphs) are left out, and nothing else.
 
 Labelled pages are ``(html, content blocks)`` pairs.  ``labelled_pages`` makes a documented set from
 rules; ``fit`` takes any other.
 
 Defined results: null, empty or blank pages and pages without content give an empty text; unclosed
-and misnested tags are taken as a browser would roughly take them; scripts, styles and comments end
-at their end tag, or with the page.
+and misnested tags are taken as a browser would roughly take them; a quote that never closes ends
+with its tag; scripts, styles, comments and tags end at their end, or with the page.  Of regions with
+equal sums the first one counts.  Repeated rows give repeated results, an empty table gives none, and
+columns of other names are not read.
 """
 
 from __future__ import annotations
@@ -42,10 +46,12 @@ SPACED = frozenset("br td th".split())
 TELLING = frozenset("article main nav header footer aside form menu dialog address".split())
 _MAIN = frozenset(("article", "main"))
 
+# A quote counts after "=" only, and only if it is closed again.
+_ATTRIBUTES = r"(?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')?)*+"
 _EVENT = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(" + "|".join(SILENT) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(" + "|".join(SILENT) + r")(?=[\s/>])" + _ATTRIBUTES + r"(?:>|\Z).*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)(" + _ATTRIBUTES + r")(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|([^<]+|<)", re.S | re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -59,7 +65,7 @@ class Block:
     text: str
     words: int
     linked: int             # words inside links
-    tags: int               # tags since the block before
+    tags: int               # block tags since the block before, but for two
     context: frozenset[str]  # names, classes and ids of enclosing elements
 
 
@@ -78,7 +84,8 @@ def blocks(page: str) -> list[Block]:
             text.clear()
             if words:
                 around = own.union(*(names for _, names, _ in stack))
-                out.append(Block(" ".join(words), len(words), min(linked, len(words)), tags, around))
+                out.append(Block(" ".join(words), len(words), min(linked, len(words)),
+                                 max(tags - 2, 0), around))
                 tags = 0
             linked = 0
 
@@ -92,7 +99,8 @@ def blocks(page: str) -> list[Block]:
             continue
         if name is None:
             continue
-        name, tags = name.lower(), tags + 1
+        name = name.lower()
+        tags += name in BLOCKS
         if name == "a":
             links = 0 if closing else 1
         elif name in SPACED:
@@ -139,18 +147,25 @@ class Weights:
         own = [self.context.get(c, 0.0) for c in block.context]
         return sum(w for w in own if w > 0) / 2 + 2 * sum(w for w in own if w < 0)
 
-    def of(self, block: Block) -> float:
-        """Score of the block's words."""
-        return block.words * (self.word + self.around(block)) + block.linked * self.link
+    def apart(self, block: Block) -> bool:
+        """Whether the enclosing elements tell that the block is not content."""
+        return self.word + self.around(block) <= 0
 
-    def region(self, block: Block) -> float:
-        """Score of the block's words and of the tags before it.
+    def inside(self, block: Block) -> bool:
+        """Whether a content element holds the block."""
+        return any(self.context.get(c, 0.0) > 0 for c in block.context if c in self.holders)
 
-        What is set apart *inside* a content element neither ends the content nor belongs to it.
+    def region(self, block: Block) -> tuple[float, float]:
+        """Scores of the tags before the block and of its words and links.
+
+        Inside a content element neither links nor tags end the content; what is set apart there
+        does not end it either, and does not belong to it.
         """
-        score = self.of(block) + block.tags * min(self.tag + self.around(block), 0.0)
-        inside = any(self.context.get(c, 0.0) > 0 for c in block.context if c in self.holders)
-        return max(score, 0.0) if inside else score
+        around = self.around(block)
+        words = block.words * (self.word + around)
+        if self.inside(block):
+            return 0.0, max(words, 0.0)
+        return block.tags * min(self.tag + around, 0.0), words + block.linked * self.link
 
 
 def fit(pages: Iterable[tuple[str, list[str]]]) -> Weights:
@@ -197,8 +212,8 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 def main_text(page: str | None, weights: Weights) -> str:
     found = blocks(page or "")
-    first, last = best_region([weights.region(b) for b in found])
-    return "\n\n".join(b.text for b in found[first:last] if weights.of(b) > 0)
+    first, last = best_region([score for b in found for score in weights.region(b)])
+    return "\n\n".join(b.text for b in found[first // 2:last // 2] if not weights.apart(b))
 
 
 # Names under which page makers put what is not the article; fixed values of the labelled set.

@@ -109,6 +109,30 @@ def test_pages(spark):
     assert found[8] == ["a b c d e f g\n\nh i j k"]
 
 
+def test_page_blocks_inside_the_article_stay():
+    weights = html_text.fit(html_text.labelled_pages())
+
+    def text(page):
+        return html_text.main_text(page, weights)
+
+    linked = "<p><a href='/x'>all of this is one link</a></p>"
+    assert text(f"<nav><a href='/'>home</a></nav><article>{linked}<p>a b c</p>{linked}</article>") == (
+        "all of this is one link\n\na b c\n\nall of this is one link")
+    assert text("<article><p>Yes.</p><p>one two three</p><h2>No</h2></article>") == "Yes.\n\none two three\n\nNo"
+    assert text("""<article><p title="a'b>four</p><p>five six</p></article>""") == "four\n\nfive six"
+    assert text("""<article><p title="x > y">four</p><p lang=it's>five</p></article>""") == "four\n\nfive"
+    assert text("<article><p>four</p><p class='never ends") == "four"
+    assert text("<article><p>a b</p><aside>no</aside><p>c d</p></article>") == "a b\n\nc d"
+
+
+def test_plain_pages_keep_headings_and_short_paragraphs():
+    weights = html_text.fit(html_text.labelled_pages())
+    page = "<ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li></ul><h1>Of short words</h1>" \
+        "<p>It rains.</p><p>" + "long text " * 20 + "</p><p>It ends.</p>"
+    assert html_text.main_text(page, weights) == "\n\n".join(
+        ["Of short words", "It rains.", ("long text " * 20).strip(), "It ends."])
+
+
 def vectors(seed=0, n=400, width=16):
     return np.random.default_rng(seed).normal(size=(n, width))
 
