@@ -680,6 +680,65 @@ SELECT pc_count, CASE WHEN n <= pc_count + 2 THEN 'excluded' ELSE 'included' END
   count(*) AS n_genes, CAST(sum(n) AS BIGINT) AS usable_samples
 FROM (SELECT gene_id, count(value) AS n, unnest({list(S.PC_COUNTS)}) AS pc_count FROM obs GROUP BY 1)
 GROUP BY ALL""",
+    "lof_pc_documents": _with(LINES, OBS, PAIRS, FLAGGED, f"""genes AS (
+  SELECT gene_id, count(value) AS n, count(value) FILTER (is_any_lof) AS any_lof,
+    count(value) FILTER (is_hc) AS hc, count(value) FILTER (is_hc_or_lc) AS hc_or_lc
+  FROM flagged GROUP BY 1),
+steps AS (
+  SELECT *, n > pc_count + 2 AS kept FROM (SELECT *, unnest({list(S.PC_COUNTS)}) AS pc_count FROM genes)),
+per_pc AS (
+  SELECT pc_count, count(*) FILTER (kept) AS "eligible_gene_count",
+    coalesce(sum(n) FILTER (kept), 0)::BIGINT AS "total_observations",
+    coalesce(sum(any_lof) FILTER (kept), 0)::BIGINT AS "carrier_observations.any_lof",
+    coalesce(sum(hc_or_lc) FILTER (kept), 0)::BIGINT AS "carrier_observations.HC_or_LC",
+    coalesce(sum(hc) FILTER (kept), 0)::BIGINT AS "carrier_observations.HC",
+    count(*) FILTER (n > 0 AND NOT kept) AS "exclusion_counts.insufficient_dof",
+    0::BIGINT AS "exclusion_counts.rank_deficiency",
+    0::BIGINT AS "exclusion_counts.invalid_or_zero_residual_sd",
+    count(*) FILTER (n = 0) AS "exclusion_counts.other"
+  FROM steps GROUP BY 1),
+sizes AS (
+  SELECT (SELECT count(*) FROM genes) AS genes, (SELECT count(*) FROM supplier) AS samples,
+    (SELECT count(DISTINCT p_brand) FROM part) AS coding, (SELECT count(*) FROM lines) AS carrier_rows,
+    (SELECT count(*) FROM lines WHERE l_returnflag = 'R' AND l_quantity >= 49) AS truthy,
+    (SELECT count(*) FROM pairs) AS any_lof, (SELECT count(*) FROM pairs WHERE is_hc) AS hc,
+    (SELECT count(*) FROM pairs WHERE is_hc_or_lc) AS hc_or_lc, 0::BIGINT AS none)""") + """
+SELECT counter, value FROM (UNPIVOT (
+  SELECT genes AS "bed_feature_count", genes AS "bed_gene_count", samples AS "bed_sample_count",
+    none AS "duplicate_feature_count", none AS "additional_covariate_count",
+    none AS "additional_covariate_sample_count", samples AS "pc_sample_count",
+    genes AS "protein_coding_bed_feature_count", genes AS "protein_coding_bed_gene_count",
+    none AS "protein_coding_duplicate_feature_count", coding AS "protein_coding_gene_count",
+    samples AS "shared_bed_pc_sample_count", samples AS "shared_bed_pc_covariate_sample_count",
+    any_lof AS "pre_join_carrier_pair_counts.any_lof", hc AS "pre_join_carrier_pair_counts.HC",
+    hc_or_lc AS "pre_join_carrier_pair_counts.HC_or_LC",
+    carrier_rows AS "lof_carrier_table.input_row_count", truthy AS "lof_carrier_table.truthy_row_count",
+    any_lof AS "lof_carrier_table.unique_any_lof_pair_count",
+    hc_or_lc AS "lof_carrier_table.unique_hc_or_lc_pair_count",
+    hc AS "lof_carrier_table.unique_hc_pair_count"
+  FROM sizes) ON COLUMNS(*) INTO NAME counter VALUE value)
+UNION ALL
+SELECT 'per_pc.' || pc_count || '.' || counter, value
+FROM (UNPIVOT per_pc ON COLUMNS(* EXCLUDE pc_count) INTO NAME counter VALUE value)""",
+    "prepared_phenotypes": _with(FEATURES, FEATURE_OBS, f"""chosen AS (
+  SELECT * FROM features WHERE chrom IN {FQ.PREPARED}),
+seen AS (
+  SELECT value FROM fobs JOIN chosen USING (feature_id)
+  WHERE CAST(sample_id AS BIGINT) % 3 <> 0 AND value IS NOT NULL),
+sizes AS (
+  SELECT (SELECT count(*) FROM part) AS parts, (SELECT count(*) FROM chosen) AS chosen,
+    (SELECT count(*) FROM supplier) AS suppliers, (SELECT count(*) FROM nation) AS nations,
+    (SELECT count(*) FROM supplier WHERE s_suppkey % 3 <> 0) AS shared,
+    (SELECT count(*) FROM seen) AS present)""") + """
+SELECT counter, value FROM (UNPIVOT (
+  SELECT suppliers - shared AS "bed_only_sample_count", suppliers AS "bed_sample_count",
+    chosen AS "feature_count", chosen AS "selected_feature_count", chosen AS "listed_features",
+    parts AS "input_feature_count", parts - chosen AS "unselected_feature_count",
+    chosen * shared - present AS "missing_z_observations", present AS "non_missing_observations",
+    shared AS "shared_sample_count", shared AS "listed_samples", nations AS "vcf_only_sample_count",
+    shared + nations AS "vcf_sample_count", """ + ", ".join(
+    f"(SELECT count(*) FROM seen WHERE abs(value) >= {t}) AS \"outlier_observations.{t}\"" for t in Q.Z_HIGH) + """
+  FROM sizes) ON COLUMNS(*) INTO NAME counter VALUE value)""",
     "calculate_files": SQL["annotation_enrichment"],
     "vcf_file": _with(VARIANTS) + f"""
 SELECT chrom, count(*) AS n_records, CAST(sum(pos) AS BIGINT) AS positions,

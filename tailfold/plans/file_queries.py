@@ -23,6 +23,7 @@ from tailfold.sources import bed, blocks, documents, regions, tables, text, vat,
 # Records of the region queries reach several chunks; the layout's stretches are short.
 REACH, REACH_CHUNK, SPAN = 20, 15, 5000
 SHARDS = ((0, 1), (2,))
+PREPARED = ("chr1", "chr3")
 
 
 def folder(spark, name: str) -> str:
@@ -242,6 +243,45 @@ def gene_pc_qc_files(spark, d):
         F.sum(F.col("usable_sample_count").cast("bigint")).alias("usable_samples"))
 
 
+def _counters(spark, document: dict, **more: int) -> DataFrame:
+    """``counter, value``: the whole numbers of a document, names of nested ones joined by dots."""
+    rows = []
+
+    def walk(name, value):
+        if isinstance(value, dict):
+            for key, inner in value.items():
+                walk(f"{name}.{key}" if name else key, inner)
+        elif isinstance(value, int) and not isinstance(value, bool):
+            rows.append((name, value))
+
+    walk("", {**document, **more})
+    return spark.createDataFrame(rows, "counter string, value long")
+
+
+def lof_pc_documents(spark, d):
+    """Counters of the analysis QC document of a sweep, those of each PC count too."""
+    out = _sweep(spark, d, _sweep_inputs(spark, d), S.PC_COUNTS)
+    return _counters(spark, documents.read_object(out["analysis_qc_output"], "QC"))
+
+
+def prepared_phenotypes(spark, d):
+    """Counters of the phenotype preparation, and what its feature and sample tables hold."""
+    from tailfold.plans import queries as Q
+
+    meta = S.features(spark, d).select("feature_id", "chrom", F.col("tss").alias("end"))
+    bed_path = _bed_file(spark, d, meta, S.feature_observations(spark, d), "feature_id")
+    called = S.table(spark, d, "supplier").where("s_suppkey % 3 <> 0").select(
+        S.text("s_suppkey").alias("sample_id")).union(
+        S.table(spark, d, "nation").select(F.concat(F.lit("V"), S.text("n_nationkey"))))
+    features, samples, qc = (folder(spark, f"prepared-{n}") for n in ("features", "samples", "qc"))
+    rare_variant.prepare_phenotypes(
+        spark, bed_path, written(spark, "called", called, ["sample_id"], header=False), list(PREPARED),
+        list(Q.Z_HIGH), "absolute", features, samples, qc)
+    return _counters(spark, documents.read_object(qc, "QC"),
+                     listed_features=tables.read_features(spark, features, unique=True).count(),
+                     listed_samples=tables.read_samples(spark, samples).count())
+
+
 def calculate_files(spark, d):
     """Carriers among outliers over all strata, from files to the results file."""
     from tailfold.plans import queries as Q
@@ -373,7 +413,7 @@ FILE_QUERIES = {
     f.__name__: f for f in (
         sample_matrix_files, lof_carrier_file, coding_gene_file, feature_file, sample_file,
         gathered_minima_files, selection_from_file, phenotype_bed_file, lof_pc_files,
-        lof_pc_merged_files, gene_pc_qc_files, calculate_files, records_in_query_chunks,
+        lof_pc_merged_files, gene_pc_qc_files, lof_pc_documents, prepared_phenotypes, calculate_files, records_in_query_chunks,
         block_gzip_lines, vcf_file, region_allele_counters, region_record_starts,
         genotype_carrier_minima, annotation_file_counters,
     )
