@@ -37,7 +37,7 @@ GAINS = 8         # new neighbours that a node takes from one place of a round
 ROUNDS = 6        # NN-descent rounds; fewer if hardly anything changes
 ENTRIES = 256     # nodes that every search begins with, a bounded set that goes to every task
 BEAM = 256
-LINKS = 64        # links of a row; a node with more has several rows
+LINKS = 8         # links of a row, which bounds a batch of rows; a node with more has several rows
 _SETTLED = 0.01   # share of changed edges at which the graph is taken as settled
 
 
