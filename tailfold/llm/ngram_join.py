@@ -218,12 +218,12 @@ def _some_pairs(rows: DataFrame, percent: int, turn: int) -> DataFrame:
         "beside", F.lag(F.struct("id", "size", "pos", "own")).over(holders.orderBy(*order))
     ).withColumn("pivot", F.max(F.struct(
         weight.alias("weight"), "id", "size", "pos", "own")).over(holders))
-    mine = [F.col(c).alias(f"{c}_a") for c in ("id", "size", "pos", "own")]
-    met = None
-    for name in ("beside", "pivot"):
-        side = told.select(*mine, *[F.col(f"{name}.{c}").alias(f"{c}_b")
-                                    for c in ("id", "size", "pos", "own")])
-        met = side if met is None else met.union(side)
+    fields = ("id", "size", "pos", "own")
+    # one pass over the windows for both
+    met = told.select(
+        *[F.col(c).alias(f"{c}_a") for c in fields],
+        F.explode(F.array("beside", F.struct(*[F.col(f"pivot.{c}") for c in fields]))).alias("other"),
+    ).select("*", *[F.col(f"other.{c}").alias(f"{c}_b") for c in fields]).drop("other")
     return (
         met.where((F.col("own_a") != F.col("own_b")) & _possible("a", "b", percent))
         .select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
@@ -321,20 +321,25 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "do
         (F.sum("holders") / F.first("size")).alias("common")), "commonness")
     arguments = (whole, classes, width, percent, levels, pivots)
     rows = stage(shared.drop("holders").join(common, "id").withColumn("own", F.col("id")), "open")
+    spark = docs.sparkSession
+    release(spark, shared, common)
     tried, groups = None, None
     for turn in range(ROUNDS + 1):
         pairs = _all_pairs(rows, percent) if turn == ROUNDS else _some_pairs(rows, percent, turn)
         if tried is not None:
             pairs = pairs.join(tried, ["id_a", "id_b"], "left_anti")
         pairs = stage(pairs, "candidates")
+        release(spark)
         if turn and pairs.isEmpty():
             continue
         likely = stage(_plausible(pairs, classes, percent), "plausible")
+        release(spark)
         links = _verified(likely, *arguments).select(
             F.col("id_a").alias("u"), F.col("id_b").alias("v"))
         if groups is not None:
             links = links.union(groups.select("node", "component"))
         groups = stage(components(links), "groups")
+        release(spark, likely)
         if turn == ROUNDS:
             break
         tried = pairs if tried is None else tried.union(pairs)
@@ -343,7 +348,9 @@ def linked(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "do
         ).withColumn("own", F.coalesce("own", "id"))
         still_open = named.groupBy("token").agg(
             F.min("own").alias("low"), F.max("own").alias("high")).where("low < high").select("token")
-        rows = stage(named.join(still_open, "token", "left_semi"), "open")
+        narrowed = stage(named.join(still_open, "token", "left_semi"), "open")
+        release(spark, rows)
+        rows = narrowed
     final = groups
     named_classes = (
         classes.join(final.withColumnRenamed("node", "id"), "id", "left")
