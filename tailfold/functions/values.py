@@ -73,16 +73,18 @@ def to_double(c: Column) -> Column:
     """Finite double, or NULL.
 
     Suffixed and hexadecimal literals, which only Java accepts, are kept out.  Most
-    numbers end in a digit and never meet the pattern.
+    numbers end in a digit and never meet the pattern.  No finite number begins with
+    an N: missing values, most cells of a sparse matrix, skip the failing cast.
     """
     number = c.try_cast("double")
     finite = F.abs(number) < F.lit(float("inf"))
     plain = F.substring(c, -1, 1).isin(*DIGITS) | ~c.rlike(JAVA_SUFFIX)
-    return F.when(finite & plain & ~c.contains("x") & ~c.contains("X"), number)
+    named = c.startswith("N") | c.startswith("n")
+    return F.when(~named & finite & plain & ~c.contains("x") & ~c.contains("X"), number)
 
 
 def is_missing_phenotype(c: Column) -> Column:
-    return one_of(F.lower(strip(c)), vocab.MISSING_PHENOTYPE)
+    return (c == "NA") | one_of(F.lower(strip(c)), vocab.MISSING_PHENOTYPE)
 
 
 def phenotype(c: Column) -> Column:
@@ -91,7 +93,7 @@ def phenotype(c: Column) -> Column:
 
 
 def is_bad_phenotype(c: Column) -> Column:
-    return to_double(c).isNull() & ~is_missing_phenotype(c)
+    return (c != "NA") & to_double(c).isNull() & ~is_missing_phenotype(c)
 
 
 def tss_problem(start: Column, end: Column) -> Column:

@@ -144,24 +144,42 @@ def selection_from_file(spark, d):
 
 def _bed_file(spark, d, meta: DataFrame, observations: DataFrame, key: str) -> str:
     """A phenotype BED (block gzip) with a column per supplier; absent cells are NA."""
-    names = [r["s"] for r in S.table(spark, d, "supplier").select(
-        F.col("s_suppkey").alias("s")).orderBy("s").collect()]
-    cells = observations.where("value IS NOT NULL").groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("sample_id", "value"))).alias("m"))
-    header = F.lit("\t".join(["#chr", "start", "end", "feature_id", *map(str, names)]))
-    listed = F.array(*[F.lit(str(n)) for n in names])
-    shown = F.transform(listed, lambda n: F.coalesce(F.element_at("m", n).cast("string"), F.lit("NA")))
-    body = meta.join(cells, key, "left").select(
-        F.lit(1).alias("place"), "chrom", "end", F.concat_ws(
-            "\t", "chrom", (F.col("end") - 1).cast("string"), F.col("end").cast("string"), "feature_id",
-            F.array_join(shown, "\t")).alias("line"))
-    top = spark.range(1).select(F.lit(0).alias("place"), header.alias("line"))
+    supplier = S.table(spark, d, "supplier")
+    listed = supplier.agg(F.sort_array(F.collect_list(F.struct("s_suppkey"))).alias("names")).select(
+        F.transform("names", lambda n: F.coalesce(n["s_suppkey"].cast("string"), F.lit("None"))).alias("names"))
+    columns = listed.select(F.posexplode("names").alias("at", "sample_id"))
+    known = F.coalesce("sample_id", F.raise_error(F.lit("a cell without sample")).cast("string"))
+    cells = observations.where("value IS NOT NULL").withColumn("sample_id", known).join(columns, "sample_id").groupBy(
+        key).agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("cells"))
+    # sorted before the lines are put together, so that only the cells that are there move
+    body = meta.join(cells, key, "left").withColumn("place", F.lit(1))
+    top = listed.select(F.lit(0).alias("place"), F.concat(
+        F.lit("\t".join(["#chr", "start", "end", "feature_id", ""])), F.array_join("names", "\t")).alias("header"))
+    ordered = body.unionByName(top, allowMissingColumns=True).orderBy("place", "chrom", "end")
+    line = F.concat_ws("\t", "chrom", (F.col("end") - 1).cast("string"), F.col("end").cast("string"), "feature_id",
+                       *_shown("cells", supplier.count()))
     path = folder(spark, "bed")
-    blocks.write_block_gzip(
-        body.unionByName(top, allowMissingColumns=True).orderBy("place", "chrom", "end"), path)
+    blocks.write_block_gzip(ordered.select(F.when(F.col("place") == 0, F.col("header")).otherwise(line).alias("line")), path)
     return path
 
 
+def _shown(cells: str, width: int):
+    """Texts of sorted ``(at, value)`` cells over ``width`` columns, and of the absent ones after the last.
+
+    The gap before a cell is filled at once, so the work follows the length of the text.
+    """
+    def text(cell, i):
+        before = F.coalesce(F.get(cells, i - 1)["at"], F.lit(-1))
+        gap = F.when(before < cell["at"], cell["at"] - before - 1).otherwise(
+            F.raise_error(F.lit("two cells of one sample")).cast("int"))
+        return F.concat(F.repeat(F.lit("NA\t"), gap), cell["value"].cast("string"))
+
+    last = F.coalesce(F.get(cells, F.size(cells) - 1)["at"], F.lit(-1))
+    absent = F.lit(width - 1) - last
+    rest = F.when(absent > 0, F.concat(F.repeat(F.lit("NA\t"), absent - 1), F.lit("NA")))
+    return F.when(F.size(cells) > 0, F.array_join(F.transform(cells, text), "\t")), rest
+
+
 def _brand_bed(spark, d) -> str:
     observations = S.observations(spark, d).withColumn("feature_id", S.brand_gene(F.col("gene_id")))
     meta = observations.select("feature_id").distinct().select(
