@@ -12,8 +12,11 @@ and least squares runs as a blocked QR over those tiles:
 3. *apply*: tiles are visited a second time to turn values into z-scores, which
    are counted on the spot.  No z-score leaves its task.
 
-No task ever holds a whole gene, a whole sample or the whole design matrix, and
-nothing is broadcast: design rows travel to the tiles that use them.
+No task ever holds more of a gene than one sample block, a whole sample or the
+whole design matrix, and nothing is broadcast: design rows travel to the tiles that
+use them.  Tiles hold the cells that exist, so a sparse matrix costs what it holds:
+genes of few samples share one sample block, and only design rows that some cell of
+a tile uses go there.
 """
 
 from __future__ import annotations
@@ -49,6 +52,10 @@ class Sweep:
     sample_blocks: int
     gene_blocks: int
     fan_in: int = FAN_IN
+    # runs that the samples of a block are numbered in
+    runs: int = 1
+    # fewer cells than design rows over all tiles: send rows by the cells
+    sparse: bool = False
 
     @property
     def width(self) -> int:
@@ -66,11 +73,15 @@ def plan_sweep(flagged: DataFrame, design: DataFrame, fixed: int, pc_counts,
     share a block as the design gets wider.  Small matrices are cut finer than that,
     to give every core a tile.
     """
-    facts = flagged.agg(
-        F.count_distinct("gene_id").alias("genes"), F.count("value").alias("present")
+    facts = flagged.groupBy("gene_id").agg(
+        F.count("value").alias("present"), F.count(F.lit(1)).alias("cells")
+    ).agg(
+        F.count("gene_id").alias("genes"), F.coalesce(F.sum("present"), F.lit(0)).alias("present"),
+        F.coalesce(F.sum("cells"), F.lit(0)).alias("cells"), F.coalesce(F.max("cells"), F.lit(0)).alias("most"),
     ).first()
     samples = design.count()
-    blocks = max(1, math.ceil(samples / sample_block))
+    # no gene has more cells in a block than a block has samples, up to the luck of the hash
+    blocks = max(1, math.ceil(min(samples, facts.most) / sample_block))
     width = 1 + fixed + max(pc_counts)
     genes = GENE_BLOCK
     if facts.present < facts.genes * samples:
@@ -80,7 +91,9 @@ def plan_sweep(flagged: DataFrame, design: DataFrame, fixed: int, pc_counts,
     wanted = math.ceil(cores / blocks)
     finest = max(1, facts.genes // SMALLEST_GENE_BLOCK)
     gene_blocks = max(math.ceil(facts.genes / genes), min(wanted, finest), 1)
-    return Sweep(fixed, tuple(pc_counts), blocks, gene_blocks, fan_in)
+    runs = max(1, math.ceil(samples / (blocks * sample_block)))
+    return Sweep(fixed, tuple(pc_counts), blocks, gene_blocks, fan_in, runs,
+                 facts.cells < gene_blocks * samples)
 
 
 # ------------------------------------------------------------ Arrow helpers
@@ -93,21 +106,39 @@ def _flat(table: pa.Table, name: str):
     return lists.flatten().to_numpy(zero_copy_only=False), lengths
 
 
-def _matrix(table: pa.Table, rows: int, name: str, dtype=float, fill=np.nan):
-    values, lengths = _flat(table, name)
-    position, _ = _flat(table, "pos_list")
-    out = np.full((rows, table.num_rows), fill, dtype=dtype)
-    out[position, np.repeat(np.arange(table.num_rows), lengths)] = values
-    return out
+def _cells(table: pa.Table, positions: np.ndarray, *names: str):
+    """Cells by gene and design row: where each gene begins, rows, and the named lists.
 
-
-def _design(table: pa.Table, width: int) -> np.ndarray:
+    Of a cell that comes twice the last one counts.
+    """
+    at, lengths = _flat(table, "pos_list")
+    gene = np.repeat(np.arange(table.num_rows), lengths)
+    row = np.searchsorted(positions, at)
+    order = np.lexsort((row, gene))
+    gene, row = gene[order], row[order]
+    last = np.ones(len(row), dtype=bool)
+    last[:-1] = (gene[1:] != gene[:-1]) | (row[1:] != row[:-1])
+    starts = np.searchsorted(gene[last], np.arange(table.num_rows + 1))
+    return [starts, row[last], *[_flat(table, f"{name}_list")[0][order][last] for name in names]]
+
+
+def _present(table: pa.Table, positions: np.ndarray, *names: str):
+    """``_cells`` with a finite value, the values first among the lists."""
+    starts, row, value, *others = _cells(table, positions, "value", *names)
+    finite = np.isfinite(value.astype(float))
+    before = np.append(0, np.cumsum(finite))
+    return [before[starts], row[finite], value[finite].astype(float), *[o[finite] for o in others]]
+
+
+def _design(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted sample positions of a tile and their design rows."""
     position = table.column("pos").to_numpy()
+    order = np.argsort(position)
     out = np.ones((len(position), width))
     if width > 1:
         values, _ = _flat(table, "vec")
-        out[position, 1:] = values.reshape(len(position), width - 1)
-    return out
+        out[:, 1:] = values.reshape(len(position), width - 1)[order]
+    return position[order], out
 
 
 def _records(table: pa.Table) -> list[dict]:
@@ -155,24 +186,23 @@ def _factor_tile(sweep: Sweep):
         if not cells.num_rows or not design.num_rows:
             return _table([], FACTOR)
         gb, sb = (int(k.as_py()) for k in key)
-        x = _design(design, sweep.width)
-        y = _matrix(cells, len(x), "value_list")
+        positions, x = _design(design, sweep.width)
+        starts, row, value = _present(cells, positions)
         genes = cells.column("gene_id").to_pylist()
-        present = np.isfinite(y)
-        masks, group = np.unique(np.packbits(present, axis=0), axis=1, return_inverse=True)
-        group = group.ravel()
+        groups: dict[bytes, list[int]] = {}
+        for j in range(len(genes)):
+            groups.setdefault(row[starts[j]:starts[j + 1]].tobytes(), []).append(j)
         rows = []
-        for index in range(masks.shape[1]):
-            members = np.flatnonzero(group == index)
-            used = present[:, members[0]]
-            n = int(used.sum())
+        for members in groups.values():
+            used = row[starts[members[0]]:starts[members[0] + 1]]
+            n = len(used)
             base = {"gb": gb, "blk": sb, "n": n}
             if n == 0:
                 rows += [{**base, "gene_id": genes[j], "vec": [], "rest": 0.0} for j in members]
                 continue
-            pattern = _digest([str(sb), masks[:, index].tobytes().hex()])
+            pattern = _digest([str(sb), positions[used].tobytes().hex()])
             q, r = np.linalg.qr(x[used])
-            block = y[np.ix_(used, members)]
+            block = np.column_stack([value[starts[j]:starts[j + 1]] for j in members])
             scores = q.T @ block
             rest = np.linalg.norm(block - q @ scores, axis=0)
             lo, hi = block.min(axis=0), block.max(axis=0)
@@ -306,51 +336,52 @@ def _design_problem(n: int, rank: int | None, columns: int) -> str | None:
     return "rank_deficiency" if rank < columns else None
 
 
-def _residuals(sweep: Sweep, cells: pa.Table, side: pa.Table):
-    """Yield (step, gene index array, residual matrix, sd vector) of one tile."""
+def _residuals(sweep: Sweep, cells: pa.Table, side: pa.Table, *names: str):
+    """Yield (step, gene index array, residual matrix, sd vector, named matrices) of genes that
+    share their samples; absent cells are not in the matrices."""
     rows = np.array(side.column("kind").to_pylist())
-    x = _design(side.filter(pa.array(rows == "design")), sweep.width)
-    y = _matrix(cells, len(x), "value_list")
+    positions, x = _design(side.filter(pa.array(rows == "design")), sweep.width)
+    starts, row, *lists = _present(cells, positions, *names)
     where = {g: j for j, g in enumerate(cells.column("gene_id").to_pylist())}
     factors = {
         row["pattern"]: row["vec"].reshape(-1, sweep.width)
         for row in _records(side.filter(pa.array(rows == "factor")))
     }
     fits: dict[str, list[dict]] = {}
-    for row in _records(side.filter(pa.array(rows == "fit"))):
-        if row["gene_id"] in where and row["pattern"] is not None:
-            fits.setdefault(row["pattern"], []).append(row)
+    for fit in _records(side.filter(pa.array(rows == "fit"))):
+        if fit["gene_id"] in where and fit["pattern"] is not None:
+            fits.setdefault(fit["pattern"], []).append(fit)
     for pattern, members in fits.items():
         good = [s for s in range(len(sweep.pc_counts))
                 if any(m["reasons"][s] is None for m in members)]
-        if not good:
-            continue
         at = np.array([where[m["gene_id"]] for m in members])
+        used = row[starts[at[0]]:starts[at[0] + 1]]
+        if not good or not len(used):
+            continue
+        y, *others = (np.column_stack([v[starts[j]:starts[j + 1]] for j in at]) for v in lists)
         top = sweep.columns(sweep.pc_counts[good[-1]])
-        basis = np.linalg.solve(factors[pattern][:top, :top].T, x[:, :top].T).T
+        basis = np.linalg.solve(factors[pattern][:top, :top].T, x[used, :top].T).T
         scores = np.column_stack([m["vec"][:top] for m in members])
-        fitted, done = np.zeros((len(x), len(members))), 0
+        fitted, done = np.zeros(y.shape), 0
         for s in good:
             upto = sweep.columns(sweep.pc_counts[s])
             fitted += basis[:, done:upto] @ scores[done:upto]
             done = upto
             keep = np.array([m["reasons"][s] is None for m in members])
             sd = np.array([m["sds"][s] for m in members if m["reasons"][s] is None])
-            yield s, at[keep], y[:, at[keep]] - fitted[:, keep], sd
+            yield s, at[keep], y[:, keep] - fitted[:, keep], sd, [o[:, keep] for o in others]
 
 
 def _count_tile(sweep: Sweep, thresholds: tuple[float, ...], schema: pa.Schema):
     def kernel(key, cells, side):
         if not cells.num_rows or not side.num_rows:
             return _table([], schema)
-        size = int((pc.max(side.column("pos")).as_py() or 0) + 1)
-        flags = [_matrix(cells, size, f"{f}_list", bool, False) for f in FLAGS]
         names = cells.column("gene_id").to_pylist()
         rows = []
-        for s, genes, residual, sd in _residuals(sweep, cells, side):
+        for s, genes, residual, sd, flags in _residuals(sweep, cells, side, *FLAGS):
             z = residual / sd
             finite = np.isfinite(z)
-            marks = [f[:, genes] & finite for f in flags]
+            marks = [f.astype(bool) & finite for f in flags]
             columns = {"residual_sum": np.where(finite, residual, 0.0).sum(axis=0)}
             for d, mark in enumerate(marks):
                 columns[f"c{d}"] = mark.sum(axis=0)
@@ -372,15 +403,13 @@ def _z_tile(sweep: Sweep, schema: pa.Schema):
     def kernel(key, cells, side):
         if not cells.num_rows or not side.num_rows:
             return _table([], schema)
-        size = int((pc.max(side.column("pos")).as_py() or 0) + 1)
-        labels = _matrix(cells, size, "sample_id_list", object, None)
         names = cells.column("gene_id").to_pylist()
         parts = []
-        for s, genes, residual, sd in _residuals(sweep, cells, side):
+        for s, genes, residual, sd, (labels,) in _residuals(sweep, cells, side, "sample_id"):
             i, j = np.nonzero(np.isfinite(residual))
             parts.append(pa.table({
                 "gene_id": pa.array([names[g] for g in genes[j]], pa.string()),
-                "sample_id": pa.array(labels[i, genes[j]], pa.string()),
+                "sample_id": pa.array(labels[i, j], pa.string()),
                 "pc_count": pa.array(np.full(len(i), sweep.pc_counts[s], dtype=np.int32)),
                 "z": pa.array((residual / sd)[i, j]),
             }))
@@ -421,9 +450,18 @@ def _spread(df: DataFrame, column: str, count: int) -> DataFrame:
     return fresh.withColumn(column, F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
 
 
+def _design_rows(tiles: DataFrame, blocks: DataFrame, sweep: Sweep) -> DataFrame:
+    """Design rows ``(gb, sb, pos, vec)`` of every tile, no more of them than cells or so."""
+    rows = blocks.select("sb", "pos", F.col("x").alias("vec"))
+    if not sweep.sparse:
+        return _spread(rows, "gb", sweep.gene_blocks)
+    used = tiles.select(F.col("gb").alias("gb"), F.col("sb").alias("sb"), F.explode("pos_list").alias("pos"))
+    return used.distinct().join(rows, ["sb", "pos"]).select("gb", "sb", "pos", "vec")
+
+
 def fit_models(tiles: DataFrame, blocks: DataFrame, sweep: Sweep) -> DataFrame:
     """Per gene: usable samples, rank, residual SD and exclusion per PC count."""
-    design = _spread(blocks.select("sb", "pos", F.col("x").alias("vec")), "gb", sweep.gene_blocks)
+    design = _design_rows(tiles, blocks, sweep)
     state = (
         tiles.select("gb", "sb", "gene_id", "pos_list", "value_list")
         .groupBy("gb", "sb")
@@ -441,11 +479,8 @@ def fit_models(tiles: DataFrame, blocks: DataFrame, sweep: Sweep) -> DataFrame:
     return state.groupBy("gb").applyInArrow(_fit_block(sweep), _ddl(FIT))
 
 
-def _side(blocks: DataFrame, fits: DataFrame, sweep: Sweep) -> DataFrame:
-    design = _spread(
-        blocks.select("sb", "pos", F.col("x").alias("vec"), F.lit("design").alias("kind")),
-        "gb", sweep.gene_blocks,
-    )
+def _side(tiles: DataFrame, blocks: DataFrame, fits: DataFrame, sweep: Sweep) -> DataFrame:
+    design = _design_rows(tiles, blocks, sweep).withColumn("kind", F.lit("design"))
     kind = F.when(F.col("gene_id").isNull(), "factor").otherwise("fit")
     fitted = _spread(
         fits.select("gb", "gene_id", "pattern", "sds", "reasons", "vec", kind.alias("kind")),
@@ -456,7 +491,7 @@ def _side(blocks: DataFrame, fits: DataFrame, sweep: Sweep) -> DataFrame:
 
 def _prepare(flagged, design, fixed, pc_counts, with_labels, sweep, cached):
     sweep = sweep or plan_sweep(flagged, design, fixed, pc_counts)
-    blocks = block_samples(design, sweep.sample_blocks).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = block_samples(design, sweep.sample_blocks, sweep.runs).persist(StorageLevel.MEMORY_AND_DISK)
     tiles = _tiles(flagged, blocks, sweep, with_labels)
     fits = fit_models(tiles, blocks, sweep).persist(StorageLevel.MEMORY_AND_DISK)
     if cached is not None:
@@ -480,7 +515,7 @@ def gene_sweep(flagged: DataFrame, design: DataFrame, fixed: int, pc_counts,
     )
     partial = (
         tiles.groupBy("gb", "sb")
-        .cogroup(_side(blocks, fits, sweep).groupBy("gb", "sb"))
+        .cogroup(_side(tiles, blocks, fits, sweep).groupBy("gb", "sb"))
         .applyInArrow(_count_tile(sweep, thresholds, schema), _ddl(schema))
     )
     totals = partial.groupBy("gene_id", "step").agg(
@@ -514,7 +549,7 @@ def residual_z(observations: DataFrame, design: DataFrame, fixed: int, pc_counts
                         ("pc_count", pa.int32()), ("z", pa.float64())])
     return (
         tiles.groupBy("gb", "sb")
-        .cogroup(_side(blocks, fits, sweep).groupBy("gb", "sb"))
+        .cogroup(_side(tiles, blocks, fits, sweep).groupBy("gb", "sb"))
         .applyInArrow(_z_tile(sweep, schema), _ddl(schema))
     )
 

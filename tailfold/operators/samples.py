@@ -38,11 +38,14 @@ def design_table(shared: DataFrame, pcs: DataFrame, covariates: DataFrame | None
     return out.select("sample_id", F.concat("covs", leading).alias("x"))
 
 
-def block_samples(design: DataFrame, blocks: int) -> DataFrame:
-    """Give every sample a block ``sb`` and a dense row number ``pos`` in it.
+def block_samples(design: DataFrame, blocks: int, runs: int = 1) -> DataFrame:
+    """Give every sample a block ``sb`` and a row number ``pos`` of its own in it.
 
-    Blocks come from a hash, so numbering never sorts all samples in one task.
+    Blocks come from a hash and are numbered in ``runs``, so numbering never sorts all
+    samples in one task.  Numbers are dense with one run.
     """
-    hashed = design.withColumn("sb", F.pmod(F.xxhash64("sample_id"), F.lit(blocks)).cast("int"))
-    order = Window.partitionBy("sb").orderBy("sample_id")
-    return hashed.withColumn("pos", (F.row_number().over(order) - 1).cast("int"))
+    run = F.pmod(F.xxhash64("sample_id"), F.lit(blocks * runs)).cast("int")
+    hashed = design.withColumn("_run", run)
+    order = Window.partitionBy("_run").orderBy("sample_id")
+    at = (F.row_number().over(order) - 1) * runs + F.floor(F.col("_run") / blocks)
+    return hashed.withColumn("pos", at.cast("int")).withColumn("sb", F.pmod("_run", F.lit(blocks)).cast("int")).drop("_run")
