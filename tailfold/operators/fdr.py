@@ -13,7 +13,8 @@ from tailfold.session import stage
 ROWS_PER_BUCKET = 1_000_000
 # Distinct p-values with their results that may be broadcast, some 50 MB as a hash table.
 BROADCAST_VALUES = 1_000_000
-# Parts that the rows of each p-value are dealt into when the values are too many to broadcast.
+# When the values are too many to broadcast, the rows of a value held by so many are dealt into parts.
+HEAVY_ROWS = 100_000
 SALTS = 32
 
 
@@ -41,19 +42,32 @@ def benjamini_hochberg(df: DataFrame, p: str = "fisher_p_value",
         return _windowed(df, p, out, F.lit(1))
     counted = df.where(F.col(p).isNotNull()).groupBy(p).agg(F.count(F.lit(1)).alias("_rows"))
     distinct = stage(counted, "p-values")
-    values = distinct.count()
+    found = distinct.agg(F.count(F.lit(1)).alias("values"), F.count_if(F.col("_rows") >= HEAVY_ROWS).alias("heavy")).first()
+    values = found["values"]
     cuts = _cuts(distinct, p, values)
     if cuts:
         total = distinct.agg(F.sum("_rows").alias("_n")).scalar()
-        final = _bucketed(distinct, p, total, cuts).select(p, _clamped("_q").alias(out))
+        final = _bucketed(distinct, p, total, cuts).select(p, "_rows", _clamped("_q").alias(out))
     else:
-        final = _windowed(distinct, p, out, F.col("_rows")).select(p, out)
+        final = _windowed(distinct, p, out, F.col("_rows")).select(p, "_rows", out)
     if values <= BROADCAST_VALUES:
-        return df.join(F.broadcast(final), p, "left")
-    # p = 1 may hold a large share of the rows: deal the rows of a value, repeat its result.
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    dealt = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
-    return dealt.join(final.withColumn("_salt", salts), [p, "_salt"], "left").drop("_salt")
+        return df.join(F.broadcast(final.drop("_rows")), p, "left")
+    dealt, results = _dealt(df, distinct, final, p, found["heavy"])
+    return dealt.join(results, [p, "_salt"], "left").drop("_salt")
+
+
+def _dealt(df: DataFrame, distinct: DataFrame, final: DataFrame, p: str, heavy: int):
+    """Rows and results with ``_salt``: p = 1 may hold a large share of the rows, so rows of heavy
+    values, and those without a value, are dealt, and only the results of heavy values repeated."""
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
+    many = F.col(p).isNull()
+    if heavy:
+        marked = distinct.where(F.col("_rows") >= HEAVY_ROWS).select(p, F.lit(True).alias("_heavy"))
+        df = df.join(F.broadcast(marked), p, "left")
+        many = many | F.col("_heavy").isNotNull()
+    dealt = df.withColumn("_salt", F.when(many, part).otherwise(0)).drop("_heavy")
+    copies = F.when(F.col("_rows") >= HEAVY_ROWS, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return dealt, final.withColumn("_salt", F.explode(copies)).drop("_rows")
 
 
 def _clamped(c) -> Column:
