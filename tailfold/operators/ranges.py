@@ -9,7 +9,6 @@ from tailfold import config
 from tailfold.operators.ordered import running
 
 BUCKET_BP = 1 << 20
-SALTS = 8
 # bin widths for long records grow by this many powers of two
 LEVEL_STEP = 4
 # a position index of at most this many rows (some tens of MB) is broadcast
@@ -24,15 +23,12 @@ def _meet(rows: DataFrame, index: DataFrame, entries: int) -> DataFrame:
     """Join ``rows`` with a bin index on (chrom, bin), by the measured index size.
 
     A small index is broadcast, so wide rows such as VCF records never move.  A large
-    one is repeated over a few salts for a sort-merge join, which spreads the rows of
-    a crowded bin over several tasks.
+    one is sort-merged, each entry once; rows of a crowded bin, if they are too many
+    for a task, are split by adaptive execution (skew join).
     """
     if entries <= BROADCAST_ROWS:
         return rows.join(F.broadcast(index), ["chrom", "_bin"])
-    salted = rows.withColumn(
-        "_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
-    copies = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies.hint("merge"), ["chrom", "_bin", "_salt"]).drop("_salt")
+    return rows.join(index.hint("merge"), ["chrom", "_bin"])
 
 
 def range_join(variants: DataFrame, features: DataFrame, max_distance: int) -> DataFrame:
