@@ -37,6 +37,9 @@ HIDDEN = 32
 MAX_TRAINING_ROWS = 20_000
 EPOCHS = 60
 THRESHOLD = 0.3
+# Text held as vectors at a time: a token has WIDTH numbers, in double precision while they are summed,
+# which is some hundred times its bytes.
+SLICE_BYTES = 1 << 17
 FEATURES = 2 * WIDTH + REACH
 _TOKENS = byte_classes(symbols_apart=True)
 
@@ -58,7 +61,7 @@ def _contexts(texts: DataFrame) -> DataFrame:
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(BUCKETS * WIDTH, np.int32)
         for batch in source:
-            for part in slices(batch.column(0), _TOKENS):
+            for part in slices(batch.column(0), _TOKENS, SLICE_BYTES):
                 bucket, places, signs = _codes(part)
                 row = np.repeat(np.arange(part.rows), np.diff(part.bounds))
                 for step in range(1, REACH + 1):
@@ -88,7 +91,7 @@ def pooled(docs: DataFrame, vectors: np.ndarray, id_col: str = "doc_id",
     """``id, features``: mean and spread of the vectors of all tokens of every document."""
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            for part in slices(batch.column(1), _TOKENS):
+            for part in slices(batch.column(1), _TOKENS, SLICE_BYTES):
                 h = part.hashes()
                 bucket = (h % np.uint64(BUCKETS)).astype(np.int64)
                 counts = np.diff(part.bounds)

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text that are held as arrays at a time (a longer text is taken alone).
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -101,12 +101,13 @@ def byte_classes(symbols_apart: bool = False) -> np.ndarray:
 WORDS = byte_classes()
 
 
-def slices(column: pa.Array, classes: np.ndarray = WORDS) -> Iterator[Slice]:
-    """The rows of a batch in order, about SLICE_BYTES at a time; words are runs of one class."""
+def slices(column: pa.Array, classes: np.ndarray = WORDS,
+           size: int = SLICE_BYTES) -> Iterator[Slice]:
+    """The rows of a batch in order, about ``size`` bytes at a time; words are runs of one class."""
     data, offsets = text_buffers(column)
     first = 0
     while first < len(offsets) - 1:
-        last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         last = min(max(last, first + 1), len(offsets) - 1)
         own = offsets[first:last + 1]
         part, own = data[own[0]:own[-1]], own - own[0]
