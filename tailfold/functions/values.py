@@ -25,6 +25,11 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def blank(c: Column) -> Column:
+    """Whether ``strip`` leaves nothing; looks no further than the first other character."""
+    return F.ltrim(c, F.lit(WHITESPACE)) == ""
+
+
 def one_of(c: Column, words) -> Column:
     return c.isin(*words)
 

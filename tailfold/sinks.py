@@ -46,13 +46,16 @@ def write_table(path, rows: DataFrame, order: list[str], columns, compress: bool
     Executors write the parts; put one after another in the order of their names they are the table,
     with one header, which sorts before all rows.  The folder takes its place when all of it is written.
     """
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
-    lines = rows.select(F.lit(1).alias("_place"), *[F.col(c).alias(f"_by{i}") for i, c in enumerate(order)],
-                        F.concat_ws("\t", *cells).alias("value"))
+    # lines are put together after the sort, so that a cell moves once and not again in its line
+    moved = list(dict.fromkeys([*order, *columns]))
+    at = {c: f"_cell{i}" for i, c in enumerate(moved)}
+    cells = rows.select(F.lit(1).alias("_place"), *[F.col(c).alias(n) for c, n in at.items()])
+    line = F.concat_ws("\t", *[F.coalesce(F.col(at[c]).cast("string"), F.lit("")) for c in columns])
     if header:
-        top = lines.sparkSession.createDataFrame([(0, "\t".join(columns))], "_place int, value string")
-        lines = lines.unionByName(top, allowMissingColumns=True)
+        top = cells.sparkSession.createDataFrame([(0,)], "_place int")
+        cells = cells.unionByName(top, allowMissingColumns=True)
+        line = F.when(F.col("_place") == 0, F.lit("\t".join(columns))).otherwise(line)
     draft = files.draft_of(path)
-    lines.orderBy("_place", *[f"_by{i}" for i in range(len(order))]).select("value").write.option(
+    cells.orderBy("_place", *[at[c] for c in order]).select(line.alias("value")).write.option(
         "compression", "gzip" if compress else "none").text(draft)
     files.replace(draft, path)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tailfold import vocab
@@ -186,10 +187,10 @@ def read_minima(spark: SparkSession, path) -> DataFrame:
     keys = [F.get("f", F.lit(i)).alias(n) for i, n in enumerate(vocab.MINIMA_KEYS)]
     typed = body.select("ord", "line", F.size("f").alias("n"), *keys,
                         V.to_long(F.get("f", F.lit(5))).alias("minimum_distance_bp"))
-    empty = F.exists(F.array(*vocab.MINIMA_KEYS), lambda k: k == "")
+    empty = reduce(Column.__or__, [F.col(k) == "" for k in vocab.MINIMA_KEYS])
     distance = F.col("minimum_distance_bp")
     problem = F.coalesce(
-        F.when(V.strip(F.col("line")) == "", "no content"),
+        F.when(V.blank(F.col("line")), "no content"),
         F.when(F.col("n") != 6, "not six columns"),
         F.when(empty, "empty key fields"),
         F.when(distance.isNull() | (distance < 0),

@@ -173,8 +173,9 @@ def fail_on_violation(rows: DataFrame, problem: Column, what: str,
     It is named by its line number, or by ``place`` where the lines are not at hand.
     """
     said = problem if place is None else F.concat(problem, F.lit(" at "), place)
-    marked = rows.select("ord", said.alias("problem")).where("problem IS NOT NULL")
-    report_first(marked.agg(F.min(F.struct("ord", "problem")).alias("first")).first().first,
+    # not a filter: that would sink below the parsing and repeat it for every mention of a cell
+    found = F.when(F.col("problem").isNotNull(), F.struct("ord", "problem"))
+    report_first(rows.select("ord", said.alias("problem")).agg(F.min(found).alias("first")).first().first,
                  what, rows if lines is None and place is None else lines)
 
 

@@ -42,3 +42,38 @@ def test_pooling_holds_few_vectors_at_a_time(spark, monkeypatch):
     assert len(got) == len(texts) and peak < 40e6
     monkeypatch.setattr(quality, "SLICE_BYTES", 1 << 21)
     assert run() == got
+
+
+def test_violations_parse_a_line_once(spark, tmp_path, monkeypatch):
+    rows = [("s1", "f1", "AC=1", "baseline", "all", "5"), ("s2", "f1", "AC=1", "baseline", "all", "0")]
+
+    def write(*more):
+        lines = ["\t".join(vocab.MINIMA_COLUMNS), *("\t".join(r) for r in rows), *more]
+        (tmp_path / "t").write_text("\n".join(lines) + "\n")
+        return tmp_path / "t"
+
+    plans, kind = [], type(spark.range(1))
+    agg = kind.agg
+    monkeypatch.setattr(kind, "agg", lambda self, *a: plans.append(agg(self, *a)) or plans[-1])
+    got = tables.read_minima(spark, write())
+    assert sorted(map(tuple, got.collect())) == [(*r[:5], int(r[5])) for r in rows]
+    parsed = [p for p in map(plan_of, plans) if "split(" in p]
+    assert len(parsed) == 1 and parsed[0].count("split(") == 1
+    for line, said in ((" \t\t\t\t\t ", "no content"), ("a\tb", "not six columns"),
+                       ("s\t\ta\tb\tc\t4", "empty key fields"), ("s\tf\ta\tb\tc\t-1", "non-negative integer"),
+                       ("s\tf\ta\tb\tc\tx", "non-negative integer")):
+        with pytest.raises(ValueError, match=f"line 4 has .*{said}"):
+            tables.read_minima(spark, write(line, "z"))
+
+
+def test_a_cell_is_sorted_once(spark, tmp_path, monkeypatch):
+    frame = spark.createDataFrame(
+        [("b", 2, None), ("a", 10, 1.5), ("a", 9, 2.0), (None, 3, 0.1)], "k string, n int, v double")
+    sorted_columns, kind = [], type(frame)
+    order_by = kind.orderBy
+    monkeypatch.setattr(kind, "orderBy", lambda self, *a: sorted_columns.append(self.columns) or order_by(self, *a))
+    sinks.write_table(tmp_path / "t", frame, ["k", "n"], ["k", "v", "k"])
+    assert len(sorted_columns[0]) == 1 + len(frame.columns)
+    monkeypatch.undo()
+    lines = text.read_lines(spark, tmp_path / "t").orderBy("ord").collect()
+    assert [r.line for r in lines] == ["k\tv\tk", "\t0.1\t", "a\t2.0\ta", "a\t1.5\ta", "b\t\tb"]
