@@ -9,6 +9,7 @@ from tailfold import vocab
 
 # fixed values: identifier and number patterns (Java regular expressions)
 TRAILING_VERSION = r"\.[0-9]+$"
+GENE_PREFIX = "ENSG"
 GENE_TOKEN = r"(?<![A-Za-z0-9])(ENSG[0-9]+)(?:\.[0-9]+)?"
 WHOLE_GENE_WITH_VERSION = r"^(ENSG[0-9]+)\.[0-9]+$"
 INTEGER = r"^\s*[+-]?[0-9]+\s*$"
@@ -44,19 +45,24 @@ def drop_version(c: Column) -> Column:
 
 def gene_tokens(c: Column) -> Column:
     """All Ensembl gene IDs inside a composite identifier, without versions."""
-    return F.regexp_extract_all(strip(c), F.lit(GENE_TOKEN), F.lit(1))
+    return F.regexp_extract_all(c, F.lit(GENE_TOKEN), F.lit(1))
 
 
 def single_gene(c: Column) -> Column:
-    """The only gene ID of a composite identifier, or NULL for none or several."""
-    only = F.filter(F.array(gene_tokens(c)), lambda tokens: F.size(tokens) == 1)
-    return F.get(F.get(only, F.lit(0)), F.lit(0))
+    """The only gene ID of a composite identifier, or NULL for none or several.
+
+    Most identifiers hold the prefix once and so have no second gene to look for.
+    """
+    tokens = gene_tokens(c)
+    only = F.get(tokens, F.lit(0))
+    several = F.substring_index(c, GENE_PREFIX, 2) != c
+    return F.when(several, F.when(F.size(tokens) == 1, only)).otherwise(only)
 
 
 def gene_problem(c: Column) -> Column:
     tokens = gene_tokens(c)
     return (
-        F.when(strip(c) == "", F.lit("an empty ID"))
+        F.when(blank(c), F.lit("an empty ID"))
         .when(F.size(tokens) == 0, F.lit("an unsupported ID"))
         .when(F.size(tokens) > 1, F.lit("an ambiguous ID"))
     )

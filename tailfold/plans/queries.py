@@ -77,10 +77,19 @@ def value_parsing(spark, d):
 def phenotype_bed_long(spark, d):
     bed = S.bed(spark, d)
     rows = bed.rows.withColumn("gene_id", V.single_gene(F.col("feature")))
-    return bed.long(rows, bed.sample_table()).groupBy("sample_id", "chrom").agg(
+    samples = bed.sample_table()
+    cells = bed.long(rows, samples).groupBy("sample_id", "chrom").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values"),
-        F.count_if("bad").alias("n_bad"), F.count_distinct("gene_id").alias("n_genes"),
-        F.min("value").alias("lowest"), F.max("value").alias("highest"))
+        F.count_if("bad").alias("n_bad"), F.min("value").alias("lowest"), F.max("value").alias("highest"))
+    # A gene counts for the samples that its widest line reaches, so genes meet once and not per sample;
+    # one row per chromosome and width is melted.
+    widest = rows.groupBy("chrom", "gene_id").agg(F.max(F.size("fields")).alias("width"))
+    widths = widest.groupBy("chrom", "width").agg(F.count("gene_id").alias("genes")).select(
+        "chrom", "genes", F.array_repeat(F.lit("NA"), F.col("width")).alias("fields"))
+    genes = bed.long(widths, samples).groupBy("sample_id", "chrom").agg(F.sum("genes").alias("n_genes"))
+    return cells.join(genes, ["sample_id", "chrom"], "left").select(
+        "sample_id", "chrom", "n_rows", "n_values", "n_bad",
+        F.coalesce("n_genes", F.lit(0)).alias("n_genes"), "lowest", "highest")
 
 
 def phenotype_bed_validation(spark, d):

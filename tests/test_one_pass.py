@@ -77,3 +77,30 @@ def test_a_cell_is_sorted_once(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     lines = text.read_lines(spark, tmp_path / "t").orderBy("ord").collect()
     assert [r.line for r in lines] == ["k\tv\tk", "\t0.1\t", "a\t2.0\ta", "a\t1.5\ta", "b\t\tb"]
+
+
+def test_genes_of_a_bed_meet_once(spark, tmp_path):
+    lines = [(i % 5 + 1 if i % 11 else None, i % 3 + 1, i % 4, 10.0 + i, i / 50 if i % 6 else 0.0,
+              None if i % 7 == 0 or i % 5 == 4 else 0.01 * i) for i in range(60)]
+    spark.createDataFrame(
+        lines, "l_partkey long, l_linenumber int, l_suppkey long, l_quantity double, "
+        "l_discount double, l_tax double").withColumn("l_extendedprice", F.col("l_quantity") * 2).write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    found = queries.phenotype_bed_long(spark, str(tmp_path))
+    keys = re.findall(r"keys=\[([^\]]*)\]", found._jdf.queryExecution().executedPlan().toString())
+    assert keys and not [k for k in keys if "sample_id" in k and "gene_id" in k]
+    bed = queries.S.bed(spark, str(tmp_path))
+    long = bed.long(bed.rows.withColumn("gene_id", V.single_gene(F.col("feature"))), bed.sample_table())
+    want = long.groupBy("sample_id", "chrom").agg(
+        F.count(F.lit(1)), F.count("value"), F.count_if("bad"), F.count_distinct("gene_id"), F.min("value"), F.max("value"))
+    got = sorted(map(tuple, found.collect()))
+    assert got == sorted(map(tuple, want.collect())) and len({row[5] for row in got}) > 1
+
+
+def test_single_genes(spark):
+    cases = {"ENSG1": "ENSG1", "P7_ENSG00012.4": "ENSG00012", " ENSG5.1  ": "ENSG5", "xENSG5": None, "ENSG": None,
+             "ENSG1|ENSG2": None, "ENSG1|ENSGx": "ENSG1", "aENSG1|ENSG2.3": "ENSG2", "ENSG1ENSG2": "ENSG1",
+             "": None, None: None, "gene": None, "ENSG1 ENSG2 ENSG3": None}
+    rows = spark.createDataFrame([(c,) for c in cases], "c string").select("c", V.single_gene(F.col("c")).alias("g"))
+    assert {r.c: r.g for r in rows.collect()} == cases
+    assert "lambda" not in plan_of(rows)
