@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tailfold import vocab
 from tailfold.functions import values as V
+from tailfold.session import stage
 from tailfold.sources import text
 
 
@@ -97,10 +98,10 @@ def read_lof_carriers(spark: SparkSession, path) -> tuple[DataFrame, int, int]:
     absent = [c for c in vocab.LOF_CARRIER_COLUMNS if c not in columns]
     if absent:
         raise ValueError("missing required LoF carrier columns: " + ", ".join(absent))
-    rows = text.quoted_fields(lines, header, columns, what)
+    rows = text.quoted_fields(lines, header, columns, what, raw=True)
 
     def cell(name):
-        return text.cell(columns.index(name))
+        return text.unquoted(text.cell(columns.index(name)))
 
     typed = rows.select(
         "ord", "malformed", V.strip(cell("sample_id")).alias("sample_id"),
@@ -114,13 +115,15 @@ def read_lof_carriers(spark: SparkSession, path) -> tuple[DataFrame, int, int]:
         F.when(F.col("gene_id") == "", "an empty gene ID"),
         F.when(F.col("has_lof").isNull(), "an invalid has_lof_variant"),
     )
-    facts = typed.select("ord", "has_lof", problem.alias("problem")).agg(
-        F.min(F.when(F.col("problem").isNotNull(), F.struct("ord", "problem"))).alias("first"),
-        F.count(F.lit(1)).alias("rows"), F.count_if("has_lof").alias("truthy"),
-    ).first()
+    # quoted cells are costly to parse, and the facts and the rows are read apart: parsed once
+    parsed = stage(typed.withColumn("problem", problem).select(
+        "sample_id", "gene_id", "has_lof", "lof_classes",
+        F.when(F.col("problem").isNotNull(), F.struct("ord", "problem")).alias("first")), "lof-carriers")
+    facts = parsed.agg(
+        F.min("first").alias("first"), F.count(F.lit(1)).alias("rows"),
+        F.count_if("has_lof").alias("truthy")).first()
     text.report_first(facts.first, what, lines)
-    out = typed.select("sample_id", "gene_id", "has_lof", "lof_classes")
-    return out, facts.rows, facts.truthy
+    return parsed.drop("first"), facts.rows, facts.truthy
 
 
 def read_coding_genes(spark: SparkSession, path) -> tuple[DataFrame, int]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tailfold.functions.values import strip
+from tailfold.functions.values import blank, strip
 from tailfold.sources import blocks
 from tailfold.sources.quoting import joined_records
 
@@ -222,22 +222,26 @@ def body_lines(lines: DataFrame, header: str, what: str) -> DataFrame:
     return lines.where(F.col("line") != header)
 
 
+def unquoted(field: Column) -> Column:
+    """The content of a field; one without quotes around it stays as it is."""
+    closed = field.endswith('"') & (F.length(field) > 1)
+    inner = F.when(closed, F.substring(field, F.lit(2), F.length(field) - 2)).otherwise(
+        F.regexp_replace(field, r'(?s)^"(.*)"$', "$1"))
+    return F.when(field.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
+
+
 def quoted_fields(lines: DataFrame, header: str, columns: list[str],
-                  what: str = "table") -> DataFrame:
+                  what: str = "table", raw: bool = False) -> DataFrame:
     """Rows of a quoted TSV as ``ord``, ``fields`` (array) and ``malformed``.
 
     An array keeps the plan small for matrices with thousands of columns; lines
     without any quote take the plain split.  A quoted field may hold line breaks.
+    Readers of a few columns may take ``raw`` fields and call ``unquoted`` on those they read.
     """
     lines = joined_records(lines)
-
-    def unquote(field: Column) -> Column:
-        inner = F.regexp_replace(field, r'(?s)^"(.*)"$', "$1")
-        return F.when(field.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
-
-    body = body_lines(lines, header, what).where(strip(F.col("line")) != "")
-    careful = F.transform(
-        F.regexp_extract_all("line", F.lit(QUOTED_FIELD), F.lit(1)), unquote)
+    body = body_lines(lines, header, what).where(~blank(F.col("line")))
+    careful = F.regexp_extract_all("line", F.lit(QUOTED_FIELD), F.lit(1))
+    careful = careful if raw else F.transform(careful, unquoted)
     fields = F.when(F.instr("line", '"') == 0, F.split("line", "\t")).otherwise(careful)
     return body.select("ord", fields.alias("fields")).withColumn(
         "malformed", F.size("fields") != len(columns))
@@ -252,5 +256,5 @@ def raw_fields(lines: DataFrame, header: str | None, what: str = "table") -> Dat
     """Rows split on TAB only, without quoting: ``ord``, ``line``, ``fields``."""
     if header is not None:
         lines = body_lines(lines, header, what)
-    body = lines.where(strip(F.col("line")) != "")
+    body = lines.where(~blank(F.col("line")))
     return body.select("ord", "line", F.split("line", "\t").alias("fields"))

@@ -104,3 +104,34 @@ def test_single_genes(spark):
     rows = spark.createDataFrame([(c,) for c in cases], "c string").select("c", V.single_gene(F.col("c")).alias("g"))
     assert {r.c: r.g for r in rows.collect()} == cases
     assert "lambda" not in plan_of(rows)
+
+
+def test_closed_lines(spark):
+    lines = ["".join(p) for n in range(8) for p in itertools.product('"\ta', repeat=n)]
+    lines += ['"a\nb"\tc', '"a\nb', "\r", 'x"\t"y"z\t"', "\t".join(['"a ""b"" c"'] * 5000)]
+    frame = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = {r.line: r.closed for r in frame.select("line", F.col("line").rlike(quoting.CLOSED).alias("closed")).collect()}
+    assert got == {x: not quoting.open_after(x) for x in lines}
+
+
+def test_quoted_carriers_are_parsed_once(spark, tmp_path):
+    header = "\t".join(vocab.LOF_CARRIER_COLUMNS)
+    at = vocab.LOF_CARRIER_COLUMNS.index
+
+    def line(**cells):
+        row = ["x"] * len(vocab.LOF_CARRIER_COLUMNS)
+        for name, value in cells.items():
+            row[at(name)] = value
+        return "\t".join(row)
+
+    rows = [line(sample_id=' "s', gene_id='"g ""1"" .7"', has_lof_variant='" Yes"', lof_classes='"HC,\nLC"'),
+            line(sample_id="s2", gene_id="ENSG1.2", has_lof_variant="0", lof_classes='""'),
+            line(sample_id="s3", gene_id="g", has_lof_variant="1", lof_classes="HC")]
+    (tmp_path / "t").write_text("\n".join([header, *rows]) + "\n")
+    carriers, count, truthy = tables.read_lof_carriers(spark, tmp_path / "t")
+    assert "regexp_extract_all" not in plan_of(carriers) and (count, truthy) == (3, 2)
+    assert sorted(map(tuple, carriers.collect())) == [
+        ('"s', 'g "1" ', True, "HC,\nLC"), ("s2", "ENSG1", False, ""), ("s3", "g", True, "HC")]
+    (tmp_path / "t").write_text("\n".join([header, rows[1], rows[2].replace("1\t", "maybe\t", 1)]) + "\n")
+    with pytest.raises(ValueError, match="line 3 has an invalid has_lof_variant"):
+        tables.read_lof_carriers(spark, tmp_path / "t")
