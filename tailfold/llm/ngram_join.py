@@ -15,7 +15,9 @@ documents are counted.
 * First each set meets, among the holders of an n-gram, its neighbour in size and one pivot: the
   set whose n-grams are shared most, which finds the original of many copies.  What links is put
   into components, and the next rounds do the same between components with other pivots.  At last
-  all remaining candidates *between different components* are verified.  Every two sets of
+  all remaining candidates *between different components* are verified.  There components meet by
+  n-gram, each as one row; two whose sets would meet more often than there are pairs list each pair
+  once, so a large group does not repeat its pairs for every n-gram that it shares.  Every two sets of
   different components have been compared or cannot reach the similarity, so components are exact
   although pairs inside a large group of near copies are not all listed.
 
@@ -43,9 +45,9 @@ from tailfold.session import release, stage
 
 COUNT_BITS = 20        # entries of the frequency table, as a power of two
 FRAGMENTS = 8
-BINS = 128             # parts of the hash range whose lengths are kept per set, as 16-bit numbers
+BINS = 512             # parts of the hash range whose lengths are kept per set, as 8-bit numbers
 ROUNDS = 2             # of neighbours and pivots, before all that is left
-LONGEST = (1 << 16) - 1
+LONGEST = (1 << 8) - 1  # lengths that are larger are cut to it
 TOP_LEVEL = 30
 _LEVEL_SHIFT = 58      # token = level << 58 | 58 bits of the hash
 
@@ -105,7 +107,7 @@ def _first_pass(texts: DataFrame, width: int) -> DataFrame:
                 c2.append(b)
                 lengths.append(np.bincount(
                     (found >> np.uint64(40)) & np.uint64(BINS - 1), minlength=BINS
-                ).clip(max=LONGEST).astype(np.uint16).tobytes())
+                ).clip(max=LONGEST).astype(np.uint8).tobytes())
             none = [None] * len(n)
             yield rows(batch.column(0), n, c1, c2, lengths, none, none)
         parts, data = parts_of(counts)
@@ -231,14 +233,51 @@ def _some_pairs(rows: DataFrame, percent: int, turn: int) -> DataFrame:
 
 
 def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """``id_a, id_b`` of all holders of an n-gram with different ``own``."""
-    side = {x: rows.select("token", *[F.col(c).alias(f"{c}_{x}") for c in
-                                      ("id", "size", "pos", "own")]) for x in "ab"}
-    return (
-        side["a"].join(side["b"], "token")
-        .where((F.col("id_a") < F.col("id_b")) & (F.col("own_a") != F.col("own_b"))
-               & _possible("a", "b", percent))
-        .select("id_a", "id_b").distinct())
+    """``id_a, id_b`` of all sets with different ``own`` that share an n-gram, and perhaps others.
+
+    Components meet by n-gram first, each as one row with the bounds of its holders.  Where their
+    sets would meet more often than there are pairs of them, all of these pairs are listed once; the
+    sets of other components meet by n-gram.
+    """
+    def ends(source: DataFrame, x: str, *columns: str) -> DataFrame:
+        return source.select(
+            *columns, *[F.col(c).alias(f"{c}_{x}") for c in source.columns if c not in columns])
+
+    held = stage(rows.groupBy("token", "own").agg(
+        F.count(F.lit(1)).alias("held"), F.min("size").alias("small"), F.max("size").alias("large"),
+        F.max(F.col("size") - F.col("pos")).alias("rest")), "held")
+    rest = F.least("rest_a", "rest_b")
+    shared = (
+        ends(held, "a", "token").join(ends(held, "b", "token"), "token")
+        .where((F.col("own_a") < F.col("own_b"))
+               & (F.col("large_a") * 100 >= F.col("small_b") * percent)
+               & (F.col("large_b") * 100 >= F.col("small_a") * percent)
+               & (rest * 100 >= (F.col("small_a") + F.col("small_b") - rest) * percent)))
+    met = shared.groupBy("own_a", "own_b").agg(
+        F.sum(F.col("held_a") * F.col("held_b")).alias("meetings"))
+    members = stage(rows.select("own", "id", "size").distinct(), "open-members")
+    sizes = members.groupBy("own").agg(F.count(F.lit(1)).alias("sets"))
+    met = stage(
+        met.join(sizes.select(F.col("own").alias("own_a"), F.col("sets").alias("sets_a")), "own_a")
+        .join(sizes.select(F.col("own").alias("own_b"), F.col("sets").alias("sets_b")), "own_b")
+        .select("own_a", "own_b",
+                (F.col("meetings") >= F.col("sets_a") * F.col("sets_b")).alias("whole")), "met")
+
+    whole = (
+        met.where("whole").join(ends(members, "a"), "own_a").join(ends(members, "b"), "own_b")
+        .where(F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent))
+    few = met.where(~F.col("whole")).select("own_a", "own_b")
+    holders = rows.select("token", "own", "id", "size", "pos")
+    single = (
+        shared.select("token", "own_a", "own_b").join(few, ["own_a", "own_b"], "left_semi")
+        .join(ends(holders, "a", "token"), ["token", "own_a"])
+        .join(ends(holders, "b", "token"), ["token", "own_b"])
+        .where(_possible("a", "b", percent)))
+    listed = whole.select("id_a", "id_b").union(single.select("id_a", "id_b"))
+    pairs = stage(listed.select(F.least("id_a", "id_b").alias("id_a"),
+                                F.greatest("id_a", "id_b").alias("id_b")).distinct(), "pairs")
+    release(rows.sparkSession, held, members, met)
+    return pairs
 
 
 def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -250,11 +289,12 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for batch in source:
             if not batch.num_rows:
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16)
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8)
                     .reshape(-1, BINS) for k in (3, 5))
             n_a, n_b = (batch.column(k).to_numpy() for k in (2, 4))
-            most = np.minimum(a, b).sum(axis=1, dtype=np.int64)
-            keep = (most * 100 >= (n_a + n_b - most) * percent) | (np.maximum(n_a, n_b) >= LONGEST)
+            shorter = np.minimum(a, b)
+            most = shorter.sum(axis=1, dtype=np.int64)
+            keep = (most * 100 >= (n_a + n_b - most) * percent) | (shorter == LONGEST).any(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k).filter(pa.array(keep)) for k in (0, 1)], ["id_a", "id_b"])
 
